@@ -19,7 +19,7 @@ _COUNTS = {
     "stories": ("score", "descendants", "time"),
     "articles": ("positive_reactions_count", "public_reactions_count", "comments_count", "reading_time_minutes"),
 }
-_PATHS = {"author": "$.user.username"}
+_PATHS = {"author": "user.username"}
 
 
 def parse_stories(df: DataFrame, raw: str = "value", keep: Sequence[str] = (), on_bad: str = "mark") -> DataFrame:
@@ -59,11 +59,14 @@ def _parse(df: DataFrame, feed: str, raw: str, keep: Sequence[str], on_bad: str)
         raise ValueError(f"on_bad must be 'mark' or 'fail', not {on_bad!r}")
     fields = PARSED[feed].names
     is_text = isinstance(df.schema[raw].dataType, T.StringType)
-    record = F.try_parse_json(raw) if is_text else F.col(raw)
+    # JSON functions stop at the end of the first value and would take a record
+    # with something behind it; as the only item of an array it must stand alone.
+    record = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))) if is_text else F.col(raw)
+    root = "$[0]" if is_text else "$"
 
     members = list(fields) + (["user"] if feed == "articles" else [])
     parts = df.select(*keep, raw, record.alias("_rec")).select(
-        *keep, raw, "_rec", *[_member(name).alias(f"_{name}") for name in members]
+        *keep, raw, "_rec", *[_member(root, name).alias(f"_{name}") for name in members]
     )
 
     converted = {"id": F.try_variant_get("_id", "$", "bigint")}
@@ -86,7 +89,8 @@ def _parse(df: DataFrame, feed: str, raw: str, keep: Sequence[str], on_bad: str)
         ok = ok & condition
     ok = F.coalesce(ok, F.lit(False))
     if on_bad == "fail":
-        null_item = F.col(raw).isNull() | F.coalesce(F.is_variant_null("_rec"), F.lit(False))
+        item = F.try_variant_get("_rec", root, "variant")
+        null_item = F.col(raw).isNull() | F.coalesce(F.is_variant_null(item), F.lit(False))
         message = F.concat(F.lit(f"{feed} record cannot be parsed: "), F.col("_text"))
         ok = F.when(ok, True).when(null_item, False).otherwise(F.raise_error(message).cast("boolean"))
     text = F.col(raw) if is_text else F.to_json(raw)
@@ -99,14 +103,23 @@ def _parse(df: DataFrame, feed: str, raw: str, keep: Sequence[str], on_bad: str)
     )
 
 
-def _member(name: str) -> Column:
-    return F.try_variant_get("_rec", _PATHS.get(name, f"$.{name}"), "variant")
+def _member(root: str, name: str) -> Column:
+    return F.try_variant_get("_rec", f"{root}.{_PATHS.get(name, name)}", "variant")
 
 
 def _is_object(raw: str, is_text: bool) -> Column:
-    if is_text:
-        return F.col("_rec").isNotNull() & F.ltrim(F.col(raw), F.lit(" \t\r\n")).startswith("{")
-    return F.schema_of_variant("_rec").startswith("OBJECT")
+    if not is_text:
+        return F.schema_of_variant("_rec").startswith("OBJECT")
+    alone = F.try_variant_get("_rec", "$[1]", "variant").isNull()
+    # Text behind the record that starts with "]" closes the array early; as a
+    # member of an object it would be an error. Few records need this look.
+    closed_early = F.try_parse_json(F.concat(F.lit('{"":'), raw, F.lit("}"))).isNull()
+    return (
+        F.col("_rec").isNotNull()
+        & F.ltrim(F.col(raw), F.lit(" \t\r\n")).startswith("{")
+        & alone
+        & ~(F.col(raw).rlike(r"\}\s*\]") & closed_early)
+    )
 
 
 def _tags(part: str) -> Column:

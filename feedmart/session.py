@@ -34,9 +34,14 @@ def build_session(app: str = "feedmart", master: str | None = None, **conf: str)
 
 
 def pin(spark: SparkSession) -> SparkSession:
-    """Pin the two settings that change results: UTC for text timestamps, ANSI so bad casts raise."""
+    """Pin the settings that change results.
+
+    Text timestamps are UTC, bad casts raise, and a JSON key given twice keeps
+    its last value.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 
