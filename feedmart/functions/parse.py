@@ -19,6 +19,7 @@ _COUNTS = {
     "stories": ("score", "descendants", "time"),
     "articles": ("positive_reactions_count", "public_reactions_count", "comments_count", "reading_time_minutes"),
 }
+_MARK = "end of record"
 _PATHS = {"author": "user.username"}
 
 
@@ -60,8 +61,9 @@ def _parse(df: DataFrame, feed: str, raw: str, keep: Sequence[str], on_bad: str)
     fields = PARSED[feed].names
     is_text = isinstance(df.schema[raw].dataType, T.StringType)
     # JSON functions stop at the end of the first value and would take a record
-    # with something behind it; as the only item of an array it must stand alone.
-    record = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))) if is_text else F.col(raw)
+    # with something behind it. As an item of an array, with a mark as the next
+    # item, the record is what it should be only if the mark is found there.
+    record = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(f',"{_MARK}"]'))) if is_text else F.col(raw)
     root = "$[0]" if is_text else "$"
 
     members = list(fields) + (["user"] if feed == "articles" else [])
@@ -108,18 +110,11 @@ def _member(root: str, name: str) -> Column:
 
 
 def _is_object(raw: str, is_text: bool) -> Column:
+    """Whether the input is one JSON object and nothing else."""
     if not is_text:
         return F.schema_of_variant("_rec").startswith("OBJECT")
-    alone = F.try_variant_get("_rec", "$[1]", "variant").isNull()
-    # Text behind the record that starts with "]" closes the array early; as a
-    # member of an object it would be an error. Few records need this look.
-    closed_early = F.try_parse_json(F.concat(F.lit('{"":'), raw, F.lit("}"))).isNull()
-    return (
-        F.col("_rec").isNotNull()
-        & F.ltrim(F.col(raw), F.lit(" \t\r\n")).startswith("{")
-        & alone
-        & ~(F.col(raw).rlike(r"\}\s*\]") & closed_early)
-    )
+    has_fields = F.col("_id").isNotNull() | F.col(raw).rlike(r"^\s*\{")
+    return has_fields & (F.try_variant_get("_rec", "$[1]", "string") == _MARK)
 
 
 def _tags(part: str) -> Column:

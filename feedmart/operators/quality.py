@@ -78,12 +78,8 @@ def _nulls(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
 
 
 def _duplicates(df: DataFrame, check: Check) -> DataFrame:
-    repeated = (
-        df.where(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count("*").alias("n"))
-        .where("n > 1")
-    )
+    values = df.select(F.col(check.column).alias("value")).where("value is not null")
+    repeated = values.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
     return repeated.agg(F.count("*").alias("failures")).select(
         F.lit(check.model).alias("model"),
         F.lit(check.column).alias("column"),

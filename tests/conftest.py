@@ -13,7 +13,12 @@ from feedmart.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

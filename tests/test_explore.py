@@ -1,0 +1,82 @@
+"""Exploration: filters, ranges, top rows, empty input."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedmart.operators import explore
+from feedmart.plans import marts, staging
+
+DAY = "2024-03-01"
+
+
+@pytest.fixture
+def frame(stories):
+    def make(*rows):
+        raw = stories(*[(i, f"t{i}", score, by, i, 86400 * i, DAY) for i, score, by in rows])
+        return explore.stories(marts.top_stories(staging.stg_stories(raw)))
+
+    return make
+
+
+ROWS = [(1, 10, "ann"), (2, 30, "ben"), (3, 30, "cat"), (4, 5, "ann"), (5, 20, "ben"), (6, 1, None)]
+
+
+def test_common_shape(frame, articles):
+    assert frame(*ROWS).columns == ["id", "title", "score", "author", "num_comments", "published_at", "url", "story_date"]
+    row = explore.articles(staging.stg_articles(articles((1, "ann", 7, 9, 3, "x", DAY)))).first()
+    assert (row.score, row.num_comments, row.reading_time_minutes, row.tag_list) == (7, 1, 3, "x")
+    assert (row.published_at, row.story_date) == (datetime(2024, 3, 1, 10), date(2024, 3, 1))
+
+
+@pytest.mark.parametrize("min_score, authors, expected", [
+    (None, [], [2, 3, 5, 1, 4, 6]),
+    (10, [], [2, 3, 5, 1]),
+    (None, ["ann", "unknown"], [1, 4, 6]),
+    (10, ["ann"], [1]),
+    (99, [], []),
+    (None, ["nobody"], []),
+])
+def test_filtered(spark, frame, min_score, authors, expected):
+    df = frame(*ROWS)
+    assert [r.id for r in explore.by_score(explore.filtered(df, min_score, authors)).collect()] == expected
+    if authors:
+        listed = spark.createDataFrame([(a,) for a in authors * 2], "author string")
+        found = explore.filtered(df, min_score, listed)
+        assert found.columns == df.columns
+        assert [r.id for r in explore.by_score(found).collect()] == expected
+
+
+def test_timeline(frame):
+    got = explore.timeline(frame((3, 30, "cat"))).first()
+    assert tuple(got) == (datetime(1970, 1, 4), 30, 3, "t3", "cat")
+
+
+@pytest.mark.parametrize("rows, expected", [
+    (ROWS, (1, 30)), ([(1, 4, "a"), (2, 4, "b")], (4, 5)), ([], (None, None)),
+])
+def test_score_range(frame, rows, expected):
+    assert tuple(explore.score_range(frame(*rows)).first()) == expected
+
+
+def test_authors(frame):
+    df = frame(*ROWS).withColumn("author", F.nullif("author", F.lit("unknown")))
+    assert [r.author for r in explore.authors(df).collect()] == ["ann", "ben", "cat"]
+
+
+@pytest.mark.parametrize("rows, expected", [
+    (ROWS, (6, 30, "ben", "ann", 2)),
+    ([(1, -3, "b"), (2, -3, "a"), (3, -5, "a")], (3, -3, "b", "a", 2)),
+    ([], (0, None, None, None, None)),
+])
+def test_summary(frame, rows, expected):
+    got = explore.summary(frame(*rows)).collect()
+    assert [tuple(r) for r in got] == [expected]
+
+
+def test_top_authors(frame):
+    rows = [(i, 100 - i % 15, f"a{i % 15:02}") for i in range(30)]
+    got = [tuple(r) for r in explore.top_authors(frame(*rows)).collect()]
+    assert got == [(f"a{i:02}", 2 * (100 - i)) for i in range(10)]
+    assert explore.top_authors(frame(*ROWS), 2).collect() == [("ben", 50), ("cat", 30)]

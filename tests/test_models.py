@@ -1,0 +1,167 @@
+"""Staging and marts on hand-made frames, ties and odd values included."""
+
+import random
+from collections import Counter, defaultdict
+from datetime import date, datetime
+
+import duckdb
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from feedmart.functions.scalars import round2
+from feedmart.operators.topn import top_n_per_group
+from feedmart.plans import marts, staging
+from feedmart.schemas import MODELS
+
+D1, D2 = "2024-03-01", "2024-03-02"
+
+
+def _names_and_types(schema):
+    return [(f.name, f.dataType) for f in schema.fields]
+
+
+def test_staging_fills_in_defaults(stories, articles):
+    row = staging.stg_stories(stories((1, None, None, None, None, 0, D1))).first()
+    assert row.asDict() == {
+        "id": 1, "title": "Untitled", "score": 0, "author": "unknown", "num_comments": 0,
+        "published_at": datetime(1970, 1, 1), "story_date": date(1970, 1, 1), "url": None, "ingested_date": date(2024, 3, 1),
+    }
+    row = staging.stg_articles(articles((1, None, None, None, None, None, D1))).first()
+    assert (row.author, row.positive_reactions_count, row.public_reactions_count, row.reading_time_minutes, row.tag_list) == (
+        "unknown", 0, 0, 0, None,
+    )
+
+
+def test_epoch_is_utc_in_any_session_zone(spark, stories):
+    raw = stories((1, "t", 1, "a", 0, 1_700_000_000, D1), (2, "t", 1, "a", 0, None, D1), (3, "t", 1, "a", 0, 4_102_444_800, D1))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = {r.id: (r.published_at, r.story_date) for r in staging.stg_stories(raw).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows == {
+        1: (datetime(2023, 11, 14, 22, 13, 20), date(2023, 11, 14)),
+        2: (None, None),
+        3: (datetime(2100, 1, 1), date(2100, 1, 1)),
+    }
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("2024-01-01T12:00:00Z", datetime(2024, 1, 1, 12)),
+    ("2024-01-01T23:30:00-02:00", datetime(2024, 1, 2, 1, 30)),
+    ("2024-01-01 12:00:00", datetime(2024, 1, 1, 12)),
+    ("2024-01-01", datetime(2024, 1, 1)),
+    (None, None),
+])
+def test_iso_text_to_utc(articles, text, expected):
+    raw = articles((1, "a", 1, 1, 1, None, D1)).withColumn("published_at", F.lit(text).cast("string"))
+    row = staging.stg_articles(raw).first()
+    assert (row.published_at, row.story_date) == (expected, expected and expected.date())
+
+
+def test_text_that_is_no_timestamp_fails(articles):
+    raw = articles((1, "a", 1, 1, 1, None, D1)).withColumn("published_at", F.lit("yesterday"))
+    with pytest.raises(PySparkException):
+        staging.stg_articles(raw).collect()
+
+
+def test_model_schemas(stories, articles):
+    s = staging.stg_stories(stories((1, "t", 1, "a", 0, 0, D1)))
+    a = staging.stg_articles(articles((1, "a", 1, 1, 1, "x", D1)))
+    built = {
+        "stg_stories": s, "stg_articles": a, "top_stories": marts.top_stories(s),
+        "author_stats": marts.author_stats(s), "article_author_stats": marts.article_author_stats(a),
+    }
+    assert set(built) == set(MODELS)
+    for name, frame in built.items():
+        assert _names_and_types(frame.schema) == _names_and_types(MODELS[name]), name
+
+
+def test_top_stories_breaks_ties_by_id(stories):
+    rows = [(i, "t", 5, "a", 0, 0, D1) for i in range(8)] + [(100 + i, "t", i, "a", 0, 0, D2) for i in range(8)]
+    top = marts.top_stories(staging.stg_stories(stories(*rows)), 3).collect()
+    assert sorted((r.ingested_date.isoformat(), r.rank, r.id) for r in top) == [
+        (D1, 1, 0), (D1, 2, 1), (D1, 3, 2), (D2, 1, 107), (D2, 2, 106), (D2, 3, 105),
+    ]
+
+
+def test_same_id_on_two_days_counts_twice(stories):
+    staged = staging.stg_stories(stories((1, "t", 5, "a", 2, 0, D1), (1, "t", 7, "a", 3, 86400, D2)))
+    row = marts.author_stats(staged).first()
+    assert row.asDict() == {
+        "author": "a", "post_count": 2, "avg_score": 6.0, "total_comments": 5,
+        "first_seen": date(1970, 1, 1), "last_seen": date(1970, 1, 2),
+    }
+    assert marts.top_stories(staged).count() == 2
+
+
+def test_tags_keep_blanks_inside_and_empty_pieces(articles):
+    staged = staging.stg_articles(articles(
+        (1, "a", 1, 1, 1, "x,, y ", D1), (2, "a", 1, 1, 1, "x,x,\tz", D1), (3, "a", 1, 1, 1, "", D1), (4, "a", 1, 1, 1, None, D1),
+    ))
+    tags = Counter(r.tag for r in marts.article_tags(staged).collect())
+    assert tags == {"x": 3, "": 1, "y": 1, "\tz": 1}
+    assert marts.author_top_tags(staged).first().most_used_tags == "x, , \tz"
+
+
+def test_author_without_tags_stays(articles):
+    staged = staging.stg_articles(articles(
+        (1, "a", 10, 1, 4, "x, y", D1), (2, "a", 20, 2, 5, "y", D1), (3, "b", 1, 1, 1, None, D1), (4, None, 1, 1, 1, "z", D1),
+    ))
+    rows = {r.author: tuple(r)[1:] for r in marts.article_author_stats(staged).collect()}
+    assert rows == {"a": (2, 33, 4.5, "y, x"), "b": (1, 2, 1.0, None), "unknown": (1, 2, 1.0, "z")}
+    order = [r.author for r in marts.by_post_count(marts.article_author_stats(staged)).collect()]
+    assert order == ["a", "b", "unknown"]
+
+
+def test_reactions_that_do_not_fit_fail(articles):
+    staged = staging.stg_articles(articles((1, "a", 2_000_000_000, 2_000_000_000, 1, None, D1)))
+    with pytest.raises(PySparkException):
+        marts.article_author_stats(staged).collect()
+
+
+def test_empty_input_gives_empty_models(stories, articles):
+    s, a = staging.stg_stories(stories()), staging.stg_articles(articles())
+    for frame in (marts.top_stories(s), marts.author_stats(s), marts.author_tags(a), marts.article_author_stats(a)):
+        assert frame.count() == 0
+
+
+def test_rounding_equals_the_sql_warehouse(spark):
+    rng = random.Random(7)
+    sums = [(rng.randint(-5000, 5000), rng.randint(1, 400)) for _ in range(5000)] + [(201, 200), (203, 200), (0, 3), (-201, 200)]
+    frame = spark.createDataFrame(sums, "s bigint, n bigint").select("s", "n", round2(F.col("s") / F.col("n")).alias("r"))
+    db = duckdb.connect()
+    db.execute("CREATE TABLE t (s BIGINT, n BIGINT)")
+    db.executemany("INSERT INTO t VALUES (?, ?)", sums)
+    theirs = {(s, n): r for s, n, r in db.execute("SELECT s, n, round(s / n, 2) FROM t").fetchall()}
+    ours = {(r.s, r.n): r.r for r in frame.collect()}
+    assert ours == theirs
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_models_against_brute_force_with_hot_keys(spark, seed):
+    """A third of all rows on one day and by one author; tags drawn from a few."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(3000):
+        hot = rng.random() < 1 / 3
+        tags = ",".join(rng.choice(["a", "b", " c", "d ", "", "e"]) for _ in range(rng.randint(1, 4)))
+        rows.append((i, None if hot else f"u{rng.randint(0, 40)}", rng.randint(0, 9), 1 if hot else rng.randint(1, 5), tags))
+    frame = spark.createDataFrame(rows, "id bigint, author string, score int, day int, tag_list string").repartition(37)
+
+    by_day = defaultdict(list)
+    tags_of = defaultdict(Counter)
+    for i, author, score, day, tags in rows:
+        by_day[day].append((-score, i))
+        if tags:
+            tags_of[author or "unknown"].update(t.strip(" ") for t in tags.split(","))
+    expected = {(day, n + 1, i) for day, found in by_day.items() for n, (_, i) in enumerate(sorted(found)[:50])}
+    top = top_n_per_group(frame, ["day"], [F.desc("score"), F.asc("id")], 50)
+    assert {(r.day, r.rank, r.id) for r in top.collect()} == expected
+
+    staged = frame.withColumn("author", F.coalesce("author", F.lit("unknown")))
+    best = {
+        a: ", ".join(t for t, _ in sorted(c.items(), key=lambda kv: (-kv[1], kv[0]))[:3]) for a, c in tags_of.items()
+    }
+    assert {r.author: r.most_used_tags for r in marts.author_top_tags(staged).collect()} == best
