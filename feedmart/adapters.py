@@ -32,38 +32,40 @@ def articles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stories_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns record, ingested_date and value. Keys without a value are left out, as is a comment count of 0."""
-    rows = stories_raw(spark, sf_dir)
-    rest = [
-        F.col("title"),
-        F.col("score"),
-        F.col("by"),
+    record = F.struct(
+        _sometimes_text("id"),
+        "title",
+        "score",
+        "by",
         F.nullif(F.col("descendants"), F.lit(0)).alias("descendants"),
-        F.col("time"),
-        F.col("url"),
+        "time",
+        "url",
         F.lit("story").alias("type"),
         F.array(F.col("id") + 1, F.col("id") + 2).alias("kids"),
-    ]
-    return rows.select(F.col("id").alias("record"), "ingested_date", _with_text_ids(rest).alias("value"))
+    )
+    rows = _spread(stories_raw(spark, sf_dir))
+    return rows.select(F.col("id").alias("record"), "ingested_date", F.to_json(record).alias("value"))
 
 
 def articles_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns record, ingested_date and value. Even ids carry their tags as a list."""
-    rows = _articles(spark, sf_dir)
-    common = [
-        F.col("title"),
-        F.col("positive_reactions_count"),
-        F.col("public_reactions_count"),
-        F.col("comments_count"),
+    as_list = F.to_variant_object("tags")
+    as_text = F.col("tag_list").cast("variant")
+    record = F.struct(
+        _sometimes_text("id"),
+        "title",
+        "positive_reactions_count",
+        "public_reactions_count",
+        "comments_count",
         F.struct(F.col("author").alias("username"), F.lit("x").alias("name")).alias("user"),
-        F.col("published_at"),
-        F.col("url"),
-        F.col("reading_time_minutes"),
+        "published_at",
+        F.when(F.col("id") % 2 == 0, as_list).otherwise(as_text).alias("tag_list"),
+        "url",
+        "reading_time_minutes",
         F.lit("article").alias("type_of"),
-    ]
-    as_list = _with_text_ids([*common, F.col("tags").alias("tag_list")])
-    as_text = _with_text_ids([*common, F.col("tag_list")])
-    value = F.when(F.col("id") % 2 == 0, as_list).otherwise(as_text)
-    return rows.select(F.col("id").alias("record"), "ingested_date", value.alias("value"))
+    )
+    rows = _spread(_articles(spark, sf_dir))
+    return rows.select(F.col("id").alias("record"), "ingested_date", F.to_json(record).alias("value"))
 
 
 def damaged(records: DataFrame) -> DataFrame:
@@ -78,10 +80,10 @@ def damaged(records: DataFrame) -> DataFrame:
 
 def story_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns record and value: one odd story per event, of sixteen kinds."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.select(
-        F.col("event_id").alias("record"),
-        _pick(F.col("event_id"), [
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"))
+    return _spread(events).select(
+        F.col("id").alias("record"),
+        _pick(F.col("id"), [
             '{"id":%d}',
             '{"id":"%d"}',
             '{"score":%d}',
@@ -104,10 +106,10 @@ def story_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def article_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns record and value: one odd article per part, of thirteen kinds."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return part.select(
-        F.col("p_partkey").alias("record"),
-        _pick(F.col("p_partkey"), [
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("id"))
+    return _spread(part).select(
+        F.col("id").alias("record"),
+        _pick(F.col("id"), [
             '{"id":%d}',
             '{"id":%d,"user":null}',
             '{"id":7,"tag_list":"a, %d"}',
@@ -158,8 +160,14 @@ def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_text_ids(rest: list[Column]) -> Column:
-    """A JSON object whose id is a number, or text where it divides by 5."""
-    number = F.to_json(F.struct(F.col("id"), *rest))
-    text = F.to_json(F.struct(F.col("id").cast("string").alias("id"), *rest))
-    return F.when(F.col("id") % 5 == 0, text).otherwise(number)
+def _sometimes_text(column: str) -> Column:
+    """A number as a JSON number, or as text where it divides by 5."""
+    number = F.col(column)
+    text = number.cast("string").cast("variant")
+    return F.when(number % 5 == 0, text).otherwise(number.cast("variant")).alias(column)
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores if the table has fewer files than that; a small file is a single task otherwise."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, "id") if len(df.inputFiles()) < cores else df

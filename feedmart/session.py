@@ -54,6 +54,6 @@ def work_dir(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return os.path.join(tempfile.mkdtemp(prefix="feedmart-"), name)

@@ -55,9 +55,14 @@ def replace_day(rows: DataFrame, path: str, day: str) -> None:
     rows.drop(DAY).write.mode("overwrite").parquet(f"{path}/{DAY}={day}")
 
 
+def of_day(table: DataFrame, day: str) -> DataFrame:
+    """The rows of one day, reading that partition only."""
+    return table.where(F.col(DAY) == F.lit(day).cast("date"))
+
+
 def day_count(table: DataFrame, day: str) -> DataFrame:
-    """One row: how many rows the table has for a day, reading that partition only."""
-    return table.where(F.col(DAY) == F.lit(day).cast("date")).agg(F.count("*").alias("row_count"))
+    """One row: how many rows the table has for a day."""
+    return of_day(table, day).agg(F.count("*").alias("row_count"))
 
 
 # --- run log ----------------------------------------------------------------------------------
@@ -90,11 +95,6 @@ def write_model(df: DataFrame, warehouse: str, name: str) -> None:
     writer.parquet(f"{warehouse}/{name}")
 
 
-def replace_model_day(df: DataFrame, warehouse: str, name: str, day: str) -> None:
-    """Rebuild one day of a model that is computed day by day."""
-    replace_day(df.where(F.col(DAY) == F.lit(day).cast("date")), f"{warehouse}/{name}", day)
-
-
 def read_model(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     """A model's table in the model's column order."""
     return spark.read.schema(MODELS[name]).parquet(f"{warehouse}/{name}").select(*MODELS[name].names)

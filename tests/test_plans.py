@@ -50,6 +50,12 @@ def test_top_stories_limits_before_each_shuffle(staged):
     assert plan.count("Partial") == 2 and plan.count("WindowGroupLimit") == 4
 
 
+def test_one_day_of_top_stories_reads_one_partition(staged):
+    stories, _ = staged
+    plan = _plan(marts.top_stories(tables.of_day(stories, "2024-03-02")))
+    assert re.search(r"PartitionFilters: \[isnotnull\(ingested_date#\d+\), \(ingested_date#\d+ = 2024-03-02\)\]", plan)
+
+
 def test_author_stats_reads_four_columns_and_shuffles_once(staged):
     stories, _ = staged
     plan = _plan(marts.author_stats(stories))
