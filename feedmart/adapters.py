@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedmart.schemas import TEST_TABLES
+
 
 def stories_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = _table(spark, sf_dir, "events")
     user, event = F.col("user_id"), F.col("event_id")
     return events.select(
         event.alias("id"),
@@ -80,7 +82,7 @@ def damaged(records: DataFrame) -> DataFrame:
 
 def story_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns record and value: one odd story per event, of sixteen kinds."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"))
+    events = _table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
     return _spread(events).select(
         F.col("id").alias("record"),
         _pick(F.col("id"), [
@@ -106,7 +108,7 @@ def story_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def article_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns record and value: one odd article per part, of thirteen kinds."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("id"))
+    part = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
     return _spread(part).select(
         F.col("id").alias("record"),
         _pick(F.col("id"), [
@@ -136,8 +138,12 @@ def _pick(key: Column, kinds: list[str]) -> Column:
     return text
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TEST_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    part = _table(spark, sf_dir, "part")
     key, size = F.col("p_partkey"), F.col("p_size")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (key % 30).cast("int"))
     untagged = (F.col("p_brand") == "Brand#7") | (size % 7 == 0)

@@ -68,3 +68,13 @@ MODELS = {
         "author string, post_count bigint, total_reactions bigint, avg_reading_time double, most_used_tags string"
     ),
 }
+
+# The test tables that stand for the feeds.
+TEST_TABLES = {
+    "events": _struct(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+    "part": _struct(
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+}
