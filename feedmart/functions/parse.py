@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedmart.schemas import PARSED
+from feedmart.schemas import NULL_TAG, PARSED, TAG_SEPARATOR
 
 _COUNTS = {
     "stories": ("score", "descendants", "time"),
@@ -119,7 +119,7 @@ def _is_object(raw: str, is_text: bool) -> Column:
 
 def _tags(part: str) -> Column:
     kind = F.schema_of_variant(part)
-    joined = F.array_join(F.try_variant_get(part, "$", "array<string>"), ",", "None")
+    joined = F.array_join(F.try_variant_get(part, "$", "array<string>"), TAG_SEPARATOR, NULL_TAG)
     text = F.when(kind.startswith("ARRAY"), joined).when(kind == "STRING", F.try_variant_get(part, "$", "string"))
     return F.nullif(text, F.lit(""))
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOP_AUTHORS = 10
+from feedmart.schemas import TOP_AUTHORS
 
 
 def stories(top_stories: DataFrame) -> DataFrame:

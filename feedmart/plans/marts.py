@@ -11,10 +11,7 @@ from pyspark.sql import functions as F
 
 from feedmart.functions.scalars import mean, round2
 from feedmart.operators.topn import top_n_per_group
-from feedmart.schemas import MODELS
-
-TOP_STORIES_PER_DAY = 100
-TOP_TAGS_PER_AUTHOR = 3
+from feedmart.schemas import MODELS, TAG_JOIN, TAG_SEPARATOR, TOP_STORIES_PER_DAY, TOP_TAGS_PER_AUTHOR
 
 
 def top_stories(stg_stories: DataFrame, n: int = TOP_STORIES_PER_DAY) -> DataFrame:
@@ -37,7 +34,7 @@ def author_stats(stg_stories: DataFrame) -> DataFrame:
 def article_tags(stg_articles: DataFrame) -> DataFrame:
     """One row per author and tag occurrence; empty pieces count as a tag."""
     tagged = stg_articles.where(F.col("tag_list").isNotNull() & (F.col("tag_list") != ""))
-    return tagged.select("author", F.explode(F.split("tag_list", ",")).alias("piece")).select(
+    return tagged.select("author", F.explode(F.split("tag_list", TAG_SEPARATOR)).alias("piece")).select(
         "author", F.trim("piece").alias("tag")
     )
 
@@ -55,7 +52,7 @@ def author_top_tags(stg_articles: DataFrame, n: int = TOP_TAGS_PER_AUTHOR) -> Da
     """
     by_use = Window.partitionBy("author").orderBy(F.desc("tag_count"), F.asc("tag"))
     top = author_tags(stg_articles).withColumn("rn", F.row_number().over(by_use)).where(F.col("rn") <= n)
-    tags = F.expr("listagg(tag, ', ') WITHIN GROUP (ORDER BY tag_count DESC, tag)")
+    tags = F.expr(f"listagg(tag, '{TAG_JOIN}') WITHIN GROUP (ORDER BY tag_count DESC, tag)")
     return top.groupBy("author").agg(tags.alias("most_used_tags"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmart.functions.scalars import epoch_to_timestamp, iso_to_timestamp
+from feedmart.schemas import NO_AUTHOR, NO_TITLE
 
 
 def _or(column: str, default: str | int, alias: str | None = None) -> Column:
@@ -17,9 +18,9 @@ def stg_stories(raw: DataFrame) -> DataFrame:
     published = epoch_to_timestamp(F.col("time"))
     return raw.select(
         "id",
-        _or("title", "Untitled"),
+        _or("title", NO_TITLE),
         _or("score", 0),
-        _or("by", "unknown", "author"),
+        _or("by", NO_AUTHOR, "author"),
         _or("descendants", 0, "num_comments"),
         published.alias("published_at"),
         F.to_date(published).alias("story_date"),
@@ -33,11 +34,11 @@ def stg_articles(raw: DataFrame) -> DataFrame:
     published = iso_to_timestamp(F.col("published_at"))
     return raw.select(
         "id",
-        _or("title", "Untitled"),
+        _or("title", NO_TITLE),
         _or("positive_reactions_count", 0),
         _or("public_reactions_count", 0),
         _or("comments_count", 0),
-        _or("author", "unknown"),
+        _or("author", NO_AUTHOR),
         published.alias("published_at"),
         F.to_date(published).alias("story_date"),
         "tag_list",

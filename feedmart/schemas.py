@@ -6,6 +6,17 @@ from pyspark.sql import types as T
 
 FEEDS = ("stories", "articles")
 
+# Results depend on them.
+FEED_CAP = 500  # records taken of a feed's listing
+TOP_STORIES_PER_DAY = 100
+TOP_TAGS_PER_AUTHOR = 3
+TOP_AUTHORS = 10
+NO_TITLE = "Untitled"
+NO_AUTHOR = "unknown"
+TAG_SEPARATOR = ","  # in a record's tag_list
+NULL_TAG = "None"  # a null in a list of tags
+TAG_JOIN = ", "  # between an author's most used tags
+
 
 _TYPES = {
     "bigint": T.LongType(),

@@ -8,6 +8,7 @@ Both come out of one pass over the input, so no record is parsed twice.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,10 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmart.operators.topn import top_n_per_group
-from feedmart.schemas import PARSED
+from feedmart.schemas import FEED_CAP, PARSED
 
-FEED_CAP = 500
-_DAY_IN_PATH = r"(\d{4}-\d{2}-\d{2})(?:\.json)?(?:/|$)"
+_DAY_IN_PATH = r".*(\d{4}-\d{2}-\d{2})(?:\.json)?(?:/|$)"
 _BLANK_LINE = 1  # bytes
 _PARTITIONS = [T.StructField("ingested_date", T.DateType()), T.StructField("status", T.StringType())]
 
@@ -57,6 +57,23 @@ def read_parsed_arrays(spark: SparkSession, path: str, feed: str) -> DataFrame:
     return files.select(*PARSED[feed].names, day_in_path(F.col("_metadata.file_path")).alias("ingested_date"))
 
 
+def day_of(path: str) -> str:
+    """The day that one file or folder is named after."""
+    found = re.search(_DAY_IN_PATH, path)
+    if not found:
+        raise ValueError(f"no day in the name of {path}")
+    return found.group(1)
+
+
+def latest_file(spark: SparkSession, pattern: str) -> str:
+    """The newest of the files named after a day that match a pattern such as `/in/stories_*.json`."""
+    files = spark.read.format("binaryFile").load(pattern).select("path", day_in_path(F.col("path")).alias("day"))
+    newest = files.where(F.col("day").isNotNull()).orderBy(F.desc("day"), F.desc("path")).first()
+    if newest is None:
+        raise FileNotFoundError(f"no file named after a day matches {pattern}")
+    return newest.path
+
+
 def day_in_path(path: Column) -> Column:
     """The day a landed file is named after: a file `…YYYY-MM-DD.json` or a folder ending in the day."""
     return F.to_date(F.nullif(F.regexp_extract(path, _DAY_IN_PATH, 1), F.lit("")))
@@ -87,8 +104,8 @@ def cap_feed(records: DataFrame, listing: DataFrame, order: list[Column], n: int
 def land_day(parsed: DataFrame, landing: str, feed: str, day: str) -> Landed:
     """Write one day of parsed records (with `raw` and `ok`), replacing what was landed for that day.
 
-    The counts are taken while writing: the job has no shuffle, so a task that
-    is run again counts once.
+    The counts are taken while writing, in the job's last stage, where a task
+    that is run again counts once.
     """
     spark = parsed.sparkSession
     path = f"{landing}/{feed}/ingested_date={day}"

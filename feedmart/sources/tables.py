@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmart.schemas import MODELS, RAW, RUN_LOG
-from feedmart.sources.landing import Landed, landed_days, read_landing
+from feedmart.sources.landing import Landed, day_of, landed_days, read_landing, read_parsed_arrays
 
 DAY = "ingested_date"
 
@@ -34,6 +34,13 @@ def load_day(spark: SparkSession, landing: str, warehouse: str, feed: str, day:
     return day_count(read_raw(spark, warehouse, feed), day).first().row_count
 
 
+def load_file(spark: SparkSession, path: str, warehouse: str, feed: str) -> int:
+    """Load a file that holds one JSON array of a day's parsed records, replacing the day it is named after."""
+    day = day_of(path)
+    replace_day(to_raw(read_parsed_arrays(spark, path, feed), feed), raw_path(warehouse, feed), day)
+    return day_count(read_raw(spark, warehouse, feed), day).first().row_count
+
+
 def load_days(spark: SparkSession, landing: str, warehouse: str, feed: str) -> None:
     """Load every landed day in one job, replacing those days and no others."""
     rows = to_raw(read_landing(spark, landing, feed), feed)

@@ -135,12 +135,15 @@ def test_parsed_array_files(spark, tmp_path):
 @pytest.mark.parametrize("path, day", [
     ("/x/feed_2024-01-15.json", "2024-01-15"),
     ("/x/ingested_date=2024-01-15", "2024-01-15"),
-    ("/2023/feed_2024-01-15.json/part-0.txt", "2024-01-15"),
+    ("/2023-01-01/feed_2024-01-15.json", "2024-01-15"),
+    ("/2023-01-01.json/feed_2024-01-15.json/part-0.txt", "2024-01-15"),
     ("/x/feed.json", None),
 ])
 def test_day_in_path(spark, path, day):
     got = spark.range(1).select(land.day_in_path(F.lit(path)).cast("string")).first()[0]
     assert got == day
+    if day:
+        assert land.day_of(path) == day
 
 
 def test_cap_from_a_landed_listing(spark):

@@ -1,5 +1,6 @@
 """Raw tables: types, replacing days, counts, run log."""
 
+import json
 from datetime import date
 
 import pytest
@@ -81,6 +82,31 @@ def test_load_days_replaces_landed_days_and_keeps_others(spark, shop, tmp_path):
     assert _ids(spark, warehouse) == [(D1, 7), ("2024-03-03", 3)]
 
 
+def test_files_of_one_day_each(spark, tmp_path):
+    warehouse, files = str(tmp_path / "w"), tmp_path / "in"
+    files.mkdir()
+    for day, records in ((D1, [{"id": 1, "title": "ä"}, {"id": 2, "score": 5}]), (D2, [{"id": 3}])):
+        (files / f"feed_{day}.json").write_text(json.dumps(records, indent=2, ensure_ascii=False), "utf-8")
+    newest = land.latest_file(spark, str(files / "feed_*.json"))
+    assert newest.endswith(f"feed_{D2}.json")
+    assert tables.load_file(spark, newest, warehouse, "stories") == 1
+    assert tables.load_file(spark, str(files / f"feed_{D1}.json"), warehouse, "stories") == 2
+    assert _ids(spark, warehouse) == [(D1, 1), (D1, 2), (D2, 3)]
+    row = tables.read_raw(spark, warehouse, "stories").where("id = 1").first()
+    assert (row.title, row.score) == ("ä", None)
+    (files / f"feed_{D2}.json").write_text("[]")
+    assert tables.load_file(spark, newest, warehouse, "stories") == 0
+    assert _ids(spark, warehouse) == [(D1, 1), (D1, 2)]
+
+
+def test_a_file_needs_a_day_in_its_name(spark, tmp_path):
+    (tmp_path / "feed.json").write_text("[]")
+    with pytest.raises(ValueError, match="no day"):
+        tables.load_file(spark, str(tmp_path / "feed.json"), str(tmp_path / "w"), "stories")
+    with pytest.raises(FileNotFoundError):
+        land.latest_file(spark, str(tmp_path / "*.json"))
+
+
 def test_numbers_too_large_for_the_table_fail_the_load(spark, shop):
     landing, warehouse, put = shop
     assert put(D1, 1, score=3_000_000_000).rows_fetched == 1
