@@ -48,6 +48,16 @@ def test_filtered(spark, frame, min_score, authors, expected):
         assert [r.id for r in explore.by_score(found).collect()] == expected
 
 
+def test_persisted_frame_is_read_once(frame):
+    df = explore.filtered(frame(*ROWS), 10).persist()
+    try:
+        assert explore.summary(df).first().row_count == 4
+        plan = explore.top_authors(df)._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" in plan
+    finally:
+        df.unpersist()
+
+
 def test_timeline(frame):
     got = explore.timeline(frame((3, 30, "cat"))).first()
     assert tuple(got) == (datetime(1970, 1, 4), 30, 3, "t3", "cat")
