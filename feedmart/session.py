@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,14 +44,11 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for intermediate tables, below the cluster's shared `spark.checkpoint.dir`.
+    """A fresh folder for tables that one query writes and reads again.
 
-    A machine-local temporary folder is used only where that setting is absent
-    and Spark itself runs on one machine.
+    It lies in the folder that the cluster names in `spark.checkpoint.dir`, or
+    in the warehouse where that is unset; every executor reaches either. Who
+    runs the queries empties it when their results have been read.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return os.path.join(tempfile.mkdtemp(prefix="feedmart-"), name)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
