@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import chat, quality_compression, secrets
+from feedmart.llm import chat, language_id, quality_compression, secrets, toxicity
 from feedmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,13 @@ def op8_prefix_targets(spark, sf_dir):
     odd = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
     return chat.read_back(chat.prefix_target_examples(rows))
+
+
+@_query
+def op6_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_toxicity(spark, sf_dir):
+    return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

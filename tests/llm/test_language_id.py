@@ -1,0 +1,65 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from feedmart.llm import language_id as lid
+
+SYLLABLES = {"aa": ["ka", "to", "mi", "ra", "sun"], "bb": ["zwe", "ür", "ßen", "ach", "pf"], "cc": ["льи", "ко", "та", "ны", "ре"]}
+
+
+def text(rng, lang, n):
+    return " ".join("".join(rng.choices(SYLLABLES[lang], k=rng.randint(1, 4))) for _ in range(n))
+
+
+def corpus(seed=2):
+    rng = random.Random(seed)
+    return [(i, text(rng, lang, rng.randint(1, 120)), lang) for i in range(600) for lang in [rng.choice(["aa", "aa", "bb", "cc"])]]
+
+
+def test_held_out_accuracy_and_odd_rows(spark):
+    rows = corpus()
+    odd = [(9000, None, "aa"), (9001, "", "bb"), (9002, "123 !! ²½", "cc"), (None, "ka to mi", None), (9003, "Zwe ür " * 60_000, None), rows[0]]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string").selectExpr("*", "'q' as lang_pred", "1 as score")
+    got = lid.identify(docs, lid.Settings(per_language=150, epochs=6)).collect()
+    assert len(got) == len(rows) + len(odd)
+    by_id = {r.doc_id: r for r in got}
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    assert sum(by_id[r[0]].lang_pred == r[2] for r in held) / len(held) > 0.95
+    assert all(by_id[r[0]].held_out for r in held) and sum(r.held_out for r in got) >= len(held)
+    assert [by_id[i].lang_pred for i in (9000, 9001, 9002)] == ["und"] * 3 and by_id[9000].score == 0
+    assert by_id[9003].lang_pred == "bb" and by_id[None].lang_pred == "aa"
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_nothing_to_learn(spark):
+    docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
+    assert [tuple(r)[2:] for r in lid.identify(docs).collect()] == [("und", 0.0)]
+    assert lid.identify(docs.where("false")).count() == 0
+
+
+def test_both_forward_passes_and_the_gradient_agree():
+    rng = random.Random(4)
+    texts = [text(rng, lang, 40) for lang in SYLLABLES for _ in range(4)]
+    labels = [lang for lang in SYLLABLES for _ in range(4)]
+    net = lid.fit(texts, labels, lid.Settings(epochs=1))
+    x = np.concatenate([lid.windows(t, 256) for t in texts])
+    hidden, _ = lid.pooled(net, net.tables(), x)
+    assert np.allclose(lid._softmax(np.maximum(hidden, 0) @ net.out + net.out_bias), lid.probabilities(net, net.kernel(), x), atol=1e-4)
+    x, y, w = x[: len(texts)], np.array([0, 1, 2] * 4), np.ones(3)
+
+    def loss():
+        h, _ = lid.pooled(net, net.tables(), x)
+        return -np.log(lid._softmax(np.maximum(h, 0) @ net.out + net.out_bias)[np.arange(12), y]).mean()
+
+    grads = lid._gradients(net, x, y, w)
+    for p, g in ((net.out, grads[-2]), (net.banks[1], grads[2])):
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        old = p[at]
+        p[at] = old + 1e-2
+        up = loss()
+        p[at] = old - 1e-2
+        down = loss()
+        p[at] = old
+        assert g[at] == pytest.approx((up - down) / 2e-2, rel=0.1, abs=1e-3)
