@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import chat, language_id, quality_compression, secrets, toxicity
+from feedmart.llm import chat, language_id, near_duplicates, quality_compression, secrets, toxicity
 from feedmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op6_language_id(spark, sf_dir):
 @_query
 def op9_toxicity(spark, sf_dir):
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op10_hamming_near_duplicates(spark, sf_dir):
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
