@@ -25,8 +25,9 @@ _TYPES = {
 def warehouse(sf_dir: str) -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
     for name in TABLES:
-        if Path(f"{sf_dir}/{name}.parquet").exists():
-            db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        path = Path(f"{sf_dir}/{name}.parquet")
+        if path.exists():
+            db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path / '*.parquet' if path.is_dir() else path}'")
     return db
 
 
