@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import chat, language_id, near_duplicates, quality_compression, secrets, toxicity
-from feedmart.llm.common import table
+from feedmart.llm import chat, language_id, mixing, near_duplicates, quality_compression, secrets, toxicity
+from feedmart.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,13 @@ def op9_toxicity(spark, sf_dir):
 @_query
 def op10_hamming_near_duplicates(spark, sf_dir):
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_temperature_mixing(spark, sf_dir):
+    """Every copy that the mix takes, as a manifest. The texts are counted once."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("tokens"))
+    return mixing.mix(settle(docs, "mix-tokens"), "tokens")
+
+
+ORACLES["op2_temperature_mixing"] = mixing.oracle(mixing.Settings())
