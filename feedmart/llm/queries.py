@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import chat, decontaminate, language_id, mixing, near_duplicates, quality_compression, secrets, toxicity
+from feedmart.llm import chat, decontaminate, html_text, language_id, mixing, near_duplicates, quality_compression, secrets, toxicity
 from feedmart.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ ORACLES["op2_temperature_mixing"] = mixing.oracle(mixing.Settings())
 def op1_template_decontamination(spark, sf_dir):
     """The documents that hold a benchmark item, with the item."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op4_wrapper_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))

