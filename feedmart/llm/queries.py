@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedmart.llm import chat, decontaminate, html_text, language_id, mixing, near_duplicates, quality_compression, secrets, toxicity
+from feedmart.llm import chat, decontaminate, html_text, language_id, mixing, near_duplicates, quality_compression, secrets, toxicity, warc
 from feedmart.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +72,13 @@ def op1_template_decontamination(spark, sf_dir):
 @_query
 def op4_wrapper_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op7_warc_derivatives(spark, sf_dir):
+    """Both derived records of every page, each with the page's id."""
+    derived = warc.derive(warc.responses(table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z"))
+    return derived.select(
+        F.col("headers")["X-Source-X-Page-ID"].cast("long").alias("page_id"), "type", "record_id", "refers_to", "target_uri", "date",
+        "content_type", "content_length", "block_digest", F.to_json("headers").alias("headers"), F.decode("block", F.lit("UTF-8")).alias("text"),
+    )
