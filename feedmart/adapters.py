@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedmart.operators.topn import top_n_per_group
 from feedmart.schemas import TEST_TABLES
 
 
@@ -45,7 +46,7 @@ def stories_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("story").alias("type"),
         F.array(F.col("id") + 1, F.col("id") + 2).alias("kids"),
     )
-    rows = _spread(stories_raw(spark, sf_dir))
+    rows = stories_raw(spark, sf_dir)
     return rows.select(F.col("id").alias("record"), "ingested_date", F.to_json(record).alias("value"))
 
 
@@ -66,10 +67,18 @@ def articles_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reading_time_minutes",
         F.lit("article").alias("type_of"),
     )
-    rows = _spread(_articles(spark, sf_dir))
+    rows = _articles(spark, sf_dir)
     return rows.select(F.col("id").alias("record"), "ingested_date", F.to_json(record).alias("value"))
 
 
+def listings(stories: DataFrame, length: int) -> DataFrame:
+    """Per ingested_date one listing: an array of at most `length` ids, newest first."""
+    order = [F.desc("time"), F.asc("id")]
+    first = top_n_per_group(stories.select("ingested_date", "id", "time"), ["ingested_date"], order, length, spread=["id"], rank="pos")
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"])
+    return first.groupBy("ingested_date").agg(ids.alias("ids"))
+
+
 def damaged(records: DataFrame) -> DataFrame:
     """JSON records of which some became null items and some lost their id to a null."""
     value = (
@@ -83,7 +92,7 @@ def damaged(records: DataFrame) -> DataFrame:
 def story_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns record and value: one odd story per event, of sixteen kinds."""
     events = _table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
-    return _spread(events).select(
+    return events.select(
         F.col("id").alias("record"),
         _pick(F.col("id"), [
             '{"id":%d}',
@@ -109,7 +118,7 @@ def story_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def article_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns record and value: one odd article per part, of thirteen kinds."""
     part = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
-    return _spread(part).select(
+    return part.select(
         F.col("id").alias("record"),
         _pick(F.col("id"), [
             '{"id":%d}',
@@ -172,8 +181,3 @@ def _sometimes_text(column: str) -> Column:
     text = number.cast("string").cast("variant")
     return F.when(number % 5 == 0, text).otherwise(number.cast("variant")).alias(column)
 
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores if the table has fewer files than that; a small file is a single task otherwise."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, "id") if len(df.inputFiles()) < cores else df

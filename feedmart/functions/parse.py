@@ -62,7 +62,8 @@ def _parse(df: DataFrame, feed: str, raw: str, keep: Sequence[str], on_bad: str)
     is_text = isinstance(df.schema[raw].dataType, T.StringType)
     # JSON functions stop at the end of the first value and would take a record
     # with something behind it. As an item of an array, with a mark as the next
-    # item, the record is what it should be only if the mark is found there.
+    # item, the record is what it should be only if the mark is found there and
+    # nothing behind it.
     record = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(f',"{_MARK}"]'))) if is_text else F.col(raw)
     root = "$[0]" if is_text else "$"
 
@@ -114,7 +115,8 @@ def _is_object(raw: str, is_text: bool) -> Column:
     if not is_text:
         return F.schema_of_variant("_rec").startswith("OBJECT")
     has_fields = F.col("_id").isNotNull() | F.col(raw).rlike(r"^\s*\{")
-    return has_fields & (F.try_variant_get("_rec", "$[1]", "string") == _MARK)
+    two_items = (F.try_variant_get("_rec", "$[1]", "string") == _MARK) & F.try_variant_get("_rec", "$[2]", "variant").isNull()
+    return has_fields & two_items
 
 
 def _tags(part: str) -> Column:

@@ -25,8 +25,13 @@ def mean(column: str) -> Column:
 
 
 def epoch_to_timestamp(seconds: Column) -> Column:
-    """Epoch seconds as a UTC wall-clock timestamp, whatever the session time zone."""
-    return F.expr("timestamp_ntz '1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
+    """Epoch seconds as a UTC wall-clock timestamp, whatever the session time zone.
+
+    Days and the rest are added apart: an interval's seconds end at 10^12.
+    """
+    day = F.floor(seconds / 86400).cast("int")
+    rest = F.pmod(seconds, F.lit(86400))
+    return F.expr("timestamp_ntz '1970-01-01 00:00:00'") + F.make_dt_interval(days=day, secs=rest)
 
 
 def iso_to_timestamp(text: Column) -> Column:

@@ -39,12 +39,16 @@ def articles(stg_articles: DataFrame) -> DataFrame:
 def filtered(df: DataFrame, min_score: int | None = None, authors: Sequence[str] | DataFrame = ()) -> DataFrame:
     """Rows with at least `min_score` whose author is one of `authors`.
 
-    No authors means all authors. A long list belongs in a DataFrame with an
-    `author` column, which is semi-joined instead of written into the plan.
+    No authors means all authors, in an empty list as in an empty DataFrame. A
+    long list belongs in a DataFrame with an `author` column, which is
+    semi-joined instead of written into the plan. A hot author on the left is
+    split by adaptive execution if the list is too long to broadcast.
     """
     if min_score is not None:
         df = df.where(F.col("score") >= min_score)
     if isinstance(authors, DataFrame):
+        if authors.isEmpty():
+            return df
         return df.join(authors.select("author"), "author", "left_semi").select(*df.columns)
     return df.where(F.col("author").isin(list(authors))) if authors else df
 
@@ -76,8 +80,10 @@ def summary(df: DataFrame) -> DataFrame:
 
     One pass gives the count and the top row; the other counts per author. Each
     ends in a single row, and the two rows are folded by one last aggregate.
+    Rows without a score count but are never the top row.
     """
-    top = F.min(F.struct((-F.col("score").cast("bigint")).alias("neg"), "id", "author", "score"))
+    row = F.struct((-F.col("score").cast("bigint")).alias("neg"), "id", "author", "score")
+    top = F.min(F.when(F.col("score").isNotNull(), row))
     overall = df.agg(F.count("*").alias("row_count"), top.alias("top")).select(
         "row_count",
         F.col("top.score").alias("top_score"),

@@ -17,9 +17,14 @@ class Check(NamedTuple):
 
 
 class QualityError(RuntimeError):
-    """At least one check found failing rows."""
+    """At least one check found failing rows; `failed` has (model, column, check, failures) of each."""
 
+    def __init__(self, message: str, failed: list[tuple] = ()):
+        super().__init__(message)
+        self.failed = failed
 
+
+# The checks that a build must pass.
 CHECKS = (
     Check("stg_stories", "id", "not_null"),
     Check("stg_stories", "title", "not_null"),
@@ -60,7 +65,7 @@ def gate(results: DataFrame) -> None:
     failed = results.where("failures > 0").collect()
     if failed:
         listed = ", ".join(sorted(f"{r.model}.{r.column} {r.check}: {r.failures}" for r in failed))
-        raise QualityError(f"checks failed: {listed}")
+        raise QualityError(f"checks failed: {listed}", [(r.model, r.column, r.check, r.failures) for r in failed])
 
 
 def _nulls(df: DataFrame, model: str, columns: list[str]) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from feedmart.queries import DAY, KEPT_SCORE, LISTED_PER_DAY, MIN_REACTIONS, MIN_SCORE, STORY_AUTHORS
+from feedmart.queries import DAY, KEPT_SCORE, MIN_REACTIONS, MIN_SCORE, PAGE, STORY_AUTHORS
+from feedmart.schemas import FEED_CAP
 
 _RAW = """
 raw_stories AS (
@@ -111,6 +112,12 @@ def _model(select: str) -> str:
     return f"WITH {_RAW}, {_STAGED}, {_MARTS} {select}"
 
 
+def _changed(select: str) -> str:
+    """With one day's stories replaced by those with a high score."""
+    kept = f"FROM raw_stories WHERE ingested_date <> DATE '{DAY}' OR score >= {KEPT_SCORE}"
+    return f"WITH {_RAW}, {_STAGED.replace('FROM raw_stories', kept)}, {_MARTS} {select}"
+
+
 def _null_check(model: str, column: str) -> str:
     return (
         f"SELECT '{model}' AS model, '{column}' AS \"column\", 'not_null' AS \"check\", "
@@ -151,10 +158,22 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT 'articles', count(*) FILTER (WHERE p_partkey % 13 <> 0 AND p_partkey % 23 <> 0),
                count(*) FILTER (WHERE p_partkey % 13 = 0 OR p_partkey % 23 = 0) FROM part""",
+    "parse_fail_mode": """
+        SELECT 'stories' AS feed, count(*) FILTER (WHERE event_id % 13 <> 0) AS rows_fetched,
+               count(*) FILTER (WHERE event_id % 13 = 0) AS errors FROM events
+        UNION ALL
+        SELECT 'articles', count(*) FILTER (WHERE p_partkey % 13 <> 0), count(*) FILTER (WHERE p_partkey % 13 = 0) FROM part""",
     "feed_cap": _raw(f"""
-        SELECT id, title, score, ingested_date FROM (
-          SELECT *, row_number() OVER (PARTITION BY ingested_date ORDER BY "time" DESC, id) AS pos FROM raw_stories
-        ) WHERE pos <= {LISTED_PER_DAY}"""),
+        SELECT id, title, score, CAST(month AS DATE) AS ingested_date FROM (
+          SELECT *, date_trunc('month', ingested_date) AS month,
+                 row_number() OVER (PARTITION BY date_trunc('month', ingested_date) ORDER BY "time" DESC, id) AS pos
+          FROM raw_stories
+        ) WHERE pos <= {FEED_CAP}"""),
+    "landing_array_files": _raw("""
+        SELECT 'stories' AS feed, ingested_date, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS ids, count(title) AS titles
+        FROM raw_stories GROUP BY ingested_date
+        UNION ALL
+        SELECT 'articles', ingested_date, count(*), CAST(sum(id) AS BIGINT), count(title) FROM landed_articles GROUP BY ingested_date"""),
     "landing_roundtrip": _raw(f"SELECT {_STORY_FIELDS}, ingested_date AS landed_date FROM raw_stories"),
     "landing_latest_day": _raw("""
         SELECT 'stories' AS feed, max(ingested_date) AS latest_day FROM raw_stories
@@ -166,6 +185,55 @@ ORACLES: dict[str, str] = {
         WHERE ingested_date <> DATE '{DAY}' OR score >= {KEPT_SCORE}"""),
     "replace_day_empty": _raw(f"""
         SELECT id, score, "by", ingested_date FROM raw_stories WHERE ingested_date <> DATE '{DAY}'"""),
+    "reload_days_empty": _raw(f"""
+        SELECT id, score, "by", ingested_date FROM raw_stories WHERE ingested_date <> DATE '{DAY}'"""),
+    "land_days_again": _raw(f"""
+        SELECT ingested_date,
+               count(*) FILTER (WHERE ingested_date <= DATE '{DAY}' OR (id % 13 <> 0 AND id % 23 <> 0)) AS good,
+               count(*) FILTER (WHERE ingested_date > DATE '{DAY}' AND (id % 13 = 0 OR id % 23 = 0)) AS bad
+        FROM raw_stories GROUP BY ingested_date"""),
+    "run_log": """
+        SELECT feed, rows_fetched, errors, true AS run_before_now, feed || '/ingested_date=%s' AS path_end FROM (
+          SELECT 'stories' AS feed, count(*) FILTER (WHERE event_id % 13 <> 0 AND event_id % 23 <> 0) AS rows_fetched,
+                 count(*) FILTER (WHERE event_id % 13 = 0 OR event_id % 23 = 0) AS errors FROM events
+          UNION ALL
+          SELECT 'articles', count(*) FILTER (WHERE p_partkey % 13 <> 0 AND p_partkey % 23 <> 0),
+                 count(*) FILTER (WHERE p_partkey % 13 = 0 OR p_partkey % 23 = 0) FROM part)""".replace("%s", DAY),
+    "daily_author_stats": _changed("SELECT * FROM author_stats"),
+    "daily_author_stats_full": _changed("SELECT * FROM author_stats"),
+    "daily_article_author_stats": _changed("SELECT * FROM article_author_stats"),
+    "daily_top_stories": _changed("SELECT * FROM top_stories"),
+    "quality_gate": f"""
+        WITH {_RAW}, {_STAGED}, s AS (
+          SELECT id, CASE WHEN id % 31 <> 0 THEN author END AS author FROM stg_stories
+        )
+        SELECT * FROM (
+          SELECT 'stg_stories' AS model, 'id' AS "column", 'not_null' AS "check", count(*) FILTER (WHERE id % 29 = 0) AS failures FROM s
+          UNION ALL SELECT 'stg_stories', 'author', 'not_null', count(*) FILTER (WHERE author IS NULL) FROM s
+          UNION ALL SELECT 'author_stats', 'author', 'not_null', 2 * CAST(max(author IS NULL) AS BIGINT) FROM s
+          UNION ALL SELECT 'author_stats', 'author', 'unique', count(DISTINCT author) FROM s
+        ) WHERE failures > 0""",
+    "top_stories_of_day": _model(f"SELECT * FROM top_stories WHERE ingested_date = DATE '{DAY}'"),
+    "explore_stored": _model(f"""
+        SELECT (SELECT min(score) FROM top_stories WHERE score >= {MIN_SCORE}) AS min_score,
+               (SELECT CASE WHEN min(score) = max(score) THEN max(score) + 1 ELSE max(score) END
+                FROM top_stories WHERE score >= {MIN_SCORE}) AS max_score,
+               (SELECT count(*) FROM top_stories WHERE score >= {MIN_SCORE}) AS row_count,
+               (SELECT author FROM top_stories WHERE score >= {MIN_SCORE} ORDER BY score DESC, id LIMIT 1) AS top_author,
+               (SELECT author FROM top_stories WHERE score >= {MIN_SCORE}
+                GROUP BY author ORDER BY count(*) DESC, author LIMIT 1) AS active_author"""),
+    "explore_empty": """
+        SELECT CAST(0 AS BIGINT) AS row_count, CAST(NULL AS INTEGER) AS top_score, CAST(NULL AS VARCHAR) AS top_author,
+               CAST(NULL AS VARCHAR) AS active_author, CAST(NULL AS BIGINT) AS active_count""",
+    "author_stats_page": _model(f"""
+        SELECT row_number() OVER (ORDER BY post_count DESC, author) AS place, author, post_count FROM author_stats
+        ORDER BY place LIMIT {PAGE}"""),
+    "explore_filtered_page": _model(f"""
+        SELECT row_number() OVER (ORDER BY score DESC, id) AS place, id, score FROM top_stories WHERE score >= {MIN_SCORE}
+        ORDER BY place LIMIT {PAGE}"""),
+    "explore_authors_page": _model(f"""
+        SELECT row_number() OVER (ORDER BY author) AS place, author FROM (SELECT DISTINCT author FROM top_stories)
+        WHERE author IS NOT NULL ORDER BY place LIMIT {PAGE}"""),
     "loaded_day_count": _raw(f"SELECT count(*) AS row_count FROM raw_stories WHERE ingested_date = DATE '{DAY}'"),
     "daily_run": _model(
         _counts("raw_stories", "raw_articles", "stg_stories", "stg_articles", "top_stories", "author_stats", "article_author_stats")
@@ -220,4 +288,3 @@ ORACLES: dict[str, str] = {
         SELECT author, CAST(sum(score) AS BIGINT) AS score FROM top_stories WHERE score >= {MIN_SCORE}
         GROUP BY author ORDER BY score DESC, author LIMIT 10"""),
 }
-ORACLES["run_log"] = ORACLES["parse_quarantine"]

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from feedmart.functions.parse import PARSERS
@@ -34,6 +35,7 @@ def ingest_day(
 
     Bad records are set aside and counted, or with `on_bad="fail"` end the run.
     """
+    pin(spark)
     parsed = PARSERS[feed](records, "value", on_bad=on_bad)
     landed = land.land_day(parsed, landing, feed, day or utc_today())
     tables.append_run(spark, warehouse, feed, landed)
@@ -60,12 +62,14 @@ def build_models(spark: SparkSession, warehouse: str, days: Mapping[str, str] |
     raw_stories = rows(tables.read_raw(spark, warehouse, "stories"), "stories")
     raw_articles = rows(tables.read_raw(spark, warehouse, "articles"), "articles")
     _together(
+        spark,
         build("stg_stories", staging.stg_stories(raw_stories), "stories"),
         build("stg_articles", staging.stg_articles(raw_articles), "articles"),
     )
     stories = tables.read_model(spark, warehouse, "stg_stories")
     articles = tables.read_model(spark, warehouse, "stg_articles")
     _together(
+        spark,
         build("top_stories", marts.top_stories(rows(stories, "stories")), "stories"),
         build("author_stats", marts.author_stats(stories)),
         build("article_author_stats", marts.article_author_stats(articles)),
@@ -94,8 +98,8 @@ def run_daily(
     return loaded
 
 
-def _together(*steps: Callable[[], None]) -> None:
-    """Submit independent Spark jobs at once, so one fills the cores that another's last tasks leave idle."""
+def _together(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Submit independent Spark jobs at once, so one fills the cores that another's last tasks leave idle; pool and job group go along."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        for submitted in [pool.submit(step) for step in steps]:
+        for submitted in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
             submitted.result()

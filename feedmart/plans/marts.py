@@ -16,7 +16,7 @@ from feedmart.schemas import MODELS, TAG_JOIN, TAG_SEPARATOR, TOP_STORIES_PER_DA
 
 def top_stories(stg_stories: DataFrame, n: int = TOP_STORIES_PER_DAY) -> DataFrame:
     """The `n` stories with the highest score of each ingestion day, with their rank."""
-    ranked = top_n_per_group(stg_stories, ["ingested_date"], [F.desc("score"), F.asc("id")], n)
+    ranked = top_n_per_group(stg_stories, ["ingested_date"], [F.desc("score"), F.asc("id")], n, spread=["id"])
     return ranked.select(*MODELS["top_stories"].names)
 
 

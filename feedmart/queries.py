@@ -28,7 +28,8 @@ KEPT_SCORE = 20
 MIN_SCORE = 100
 MIN_REACTIONS = 910
 STORY_AUTHORS = ("user_1", "user_2", "user_3", "user_5", "user_8", "unknown")
-LISTED_PER_DAY = 100
+LISTING_LENGTH = 1000  # ids that a landed listing names
+PAGE = 25  # rows of a first page
 
 QUERIES: dict[str, Query] = {}
 
@@ -101,15 +102,46 @@ def parse_quarantine(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+@_query
+def parse_fail_mode(spark, sf_dir):
+    """Records without broken ones but with null items, parsed so that a broken one would end the run."""
+    def nulled(records):
+        return records.withColumn("value", F.when(F.col("record") % 13 != 0, F.col("value")))
+
+    counts = [
+        parse.count_outcomes(parse.PARSERS[feed](nulled(records), on_bad="fail")).select(F.lit(feed).alias("feed"), "rows_fetched", "errors")
+        for feed, records in _json(spark, sf_dir).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- landing and loading ----------------------------------------------------------------------
 
 
 @_query
 def feed_cap(spark, sf_dir):
-    records = adapters.stories_raw(spark, sf_dir)
-    listing = records.select("ingested_date", "id", "time")
-    capped = land.cap_feed(records, listing, [F.desc("time"), F.asc("id")], LISTED_PER_DAY)
-    return capped.select("id", "title", "score", "ingested_date")
+    """Stories by month, cut to the first ids of that month's listing, which is landed as one array of ids and read back."""
+    records = adapters.stories_raw(spark, sf_dir).withColumn("ingested_date", F.trunc("ingested_date", "month"))
+    path = work_dir(spark, "listings")
+    adapters.listings(records, LISTING_LENGTH).write.parquet(path)
+    listing = land.listing_rows(spark.read.parquet(path))
+    return land.cap_feed(records, listing, [F.asc("pos")]).select("id", "title", "score", "ingested_date")
+
+
+@_query
+def landing_array_files(spark, sf_dir):
+    """Both feeds as files of JSON arrays, several per day, read back unparsed and parsed, and loaded."""
+    landing, warehouse = work_dir(spark, "arrays"), work_dir(spark, "warehouse")
+    out = []
+    for feed, records in _json(spark, sf_dir).items():
+        land.write_arrays(records.select("ingested_date", "value"), f"{landing}/{feed}")
+        parsed = parse.PARSERS[feed](land.read_arrays(spark, f"{landing}/{feed}"), keep=["ingested_date"])
+        good, _ = parse.split_bad(parsed)
+        tables.load_frame(good, warehouse, feed)
+        out.append(tables.read_raw(spark, warehouse, feed).groupBy("ingested_date").agg(
+            F.count("*").alias("row_count"), F.sum("id").alias("ids"), F.count("title").alias("titles")
+        ).select(F.lit(feed).alias("feed"), "ingested_date", "row_count", "ids", "titles"))
+    return reduce(DataFrame.unionByName, out)
 
 
 @_query
@@ -125,11 +157,8 @@ def landing_roundtrip(spark, sf_dir):
 def landing_latest_day(spark, sf_dir):
     landing = work_dir(spark, "landing")
     _land_all(spark, sf_dir, landing, *FEEDS)
-    newest = [
-        land.landed_days(spark, landing, feed).agg(F.max("day").alias("latest_day")).select(F.lit(feed).alias("feed"), "latest_day")
-        for feed in FEEDS
-    ]
-    return reduce(DataFrame.unionByName, newest)
+    newest = [(feed, land.latest_day(spark, landing, feed)) for feed in FEEDS]
+    return spark.createDataFrame(newest, "feed string, latest_day string").withColumn("latest_day", F.col("latest_day").cast("date"))
 
 
 def _loaded(spark: SparkSession, sf_dir: str, feed: str) -> tuple[str, str]:
@@ -171,6 +200,29 @@ def replace_day_empty(spark, sf_dir):
     return tables.read_raw(spark, warehouse, "stories").select("id", "score", "by", "ingested_date")
 
 
+@_query
+def reload_days_empty(spark, sf_dir):
+    """All days loaded, one landed again without any story, then all days loaded again."""
+    landing, warehouse = _loaded(spark, sf_dir, "stories")
+    nothing = adapters.stories_json(spark, sf_dir).where(F.lit(False))
+    land.land_day(parse.parse_stories(nothing), landing, "stories", DAY)
+    tables.load_days(spark, landing, warehouse, "stories")
+    return tables.read_raw(spark, warehouse, "stories").select("id", "score", "by", "ingested_date")
+
+
+@_query
+def land_days_again(spark, sf_dir):
+    """All days landed with damaged records, then the days up to one landed again whole; good rows and bad rows left per day."""
+    landing = work_dir(spark, "landing")
+    records = adapters.stories_json(spark, sf_dir)
+    land.land_days(parse.parse_stories(adapters.damaged(records), keep=["ingested_date"]), landing, "stories")
+    again = records.where(F.col("ingested_date") <= F.lit(DAY).cast("date"))
+    land.land_days(parse.parse_stories(again, keep=["ingested_date"]), landing, "stories")
+    good = land.read_landing(spark, landing, "stories").select("ingested_date", F.lit(1).alias("good"), F.lit(0).alias("bad"))
+    bad = land.read_quarantine(spark, landing, "stories").select("ingested_date", F.lit(0).alias("good"), F.lit(1).alias("bad"))
+    return good.unionByName(bad).groupBy("ingested_date").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+
+
 @_query
 def loaded_day_count(spark, sf_dir):
     _, warehouse = _loaded(spark, sf_dir, "stories")
@@ -182,7 +234,11 @@ def run_log(spark, sf_dir):
     landing, warehouse = work_dir(spark, "landing"), work_dir(spark, "warehouse")
     for feed, records in _json(spark, sf_dir).items():
         daily.ingest_day(spark, adapters.damaged(records), landing, warehouse, feed, DAY)
-    return tables.read_run_log(spark, warehouse).select("feed", "rows_fetched", "errors")
+    return tables.read_run_log(spark, warehouse).select(
+        "feed", "rows_fetched", "errors",
+        (F.col("run_at") <= F.current_timestamp()).alias("run_before_now"),
+        F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("path_end"),
+    )
 
 
 @_query
@@ -199,6 +255,53 @@ def daily_run(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+def _built(spark: SparkSession, sf_dir: str, incremental: bool) -> str:
+    """The warehouse after every day was loaded, all models were built, and the daily job ran once more for one day that had changed."""
+    landing, warehouse = work_dir(spark, "landing"), work_dir(spark, "warehouse")
+    _land_all(spark, sf_dir, landing, *FEEDS)
+    for feed in FEEDS:
+        tables.load_days(spark, landing, warehouse, feed)
+    daily.build_models(spark, warehouse)
+    again = adapters.stories_json(spark, sf_dir).where(F.col("ingested_date") == F.lit(DAY).cast("date"))
+    land.land_day(parse.parse_stories(again).where(F.col("score") >= KEPT_SCORE), landing, "stories", DAY)
+    daily.run_daily(spark, landing, warehouse, DAY, incremental=incremental)
+    return warehouse
+
+
+@_query
+def daily_author_stats(spark, sf_dir):
+    return tables.read_model(spark, _built(spark, sf_dir, True), "author_stats")
+
+
+@_query
+def daily_author_stats_full(spark, sf_dir):
+    return tables.read_model(spark, _built(spark, sf_dir, False), "author_stats")
+
+
+@_query
+def daily_article_author_stats(spark, sf_dir):
+    return tables.read_model(spark, _built(spark, sf_dir, True), "article_author_stats")
+
+
+@_query
+def daily_top_stories(spark, sf_dir):
+    return tables.read_model(spark, _built(spark, sf_dir, True), "top_stories")
+
+
+@_query
+def quality_gate(spark, sf_dir):
+    """The failing checks on stories of which some lost id, title or author."""
+    lost = F.when(F.col("id") % 29 != 0, F.col("id"))
+    stories = _stg_stories(spark, sf_dir).withColumn("author", F.when(F.col("id") % 31 != 0, F.col("author"))).withColumn("id", lost)
+    results = quality.run_checks({"stg_stories": stories, "author_stats": marts.author_stats(stories).unionByName(marts.author_stats(stories))},
+                                 [c for c in quality.CHECKS if c.model in ("stg_stories", "author_stats")])
+    try:
+        quality.gate(results)
+    except quality.QualityError as error:
+        return spark.createDataFrame(error.failed, "model string, column string, check string, failures bigint")
+    return results.where(F.lit(False))
+
+
 # --- models -----------------------------------------------------------------------------------
 
 
@@ -298,3 +401,54 @@ def explore_summary(spark, sf_dir):
 @_query
 def explore_top_authors(spark, sf_dir):
     return explore.top_authors(explore.filtered(_stories(spark, sf_dir), MIN_SCORE))
+
+
+@_query
+def top_stories_of_day(spark, sf_dir):
+    """One day of the top stories of a stored staging table; the day is asked for afterwards."""
+    warehouse = work_dir(spark, "warehouse")
+    tables.write_model(_stg_stories(spark, sf_dir), warehouse, "stg_stories")
+    return tables.of_day(marts.top_stories(tables.read_model(spark, warehouse, "stg_stories")), DAY)
+
+
+@_query
+def explore_stored(spark, sf_dir):
+    """Two questions of one filtered, kept frame over a stored mart, as one row."""
+    warehouse = work_dir(spark, "warehouse")
+    tables.write_model(marts.top_stories(_stg_stories(spark, sf_dir)), warehouse, "top_stories")
+    kept = explore.filtered(explore.stories(tables.read_model(spark, warehouse, "top_stories")), MIN_SCORE).persist()
+    try:
+        bounds, whole = explore.score_range(kept).first(), explore.summary(kept).first()
+    finally:
+        kept.unpersist()
+    row = (bounds.min_score, bounds.max_score, whole.row_count, whole.top_author, whole.active_author)
+    return spark.createDataFrame([row], "min_score int, max_score int, row_count bigint, top_author string, active_author string")
+
+
+@_query
+def explore_empty(spark, sf_dir):
+    return explore.summary(explore.filtered(_stories(spark, sf_dir), 1_000_000_000))
+
+
+def _page(df: DataFrame, *columns: str) -> DataFrame:
+    """The first page of an ordered frame with the rows' places, so that the order is compared."""
+    rows = df.limit(PAGE).select(*columns)
+    return rows.sparkSession.createDataFrame(
+        [(i, *r) for i, r in enumerate(rows.collect(), 1)],  # at most PAGE rows
+        "place bigint, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields),
+    )
+
+
+@_query
+def author_stats_page(spark, sf_dir):
+    return _page(marts.by_post_count(marts.author_stats(_stg_stories(spark, sf_dir))), "author", "post_count")
+
+
+@_query
+def explore_filtered_page(spark, sf_dir):
+    return _page(explore.by_score(explore.filtered(_stories(spark, sf_dir), MIN_SCORE)), "id", "score")
+
+
+@_query
+def explore_authors_page(spark, sf_dir):
+    return _page(explore.authors(_stories(spark, sf_dir)), "author")

@@ -2,13 +2,15 @@
 
     <landing>/<feed>/ingested_date=<YYYY-MM-DD>/status=good   JSON Lines, one parsed record each
     <landing>/<feed>/ingested_date=<YYYY-MM-DD>/status=bad    JSON Lines, {"raw": <record as received>}
+    <landing>/<feed>/ingested_date=<YYYY-MM-DD>/status=empty  a file that marks a day without good records
 
-Both come out of one pass over the input, so no record is parsed twice.
+Good and bad records come out of one pass over the input, so none is parsed twice.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,9 +19,10 @@ from pyspark.sql import types as T
 
 from feedmart.operators.topn import top_n_per_group
 from feedmart.schemas import FEED_CAP, PARSED
+from feedmart.sources import files
 
 _DAY_IN_PATH = r".*(\d{4}-\d{2}-\d{2})(?:\.json)?(?:/|$)"
-_BLANK_LINE = 1  # bytes
+_EMPTY = "status=empty/part-0.txt"
 _PARTITIONS = [T.StructField("ingested_date", T.DateType()), T.StructField("status", T.StringType())]
 
 
@@ -51,6 +54,23 @@ def read_arrays(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_arrays(records: DataFrame, path: str, per_file: int = 1000) -> None:
+    """Unparsed records (ingested_date, value) as files of one JSON array each, of at most about `per_file` records.
+
+    The files of a day are in a folder `<path>/<YYYY-MM-DD>.json`; records are
+    dealt by hash, so no day meets in one task.
+    """
+    sizes = records.groupBy("ingested_date").agg(F.count("*").alias("n"))
+    pieces = F.greatest(F.ceil(F.col("n") / per_file), F.lit(1))
+    part = F.pmod(F.xxhash64("value"), pieces)
+    arrays = records.join(sizes, "ingested_date").groupBy("ingested_date", part.alias("piece")).agg(F.collect_list("value").alias("values"))
+    lines = arrays.select(
+        F.concat(F.col("ingested_date").cast("string"), F.lit(".json")).alias("day"), "piece",
+        F.concat(F.lit("["), F.array_join("values", ","), F.lit("]")).alias("value"),
+    )
+    lines.write.partitionBy("day", "piece").text(path)
+
+
 def read_parsed_arrays(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """Files named `<prefix><YYYY-MM-DD>.json` that hold one JSON array of parsed records each."""
     files = spark.read.schema(PARSED[feed]).option("multiLine", True).option("mode", "FAILFAST").json(path)
@@ -88,14 +108,19 @@ def listing_rows(listings: DataFrame, ids: str = "ids", n: int = FEED_CAP) -> Da
     return listings.select(*others, F.posexplode(F.slice(ids, 1, n)).alias("pos", "id"))
 
 
-def cap_feed(records: DataFrame, listing: DataFrame, order: list[Column], n: int = FEED_CAP) -> DataFrame:
+def cap_feed(
+    records: DataFrame, listing: DataFrame, order: list[Column], n: int = FEED_CAP, broadcast_ids: int = 2_000_000
+) -> DataFrame:
     """The records of the first `n` ids that each day's listing names.
 
     `listing` has ingested_date, id and whatever `order` sorts by; `order` must
-    not leave ties. Only `n` ids per day and task are shuffled.
+    not leave ties. The ids taken are at most `n` per listed day. They are
+    counted, and broadcast up to `broadcast_ids`, so that the feed itself is not
+    shuffled; beyond that the join is by shuffle.
     """
-    first = top_n_per_group(listing, ["ingested_date"], order, n, rank="_pos").select("ingested_date", "id")
-    return records.join(first, ["ingested_date", "id"], "left_semi")
+    first = top_n_per_group(listing, ["ingested_date"], order, n, spread=["id"], rank="_pos").select("ingested_date", "id")
+    small = first.count() <= broadcast_ids
+    return records.join(F.broadcast(first) if small else first, ["ingested_date", "id"], "left_semi")
 
 
 # --- landing ----------------------------------------------------------------------------------
@@ -118,24 +143,32 @@ def land_day(parsed: DataFrame, landing: str, feed: str, day: str) -> Landed:
     _write(_lines(counted, feed), path, "status")
     landed = Landed(seen.get["rows_fetched"], seen.get["errors"], path)
     if landed.rows_fetched == 0:
-        # A day without records must still be found and loaded as such. File
-        # listings skip files of no length, so it gets one blank line.
-        spark.range(1).select(F.lit("")).write.mode("overwrite").text(f"{path}/status=good")
+        files.create(spark, f"{path}/{_EMPTY}", "no records\n")
     return landed
 
 
 def land_days(parsed: DataFrame, landing: str, feed: str, clustered: bool = False) -> str:
-    """Write many days at once, by the `ingested_date` column, replacing the feed's whole landing.
+    """Write many days at once, by the `ingested_date` column, replacing those days and no others.
 
     Rows are first gathered by day, in pieces of bounded size, so that a day is
     not scattered over as many files as there are tasks. Input that already
-    comes in day order is `clustered` and skips that shuffle.
+    comes in day order is `clustered` and skips that shuffle. All days are
+    written beside the landing and then moved, each replacing its folder whole,
+    so that neither good nor bad records of the day before stay.
     """
+    spark = parsed.sparkSession
     lines = _lines(parsed, feed, "ingested_date")
     if not clustered:
         lines = lines.hint("rebalance", "ingested_date")
-    path = f"{landing}/{feed}"
-    _write(lines, path, "ingested_date", "status")
+    path, beside = f"{landing}/{feed}", f"{landing}/_{feed}-{uuid.uuid4().hex}"
+    _write(lines, beside, "ingested_date", "status")
+    good = {day_of(p) for p in files.matching(spark, f"{beside}/ingested_date=*/status=good")}
+    for folder in files.matching(spark, f"{beside}/ingested_date=*"):  # at most one per calendar day
+        day = day_of(folder)
+        if day not in good:
+            files.create(spark, f"{folder}/{_EMPTY}", "no records\n")
+        files.replace(spark, folder, f"{path}/ingested_date={day}")
+    files.remove(spark, beside)
     return path
 
 
@@ -156,26 +189,19 @@ def read_quarantine(spark: SparkSession, landing: str, feed: str, day: str | Non
     return rows.where(F.col("status") == "bad").drop("status")
 
 
-def landed_days(spark: SparkSession, landing: str, feed: str) -> DataFrame:
-    """The landed days and whether they have good records, from file names and sizes alone."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(f"{landing}/{feed}")
-        .select(day_in_path(F.regexp_extract("path", r"^(.*?)/status=", 1)).alias("day"), "path", "length")
-    )
-    good = F.when(F.col("path").contains("/status=good/"), F.col("length")).otherwise(0)
-    return files.where(F.col("day").isNotNull()).groupBy("day").agg(
-        (F.sum(good) > _BLANK_LINE).alias("has_records")
-    )
+def landed_days(spark: SparkSession, landing: str, feed: str) -> dict[str, bool]:
+    """The landed days and whether they have good records, from the names of the day folders alone."""
+    days = f"{landing}/{feed}/ingested_date=*"
+    good = {day_of(path) for path in files.matching(spark, f"{days}/status=good")}
+    return {day: day in good for day in map(day_of, files.matching(spark, days))}
 
 
 def latest_day(spark: SparkSession, landing: str, feed: str) -> str:
     """The newest landed day; an error if there is none."""
-    newest = landed_days(spark, landing, feed).agg(F.max("day").cast("string").alias("day")).first().day
-    if newest is None:
+    days = landed_days(spark, landing, feed)
+    if not days:
         raise FileNotFoundError(f"nothing landed in {landing}/{feed}")
-    return newest
+    return max(days)
 
 
 def _lines(parsed: DataFrame, feed: str, *keep: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmart.schemas import MODELS, RAW, RUN_LOG
+from feedmart.sources import files
 from feedmart.sources.landing import Landed, day_of, landed_days, read_landing, read_parsed_arrays
 
 DAY = "ingested_date"
@@ -41,16 +42,20 @@ def load_file(spark: SparkSession, path: str, warehouse: str, feed: str) -> int:
     return day_count(read_raw(spark, warehouse, feed), day).first().row_count
 
 
+def load_frame(parsed: DataFrame, warehouse: str, feed: str) -> None:
+    """Load parsed records of any days, replacing the days that have records among them."""
+    writer = to_raw(parsed, feed).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(DAY).parquet(raw_path(warehouse, feed))
+
+
 def load_days(spark: SparkSession, landing: str, warehouse: str, feed: str) -> None:
     """Load every landed day in one job, replacing those days and no others."""
-    rows = to_raw(read_landing(spark, landing, feed), feed)
+    load_frame(read_landing(spark, landing, feed), warehouse, feed)
     path = raw_path(warehouse, feed)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY)
-    writer.parquet(path)
-    # Dynamic overwrite does not see a day that landed without records. There is
-    # at most one such row per calendar day.
-    for row in landed_days(spark, landing, feed).where("not has_records").collect():
-        replace_day(rows.limit(0), path, row.day.isoformat())
+    # Dynamic overwrite does not see a day that landed without records.
+    for day, has_records in landed_days(spark, landing, feed).items():
+        if not has_records:
+            files.remove(spark, f"{path}/{DAY}={day}")
 
 
 def replace_day(rows: DataFrame, path: str, day: str) -> None:

@@ -157,7 +157,7 @@ def test_models_against_brute_force_with_hot_keys(spark, seed):
         if tags:
             tags_of[author or "unknown"].update(t.strip(" ") for t in tags.split(","))
     expected = {(day, n + 1, i) for day, found in by_day.items() for n, (_, i) in enumerate(sorted(found)[:50])}
-    top = top_n_per_group(frame, ["day"], [F.desc("score"), F.asc("id")], 50)
+    top = top_n_per_group(frame, ["day"], [F.desc("score"), F.asc("id")], 50, spread=["id"])
     assert {(r.day, r.rank, r.id) for r in top.collect()} == expected
 
     staged = frame.withColumn("author", F.coalesce("author", F.lit("unknown")))

@@ -14,7 +14,7 @@ from feedmart.sources import tables
 
 SF = "/root/testdata/sf0.001"
 READ_ONLY = [
-    "parse_stories", "parse_articles", "parse_edge_cases", "parse_quarantine", "feed_cap", "stg_stories", "stg_articles",
+    "parse_stories", "parse_articles", "parse_edge_cases", "parse_quarantine", "parse_fail_mode", "stg_stories", "stg_articles",
     "top_stories", "author_stats", "article_tags", "author_tags", "author_top_tags", "article_author_stats",
     "quality_checks", "explore_filtered", "explore_articles", "explore_timeline", "explore_score_range",
     "explore_authors", "explore_summary", "explore_top_authors",
@@ -56,6 +56,22 @@ def test_one_day_of_top_stories_reads_one_partition(staged):
     assert re.search(r"PartitionFilters: \[isnotnull\(ingested_date#\d+\), \(ingested_date#\d+ = 2024-03-02\)\]", plan)
 
 
+def test_one_day_asked_for_after_ranking_reads_one_partition(staged):
+    stories, _ = staged
+    plan = _plan(tables.of_day(marts.top_stories(stories), "2024-03-02"))
+    assert re.search(r"PartitionFilters: \[isnotnull\(ingested_date#\d+\), \(ingested_date#\d+ = 2024-03-02\)\]", plan)
+
+
+def test_capping_a_feed_does_not_shuffle_it(spark, stories):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        feed = stories(*[(i, "t", 1, "a", 0, i, "2024-03-01") for i in range(20)])
+        plan = _plan(land.cap_feed(feed, feed.select("ingested_date", "id", "time"), [F.desc("time"), F.asc("id")], 3))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_author_stats_reads_four_columns_and_shuffles_once(staged):
     stories, _ = staged
     plan = _plan(marts.author_stats(stories))
