@@ -24,10 +24,13 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return numbered.select(*[F.col(f"_{df.columns.index(name)}").alias(name) for name in names])
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: cuts lineage, survives lost executors, is computed once."""
+def settle(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
+    """The frame as a table in the shared folder: cuts lineage, survives lost executors, is computed once.
+
+    `parts` is the number of tasks that write it, for a table known to be small.
+    """
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(parts) if parts else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -29,7 +29,11 @@ class Settings:
     for every way of leaving out `errors` of its values, so all such pairs meet.
     With the defaults that is a distance of 19 of 60, and a pair that shares 80
     of 100 shingles meets with a probability above 0.9999, nearer ones more
-    surely: the distance is no upper limit, every pair that meets is confirmed.
+    surely: the distance is no upper limit.
+
+    The rest only steers the work, not the result (see `_joined`): up to which
+    size all pairs of a bucket are tried at once, and in how many texts a shingle
+    is rare.
     """
 
     shingle: int = 2
@@ -39,7 +43,8 @@ class Settings:
     errors: int = 1
     bits: int = 16
     seed: int = 11
-    star_rounds: int = 8
+    small_bucket: int = 16
+    rare: int = 32
 
 
 # --- shingle sets -----------------------------------------------------------------------------
@@ -206,11 +211,19 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 def _joined(docs: DataFrame, classes: DataFrame, met: DataFrame, s: Settings) -> DataFrame:
     """Components of the classes that met under a key; exact, without the pairs of a group.
 
-    First every bucket is linked to its smallest node. What a bucket still holds
-    of other components is then tried against further members of its largest one,
-    until the pairs left between components are few against the nodes; those are
-    all tried.
-    A pair that is never tried has both ends in one component already.
+    First every bucket is tried around its smallest node. Of the buckets that
+    then still hold several components, small ones are tried pair by pair. Large
+    ones are near copies too far from each other, or texts that share a passage:
+
+    - A shingle found in few texts (`rare`) makes pairs of exactly these texts.
+    - Any other link across components can only use shingles that are neither
+      rare nor confined to one component. A text with too few of them for the
+      smallest text of its bucket needs no further try there.
+    - The texts left are tried around the one that has most of such shingles.
+    - Those then still outside the main component of their buckets are tried
+      against every text for which they have enough of such shingles.
+
+    A pair that is never tried is in one component already or cannot be linked.
     """
     nodes = met.select("node").distinct()
     wanted = classes.join(nodes, "node", "left_semi").select("node", "print", "n_shingles")
@@ -221,40 +234,116 @@ def _joined(docs: DataFrame, classes: DataFrame, met: DataFrame, s: Settings) ->
         .dropDuplicates(["node", "print"]),
         "near-texts",
     ).select("node", "n_shingles", "text")
-    n_nodes = texts.count()
-    pairs = met.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    edges = settle(_confirmed(pairs, texts, s), "near-edges")
-    groups = components(edges)
-    for turn in range(1, s.star_rounds + 1):
-        known = met.select("key", "node").join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
-        parts = settle(
-            known.groupBy("key", "part").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("lead")),
-            "near-parts",
-        )
-        mixed = parts.groupBy("key").agg(
-            F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("inner"),
-            F.max_by(F.struct("part", "lead"), F.struct("n", F.xxhash64("lead", F.lit(turn)))).alias("star"),
-        ).where("all * all > inner")
-        open_pairs = mixed.agg(F.sum((F.col("all") * F.col("all") - F.col("inner")) / 2)).first()[0] or 0
-        if not open_pairs:
-            return groups
-        last = open_pairs <= 2 * n_nodes + 10_000 or turn == s.star_rounds
-        left = known.join(mixed.select("key", F.col("star.part").alias("star_part"), F.col("star.lead").alias("lead")), "key")
-        if last:
-            other = left.select("key", F.col("node").alias("node_b"), F.col("part").alias("part_b"))
-            pairs = left.join(other, "key").where("part < part_b").select(F.col("node").alias("a"), F.col("node_b").alias("b"))
-        else:
-            pairs = left.where("part <> star_part").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-        found = settle(_confirmed(pairs.distinct(), texts, s), "near-edges")
-        if found.isEmpty():
-            if last:
-                return groups
-            continue
-        stars = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        groups = components(found.unionByName(stars))
-        if last:
-            return groups
-    return groups
+
+    def tried(pairs: DataFrame, groups: DataFrame | None) -> DataFrame:
+        found = _confirmed(pairs.distinct(), texts, s)
+        if groups is not None:
+            found = found.unionByName(groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
+        return components(settle(found, "near-edges"))
+
+    groups = tried(met.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")), None)
+    sizes = texts.groupBy("node").agg(F.max("n_shingles").alias("n"))
+    left = settle(_mixed(met.select("key", "node"), groups).join(sizes, "node"), "near-open")
+    small = _across(left.where(F.col("size") <= s.small_bucket), s)
+    large = left.where(F.col("size") > s.small_bucket).select("key", "node", "part", "n")
+    if large.isEmpty():
+        return groups if left.isEmpty() else tried(small, groups)
+    spare = _spare(texts, large.select("node", "part").distinct(), s)
+    used = spare.groupBy("node").agg(F.count("*").alias("spare"))
+    common = F.col("n") - F.coalesce("spare", F.lit(0))
+    info = settle(large.select("node", "n").distinct().join(used, "node", "left").select("node", "n", common.alias("common")), "near-common")
+    least = large.groupBy("key").agg(F.min("n").alias("least"))
+    able = settle(
+        large.drop("n").join(least, "key").join(info, "node")
+        .where(_enough(F.col("common"), F.col("n") + F.greatest("least", F.ceil(s.percent * F.col("n") / 100)), s))
+        .select("key", "node", (F.col("common") / F.col("n")).alias("centre")),
+        "near-able",
+    )
+    star = able.groupBy("key").agg(F.max_by("node", F.struct("centre", "node")).alias("a"))
+    around = settle(able.join(star, "key").select("a", F.col("node").alias("b")).distinct(), "near-stars")
+    part = groups.select("node", "component")
+    across = (
+        around.join(part.toDF("a", "part_a"), "a", "left").join(part.toDF("b", "part_b"), "b", "left")
+        .where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
+    )
+    groups = tried(small.unionByName(_rare_pairs(spare, info, s)).unionByName(across), groups)
+    open_ = _mixed(able.select("key", "node"), groups).select("node", "part").distinct()
+    outside = settle(_outside(open_, around, info, s), "near-outside")
+    return groups if outside.isEmpty() else tried(outside, groups)
+
+
+def _enough(common, sizes, s: Settings):
+    """Whether so many common shingles can be `percent` of the union of two sets with so many shingles together."""
+    return (100 + s.percent) * common >= s.percent * sizes
+
+
+def _mixed(met: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of `met` under keys that hold several components, with their component `part` and the key's `size`."""
+    known = met.join(groups, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    keys = known.groupBy("key").agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
+    return known.join(keys.where("low < high").select("key", "size"), "key")
+
+
+def _across(state: DataFrame, s: Settings) -> DataFrame:
+    """All pairs of nodes of different components under one key whose sizes allow a link."""
+    a = state.select("key", F.col("node").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"))
+    b = state.select("key", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"))
+    fits = 100 * F.least("n_a", "n_b") >= s.percent * F.greatest("n_a", "n_b")
+    return a.join(b, "key").where((F.col("part_a") < F.col("part_b")) & fits).select("a", "b").distinct()
+
+
+def _spare(texts: DataFrame, parts: DataFrame, s: Settings) -> DataFrame:
+    """(shingle, node, part, shared): per node the shingles that are rare or confined to its component; shared if not confined.
+
+    Shingles are counted before they are shuffled, so one that all texts have
+    is one row per task.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for node, part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                found = shingle_set(text.as_py(), s.shingle).view(np.int64)
+                of = pa.array(np.full(len(found), node)), pa.array(np.full(len(found), part))
+                yield pa.RecordBatch.from_arrays([*of, pa.array(found)], ["node", "part", "shingle"])
+
+    rows = texts.join(parts, "node").select("node", "part", "text").mapInArrow(run, "node long, part long, shingle long")
+    rows = settle(rows, "near-shingles")
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
+    spare = counts.where((F.col("n") <= s.rare) | (F.col("low") == F.col("high")))
+    return settle(rows.join(spare.select("shingle", (F.col("low") < F.col("high")).alias("shared")), "shingle"), "near-spare")
+
+
+def _rare_pairs(spare: DataFrame, info: DataFrame, s: Settings) -> DataFrame:
+    """Pairs across components that share rare shingles, enough of them together with the common ones."""
+    some = spare.where("shared")
+    a = some.select("shingle", F.col("node").alias("a"), F.col("part").alias("part_a"))
+    b = some.select("shingle", F.col("node").alias("b"), F.col("part").alias("part_b"))
+    both = a.join(b, "shingle").where("part_a < part_b").groupBy("a", "b").agg(F.count("*").alias("rare"))
+    sided = both.join(info.toDF("a", "n_a", "common_a"), "a").join(info.toDF("b", "n_b", "common_b"), "b")
+    most = F.least("common_a", "common_b") + F.col("rare")
+    return sided.where(_enough(most, F.col("n_a") + F.col("n_b"), s)).select("a", "b")
+
+
+def _outside(nodes: DataFrame, around: DataFrame, info: DataFrame, s: Settings) -> DataFrame:
+    """Pairs of nodes (node, part) outside the main component of their buckets with all nodes of others they may be linked with.
+
+    Buckets that share nodes are one block, so a pair comes up once and not
+    under each key. Within a block, nodes are looked up by size: the sizes that
+    a node has enough common shingles for are few.
+    """
+    block = components(around).select("node", F.col("component").alias("block"))
+    rows = nodes.join(block, "node").join(info, "node")
+    main = rows.groupBy("block", "part").count().groupBy("block").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
+    low = F.ceil(s.percent * F.col("n") / 100)
+    high = F.least(F.floor(100 * F.col("n") / s.percent), F.floor((100 + s.percent) * F.col("common") / s.percent) - F.col("n"))
+    probes = rows.join(main, "block").where((F.col("part") != F.col("main")) & (high >= low)).select(
+        "block", F.col("node").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.explode(F.sequence(low, high)).alias("n_b")
+    )
+    others = rows.select("block", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"), F.col("common").alias("common_b"))
+    pairs = probes.join(others, ["block", "n_b"]).where(
+        (F.col("part_a") != F.col("part_b")) & _enough(F.col("common_b"), F.col("n_a") + F.col("n_b"), s)
+    )
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -268,6 +357,22 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     goes by its own set. Sets hold 64-bit hashes of shingles. Further columns
     are left out.
     """
+    return _placed(docs, s).drop("print")
+
+
+def one_of_each(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The rows of `docs` that `near_duplicates` keeps, with all columns, rows that repeat id and text once.
+
+    Rows without doc_id all stay: they are linked with nothing.
+    """
+    keep = _placed(docs, s).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id"), F.col("print").alias("_kept_print"))
+    marked = docs.where("doc_id is not null").withColumn("_print", F.xxhash64("text"))
+    same = (F.col("doc_id") == F.col("_kept_id")) & (F.col("_print") == F.col("_kept_print"))
+    once = marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", "_print"]).drop("_print")
+    return once.unionByName(docs.where("doc_id is null"))
+
+
+def _placed(docs: DataFrame, s: Settings) -> DataFrame:
     rows = settle(_signatures(docs, s), "near-signatures")
     linkable = rows.where(F.col("set_key").isNotNull())
     classes = settle(
@@ -283,8 +388,9 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     by_set = classes.select("set_key", "node").join(groups, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component_id")
     )
-    return rows.select("doc_id", "n_shingles", "set_key").join(by_set, "set_key", "left").select(
+    return rows.select("doc_id", "n_shingles", "print", "set_key").join(by_set, "set_key", "left").select(
         "doc_id",
+        "print",
         "n_shingles",
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),

@@ -77,13 +77,26 @@ def test_same_components_as_all_pairs(spark):
     check(spark, rows)
 
 
-def test_repeated_rows_and_star_rounds(spark):
+def test_repeated_rows_and_long_texts(spark):
     rows = corpus(4)[:120]
-    check(spark, rows + rows[:5], Settings(star_rounds=1))
+    check(spark, rows + rows[:5], Settings(small_bucket=2, rare=2))
     long = " ".join(f"x{i % 5000}" for i in range(60_000))
     check(spark, [(1, long), (2, long + " tail"), (3, "a b c d e f g h"), (4, "b c d e f g h a")], Settings(shingle=5))
 
 
+def test_a_group_of_far_copies_in_large_buckets(spark):
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(60)]
+    base, rows = [f"b{i}" for i in range(90)], []
+    for i in range(120):
+        text = list(base)
+        for _ in range(rng.randint(0, 14)):
+            text[rng.randrange(90)] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    for small, rare in ((4, 2), (4, 6), (8, 3)):
+        check(spark, rows, Settings(small_bucket=small, rare=rare))
+
+
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     check(spark, [(1, None), (2, "")])
