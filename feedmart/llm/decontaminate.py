@@ -195,5 +195,6 @@ def _held(docs: DataFrame, benchmark: DataFrame, s: Settings) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The rows of `docs` that hold no benchmark item, with all columns."""
     held = _held(docs, benchmark, s).select(F.col("doc_id").alias("_held_id"), F.col("print").alias("_held_print")).distinct()
+    held = settle(held, "held")  # its size decides how the documents are joined
     same = docs["doc_id"].eqNullSafe(held["_held_id"]) & (F.xxhash64(docs["text"]) == held["_held_print"])
     return docs.join(held, same, "left_anti")

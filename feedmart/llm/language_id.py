@@ -243,3 +243,27 @@ def identify(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     docs = pick(docs, "doc_id", "text", "lang")
     net = fit(*training_sample(docs, ~held_out(), settings), settings)
     return predict(docs, net, held_out())
+
+
+def keep_known(docs: DataFrame, min_score: float = 0.3, settings: Settings = Settings()) -> DataFrame:
+    """The rows of `docs` whose language is known, with all columns.
+
+    Rejected are texts that are null or have no letter, and those whose best
+    language scores below `min_score`; learning is that of `identify`. If
+    nothing can be learned, only texts without a letter are rejected.
+    """
+    net = fit(*training_sample(pick(docs, "doc_id", "text", "lang"), ~held_out(), settings), settings)
+    kernel = net.kernel() if net else None
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            texts = [t.as_py() for t in batch.column(batch.schema.names.index("text"))]
+            for part in blocks(texts, lambda t: len(t or ""), 1 << 16):
+                if net is None:
+                    keep += [t is not None and any(map(str.isalpha, t)) for t in part]
+                else:
+                    keep += [lang != UNKNOWN and score >= min_score for lang, score in _judge(part, net, kernel)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

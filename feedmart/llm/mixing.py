@@ -114,8 +114,8 @@ def mix(docs: DataFrame, tokens: str, source: str = "source", doc_id: str = "doc
 
     A null source is a source of its own. A source without tokens takes no
     part. Texts without tokens are taken along. Repeated rows are taken each for
-    itself. The result has the columns of `docs`, which must not be named like
-    the four new ones.
+    itself. The result has the columns of `docs`; one that is named like a new
+    one is replaced by it.
 
     Sources only meet their own totals. Blocks are spread by a hash of the id,
     so a source with a third of all rows is as many tasks as it has blocks; one
@@ -123,7 +123,9 @@ def mix(docs: DataFrame, tokens: str, source: str = "source", doc_id: str = "doc
     the one block in which its budget ends.
     """
     own = docs.columns
-    keyed = docs.withColumn("key", _key(source))
+    inner = [f"_{i}" for i in range(len(own))]
+    tokens, source, doc_id = (f"_{own.index(c)}" for c in (tokens, source, doc_id))
+    keyed = docs.toDF(*inner).withColumn("key", _key(source))
     shares = settle(weights(settle(keyed.groupBy("key").agg(F.sum(tokens).alias("total")), "mix-totals"), s), "mix-weights")
     digits = F.conv(F.substring(_hex(F.lit(s.seed), F.lit("block"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, 8), 16, 10)
     placed = keyed.join(shares.select("key", "blocks", "weight"), "key").withColumn("block", F.pmod(digits.cast("long"), F.col("blocks")))
@@ -142,16 +144,18 @@ def mix(docs: DataFrame, tokens: str, source: str = "source", doc_id: str = "doc
     )
     order = settle(order, "mix-order")
     taken = placed.join(order.where("whole").drop("whole", "left"), ["key", "block"])
-    inner = Window.partitionBy("key", "block", "epoch").orderBy(
+    within = Window.partitionBy("key", "block", "epoch").orderBy(
         _hex(F.lit(s.seed), F.col("epoch"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.col(doc_id), F.col(tokens)
     )
     ends = (
         placed.join(order.where("not whole").drop("whole"), ["key", "block"])
-        .withColumn("used", F.sum(tokens).over(inner.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("used", F.sum(tokens).over(within.rowsBetween(Window.unboundedPreceding, 0)))
         .where(F.col("used") <= F.col("left"))
     )
-    columns = [*own, "epoch", "block", "start", "weight"]
-    return taken.select(*columns).unionByName(ends.select(*columns))
+    new = ["epoch", "block", "start", "weight"]
+    kept = [(a, b) for a, b in zip(inner, own) if b.lower() not in new]
+    both = taken.select(*inner, *new).unionByName(ends.select(*inner, *new))
+    return both.select(*[F.col(a).alias(b) for a, b in kept], *new)
 
 
 def oracle(s: Settings) -> str:

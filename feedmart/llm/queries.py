@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from feedmart.llm import chat, decontaminate, html_text, language_id, mixing, near_duplicates, quality_compression, secrets, toxicity, warc
 from feedmart.llm.common import settle, table
 
@@ -82,3 +83,8 @@ def op7_warc_derivatives(spark, sf_dir):
         F.col("headers")["X-Source-X-Page-ID"].cast("long").alias("page_id"), "type", "record_id", "refers_to", "target_uri", "date",
         "content_type", "content_length", "block_digest", F.to_json("headers").alias("headers"), F.decode("block", F.lit("UTF-8")).alias("text"),
     )
+
+
+@_query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

@@ -23,7 +23,7 @@ def rows():
 
 def manifest(spark, data, s):
     docs = spark.createDataFrame(data, SCHEMA).withColumn("tokens", word_count()).drop("text")
-    return mix(docs.selectExpr("*", "1 as total_", "'k' as weight_"), "tokens", s=s)
+    return mix(docs.selectExpr("*", "1 as total", "'k' as key", "'e' as Epoch"), "tokens", s=s)
 
 
 @pytest.mark.parametrize("s", [

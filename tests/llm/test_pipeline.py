@@ -1,0 +1,107 @@
+"""The pipeline against its stages done plainly, on a small corpus with planted cases."""
+
+import random
+
+import corpus_pipeline as pipeline
+from feedmart.llm import decontaminate, language_id, mixing, near_duplicates, secrets
+from tests.llm.test_decontaminate import brute as plain_contaminated
+from tests.llm.test_near_duplicates import brute as plain_components
+
+ITEMS = "item_id long, text string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SYLLABLES = {"aa": ["ka", "to", "mi", "ra", "sun"], "bb": ["zwe", "ür", "ßen", "ach", "pf"]}
+
+
+def prose(rng, lang, n):
+    return " ".join("".join(rng.choices(SYLLABLES[lang], k=rng.randint(1, 4))) for _ in range(n))
+
+
+def corpus():
+    rng = random.Random(12)
+    items = [(1, prose(rng, "aa", 30)), (2, prose(rng, "bb", 25))]
+    rows = []
+
+    def add(text, lang, source):
+        rows.append((len(rows), text, lang, source, len(text or "")))
+
+    for _ in range(240):
+        lang = rng.choice(["aa", "bb"])
+        add(prose(rng, lang, rng.randint(20, 90)), lang, rng.choice(["hot", "hot", "hot", "cold", None]))
+    for row in rows[:15]:  # copies, exact and near
+        words = row[1].split()
+        add(row[1], row[2], "hot")
+        words[len(words) // 2] = "sun"
+        add(" ".join(words), row[2], "cold")
+    for i in range(6):
+        add(prose(rng, "aa", 40) + " " + items[i % 2][1] + " " + prose(rng, "aa", 20), "aa", "hot")
+    for i in range(5):
+        add(prose(rng, "bb", 30) + f" password = 's3cr3t{i}xyz' " + prose(rng, "bb", 10), "bb", "cold")
+    for text in (None, "", "12 34 !!", "ka"):
+        add(text, None, "hot")
+    return rows + [rows[3]] + [(None, prose(rng, "aa", 25), "aa", None, 1)], items
+
+
+def write(spark, folder):
+    rows, items = corpus()
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, ITEMS).write.parquet(f"{folder}/benchmark.parquet")
+    return rows, items
+
+
+def test_stages_do_what_their_operators_say(spark, tmp_path):
+    rows, items = write(spark, tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    seen = {r.doc_id: r for r in language_id.identify(docs).collect()}
+    expected = [r for r in rows if seen[r[0]].lang_pred != "und" and seen[r[0]].score >= 0.3]
+    kept = {}
+    for name, stage in pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        assert name == "mixing" or docs.columns == list(pipeline.COLUMNS)
+        kept[name] = [tuple(r) for r in docs.collect()]
+    assert sorted(kept["language_id"], key=repr) == sorted(expected, key=repr)
+    assert {None, "", "12 34 !!"}.isdisjoint(r[1] for r in kept["language_id"]) and len(kept["language_id"]) == len(rows) - 3
+
+    component = plain_components([r[:2] for r in expected], 5, 80)
+    first = {(r[0], r[1]): r for r, (doc_id, _, part) in zip(expected, component) if doc_id == part}
+    assert sorted(kept["near_duplicates"], key=repr) == sorted(first.values(), key=repr)
+
+    held = {k[0] for k in plain_contaminated([r[:2] for r in first.values()], items, decontaminate.Settings())}
+    clean = [r for r in first.values() if r[0] not in held]
+    assert len(held) == 6 and sorted(kept["decontamination"], key=repr) == sorted(clean, key=repr)
+
+    said = {r[0]: r for r in kept["secret_scan"]}
+    for r in clean:
+        spans = [(m[0], m[1], m[2]) for m in secrets.base_spans(r[1])]
+        text = secrets.redact(r[1], spans)
+        assert said[r[0]][1] == text and said[r[0]][4] == (len(text) if spans else r[4])
+    assert len(said) == len(clean) and sum("[secret:assign]" in r[1] for r in said.values()) == 5
+
+    total = {}
+    for r in kept["secret_scan"]:
+        total[r[3]] = total.get(r[3], 0) + len(r[1].split())
+    names = [*pipeline.COLUMNS, "tokens", "epoch", "block", "start", "weight"]
+    for source, own in total.items():
+        taken = [dict(zip(names, r)) for r in kept["mixing"] if r[3] == source]
+        quota = taken[0]["weight"] * sum(total.values())
+        assert quota - 100 <= sum(r["tokens"] for r in taken) <= quota + 1
+        assert all(said[r["doc_id"]][1] == r["text"] for r in taken)
+    assert [tuple(r) for r in pipeline.run(spark, str(tmp_path)).select("doc_id", "epoch").orderBy("doc_id", "epoch").collect()] == sorted(
+        ((r[0], r[6]) for r in kept["mixing"]), key=lambda x: (x[0] is not None, x)
+    )
+
+
+def test_stages_take_empty_tables_and_clashing_columns(spark, tmp_path):
+    rows, items = write(spark, tmp_path)
+    clash = "'c' as key", "1 as epoch", "'b' as block", "2 as tokens", "true as kept", "'p' as print", "3 as node", "'l' as lang_pred"
+    for some in (rows[:0], rows[:30]):
+        frame = spark.createDataFrame(some, SCHEMA)
+        for _, stage in pipeline.STAGES:
+            left = stage(spark, frame.selectExpr("*", *clash), str(tmp_path))
+            assert left.count() == stage(spark, frame, str(tmp_path)).count()
+
+
+def test_registered():
+    from feedmart.llm.queries import QUERIES
+
+    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES} - {"pipeline"} and "pipeline" in QUERIES
+    assert [m.__name__ for m in (language_id, near_duplicates, decontaminate, secrets, mixing)]
