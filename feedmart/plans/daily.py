@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedmart.functions.parse import PARSERS
 from feedmart.operators.quality import gate, run_checks
 from feedmart.plans import marts, staging
-from feedmart.schemas import FEEDS, MODELS
+from feedmart.schemas import FEEDS, MODELS, PARTIALS
 from feedmart.session import pin
 from feedmart.sources import landing as land
 from feedmart.sources import tables
@@ -45,9 +45,10 @@ def ingest_day(
 def build_models(spark: SparkSession, warehouse: str, days: Mapping[str, str] | None = None) -> None:
     """Build all models from the raw tables, staging before marts.
 
-    Staging is written once and read by the marts. With `days` (feed to day),
-    the models that work row by row or day by day are rebuilt for that day only;
-    the author statistics always cover every day.
+    Staging is written once and read by the marts. Author statistics are summed
+    from tables with one row per day and author. With `days` (feed to day), only
+    that day of staging, of top stories and of these tables is read and replaced;
+    the statistics are then summed over the days' rows, not over all records.
     """
 
     def rows(df: DataFrame, feed: str) -> DataFrame:
@@ -68,33 +69,47 @@ def build_models(spark: SparkSession, warehouse: str, days: Mapping[str, str] |
     )
     stories = tables.read_model(spark, warehouse, "stg_stories")
     articles = tables.read_model(spark, warehouse, "stg_articles")
+    day_stories, day_articles = rows(stories, "stories"), rows(articles, "articles")
     _together(
         spark,
-        build("top_stories", marts.top_stories(rows(stories, "stories")), "stories"),
-        build("author_stats", marts.author_stats(stories)),
-        build("article_author_stats", marts.article_author_stats(articles)),
+        build("top_stories", marts.top_stories(day_stories), "stories"),
+        build("author_days", marts.author_days(day_stories), "stories"),
+        build("article_author_days", marts.article_author_days(day_articles), "articles"),
+        build("article_tag_days", marts.article_tag_days(day_articles), "articles"),
+    )
+    author_days, article_days, tag_days = (tables.read_model(spark, warehouse, name) for name in PARTIALS)
+    _together(
+        spark,
+        build("author_stats", marts.author_stats_of_days(author_days)),
+        build("article_author_stats", marts.article_author_stats_of_days(article_days, tag_days)),
     )
 
 
-def check_models(spark: SparkSession, warehouse: str) -> DataFrame:
-    """The results of all column checks on the built tables."""
-    return run_checks({name: tables.read_model(spark, warehouse, name) for name in MODELS})
+def check_models(spark: SparkSession, warehouse: str, days: Mapping[str, str] | None = None) -> DataFrame:
+    """The results of all column checks on the built tables; with `days`, of tables that have days only those."""
+    of = {"stg_stories": "stories", "top_stories": "stories", "stg_articles": "articles"}
+    models = {name: tables.read_model(spark, warehouse, name) for name in MODELS}
+    if days:
+        models |= {name: tables.of_day(models[name], days[feed]) for name, feed in of.items()}
+    return run_checks(models)
 
 
 def run_daily(
-    spark: SparkSession, landing: str, warehouse: str, day: str | None = None, incremental: bool = False
+    spark: SparkSession, landing: str, warehouse: str, day: str | None = None, incremental: bool = True
 ) -> dict[str, int]:
     """Load one landed day of both feeds, build the models and check them.
 
     Without `day`, each feed's newest landed day is loaded. Returns the loaded
     row counts. A failing check raises after the tables were built and leaves
-    them in place. `incremental` rebuilds only what the loaded days can change.
+    them in place. `incremental` rebuilds and checks only what the loaded days
+    can change; without it, or if a table is not there yet, all history is.
     """
     pin(spark)
     days = {feed: day or land.latest_day(spark, landing, feed) for feed in FEEDS}
     loaded = {feed: tables.load_day(spark, landing, warehouse, feed, days[feed]) for feed in FEEDS}
-    build_models(spark, warehouse, days if incremental else None)
-    gate(check_models(spark, warehouse))
+    some = days if incremental and tables.built(spark, warehouse) else None
+    build_models(spark, warehouse, some)
+    gate(check_models(spark, warehouse, some))
     return loaded
 
 

@@ -31,11 +31,60 @@ def author_stats(stg_stories: DataFrame) -> DataFrame:
     )
 
 
-def article_tags(stg_articles: DataFrame) -> DataFrame:
-    """One row per author and tag occurrence; empty pieces count as a tag."""
+def author_days(stg_stories: DataFrame) -> DataFrame:
+    """What `author_stats` needs of each day."""
+    return stg_stories.groupBy("ingested_date", "author").agg(
+        F.count("*").alias("post_count"),
+        F.sum("score").alias("score_sum"),
+        F.count("score").alias("score_count"),
+        F.sum("num_comments").alias("total_comments"),
+        F.min("story_date").alias("first_seen"),
+        F.max("story_date").alias("last_seen"),
+    )
+
+
+def author_stats_of_days(days: DataFrame) -> DataFrame:
+    """`author_stats` from the rows of `author_days` of all days."""
+    return days.groupBy("author").agg(
+        F.sum("post_count").alias("post_count"),
+        round2(F.sum("score_sum") / F.sum("score_count")).alias("avg_score"),
+        F.sum("total_comments").alias("total_comments"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+    )
+
+
+def article_author_days(stg_articles: DataFrame) -> DataFrame:
+    """What `article_author_stats` needs of each day, but for tags."""
+    return stg_articles.groupBy("ingested_date", "author").agg(
+        F.count("*").alias("post_count"),
+        F.sum(F.col("positive_reactions_count") + F.col("public_reactions_count")).alias("total_reactions"),
+        F.sum("reading_time_minutes").alias("minutes_sum"),
+        F.count("reading_time_minutes").alias("minutes_count"),
+    )
+
+
+def article_tag_days(stg_articles: DataFrame) -> DataFrame:
+    """How often each author used each tag on each day."""
+    return article_tags(stg_articles, "ingested_date").groupBy("ingested_date", "author", "tag").agg(F.count("*").alias("tag_count"))
+
+
+def article_author_stats_of_days(days: DataFrame, tag_days: DataFrame) -> DataFrame:
+    """`article_author_stats` from the rows of `article_author_days` and `article_tag_days` of all days."""
+    base = days.groupBy("author").agg(
+        F.sum("post_count").alias("post_count"),
+        F.sum("total_reactions").alias("total_reactions"),
+        round2(F.sum("minutes_sum") / F.sum("minutes_count")).alias("avg_reading_time"),
+    )
+    counts = tag_days.groupBy("author", "tag").agg(F.sum("tag_count").alias("tag_count"))
+    return base.join(_top_tags(counts, TOP_TAGS_PER_AUTHOR), "author", "left")
+
+
+def article_tags(stg_articles: DataFrame, *keep: str) -> DataFrame:
+    """One row per author and tag occurrence, with the columns `keep`; empty pieces count as a tag."""
     tagged = stg_articles.where(F.col("tag_list").isNotNull() & (F.col("tag_list") != ""))
-    return tagged.select("author", F.explode(F.split("tag_list", TAG_SEPARATOR)).alias("piece")).select(
-        "author", F.trim("piece").alias("tag")
+    return tagged.select(*keep, "author", F.explode(F.split("tag_list", TAG_SEPARATOR)).alias("piece")).select(
+        *keep, "author", F.trim("piece").alias("tag")
     )
 
 
@@ -50,8 +99,12 @@ def author_top_tags(stg_articles: DataFrame, n: int = TOP_TAGS_PER_AUTHOR) -> Da
     The window sees one row per author and tag, and each reducer of that count
     passes on at most `n` rows per author, so a hot author stays small here.
     """
+    return _top_tags(author_tags(stg_articles), n)
+
+
+def _top_tags(counts: DataFrame, n: int) -> DataFrame:
     by_use = Window.partitionBy("author").orderBy(F.desc("tag_count"), F.asc("tag"))
-    top = author_tags(stg_articles).withColumn("rn", F.row_number().over(by_use)).where(F.col("rn") <= n)
+    top = counts.withColumn("rn", F.row_number().over(by_use)).where(F.col("rn") <= n)
     tags = F.expr(f"listagg(tag, '{TAG_JOIN}') WITHIN GROUP (ORDER BY tag_count DESC, tag)")
     return top.groupBy("author").agg(tags.alias("most_used_tags"))
 

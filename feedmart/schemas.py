@@ -45,6 +45,7 @@ PARSED = {
     ),
 }
 
+# Fixed values from here to MODELS: names, types and order of the columns.
 # Raw tables, partitioned by ingested_date.
 RAW = {
     "stories": _struct(
@@ -80,6 +81,18 @@ MODELS = {
     ),
 }
 
+# What author statistics are summed from: one row per day and author (and tag), partitioned by day.
+PARTIALS = {
+    "author_days": _struct(
+        "author string, post_count bigint, score_sum bigint, score_count bigint, total_comments bigint, first_seen date, "
+        "last_seen date, ingested_date date"
+    ),
+    "article_author_days": _struct(
+        "author string, post_count bigint, total_reactions bigint, minutes_sum bigint, minutes_count bigint, ingested_date date"
+    ),
+    "article_tag_days": _struct("author string, tag string, tag_count bigint, ingested_date date"),
+}
+
 # The test tables that stand for the feeds.
 TEST_TABLES = {
     "events": _struct(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmart.schemas import MODELS, RAW, RUN_LOG
+from feedmart.schemas import MODELS, PARTIALS, RAW, RUN_LOG
 from feedmart.sources import files
 from feedmart.sources.landing import Landed, day_of, landed_days, read_landing, read_parsed_arrays
 
@@ -108,5 +108,11 @@ def write_model(df: DataFrame, warehouse: str, name: str) -> None:
 
 
 def read_model(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    """A model's table in the model's column order."""
-    return spark.read.schema(MODELS[name]).parquet(f"{warehouse}/{name}").select(*MODELS[name].names)
+    """A model's table, or one that models are summed from, in the layout's column order."""
+    layout = {**MODELS, **PARTIALS}[name]
+    return spark.read.schema(layout).parquet(f"{warehouse}/{name}").select(*layout.names)
+
+
+def built(spark: SparkSession, warehouse: str) -> bool:
+    """Whether all models have a table."""
+    return all(files.matching(spark, f"{warehouse}/{name}") for name in (*MODELS, *PARTIALS))

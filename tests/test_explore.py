@@ -90,3 +90,16 @@ def test_top_authors(frame):
     got = [tuple(r) for r in explore.top_authors(frame(*rows)).collect()]
     assert got == [(f"a{i:02}", 2 * (100 - i)) for i in range(10)]
     assert explore.top_authors(frame(*ROWS), 2).collect() == [("ben", 50), ("cat", 30)]
+
+
+def test_a_row_without_score_is_never_the_top_row(spark):
+    rows = spark.createDataFrame([(1, None, "a"), (2, 5, "b"), (3, None, "a")], "id bigint, score int, author string")
+    assert tuple(explore.summary(rows).first()) == (3, 5, "b", "a", 2)
+    assert tuple(explore.summary(rows.where("score is null")).first()) == (2, None, None, "a", 2)
+
+
+def test_no_authors_means_all_authors(spark):
+    rows = spark.createDataFrame([(1, 5, "a"), (2, 6, "b")], "id bigint, score int, author string")
+    nobody = spark.createDataFrame([], "author string")
+    assert explore.filtered(rows, authors=[]).count() == explore.filtered(rows, authors=nobody).count() == 2
+    assert explore.filtered(rows, authors=spark.createDataFrame([("b",)], "author string")).count() == 1

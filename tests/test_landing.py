@@ -161,3 +161,28 @@ def test_cap_feed_takes_the_first_of_each_day(stories):
     capped = land.cap_feed(feed, listing, [F.asc("pos")], 3)
     assert set(capped.columns) == set(feed.columns)
     assert {r.id for r in capped.collect()} == {19, 18, 17, 16, 15, 14}
+
+
+def test_land_days_replaces_only_the_days_it_is_given(spark, records, tmp_path):
+    root = str(tmp_path)
+
+    def landed(*rows):
+        many = spark.createDataFrame([(date(2024, 3, d), v) for d, v in rows], "ingested_date date, value string")
+        land.land_days(parse_stories(many, keep=["ingested_date"]), root, "stories")
+
+    landed((1, '{"id": 1}'), (1, "null"), (2, '{"id": 2}'), (2, "null"), (3, "null"))
+    landed((2, '{"id": 3}'), (4, '{"id": 4}'))
+    rows = land.read_landing(spark, root, "stories").collect()
+    assert {(r.id, r.ingested_date.day) for r in rows} == {(1, 1), (3, 2), (4, 4)}
+    assert sorted(r.ingested_date.day for r in land.read_quarantine(spark, root, "stories").collect()) == [1, 3]
+    days = land.landed_days(spark, root, "stories")
+    assert days == {"2024-03-01": True, "2024-03-02": True, "2024-03-03": False, "2024-03-04": True}
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("_")]
+
+
+def test_array_files_written_and_read(spark, tmp_path):
+    rows = [(date(2024, 3, 1 + i % 2), json.dumps({"id": i})) for i in range(50)]
+    land.write_arrays(spark.createDataFrame(rows, "ingested_date date, value string"), str(tmp_path / "a"), per_file=10)
+    back = parse_stories(land.read_arrays(spark, str(tmp_path / "a")), keep=["ingested_date"])
+    assert {(r.id, r.ingested_date.day) for r in back.collect()} == {(i, 1 + i % 2) for i in range(50)}
+    assert len(list((tmp_path / "a").glob("day=2024-03-01.json/piece=*"))) > 1

@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from feedmart.functions.scalars import round2
+from feedmart.functions.scalars import epoch_to_timestamp, round2
 from feedmart.operators.topn import top_n_per_group
 from feedmart.plans import marts, staging
 from feedmart.schemas import MODELS
@@ -165,3 +165,11 @@ def test_models_against_brute_force_with_hot_keys(spark, seed):
         a: ", ".join(t for t, _ in sorted(c.items(), key=lambda kv: (-kv[1], kv[0]))[:3]) for a, c in tags_of.items()
     }
     assert {r.author: r.most_used_tags for r in marts.author_top_tags(staged).collect()} == best
+
+
+@pytest.mark.parametrize("seconds, expected", [
+    (1_700_000_000_000, "+55840-11-08 22:13:20"), (-1, "1969-12-31 23:59:59"), (0, "1970-01-01 00:00:00"),
+])
+def test_epochs_far_from_now(spark, seconds, expected):
+    got = spark.createDataFrame([(seconds,)], "s bigint").select(epoch_to_timestamp(F.col("s")).cast("string")).first()[0]
+    assert got == expected

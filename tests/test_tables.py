@@ -134,3 +134,21 @@ def test_run_log_appends(spark, shop):
     log = tables.read_run_log(spark, warehouse).orderBy("run_at").collect()
     assert [(r.feed, r.rows_fetched, r.errors) for r in log] == [("stories", 2, 0), ("stories", 0, 1)]
     assert all(r.path.endswith(f"ingested_date={D1}") for r in log)
+
+
+@pytest.mark.parametrize("compressed", ["true", "false"])
+def test_reloading_an_emptied_day_removes_its_rows(spark, records, tmp_path, compressed):
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("mapreduce.output.fileoutputformat.compress")
+    conf.set("mapreduce.output.fileoutputformat.compress", compressed)
+    try:
+        landing, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+        for day in ("2024-03-01", "2024-03-02"):
+            land.land_day(parse_stories(records({"id": 1}, {"id": 2})), landing, "stories", day)
+        tables.load_days(spark, landing, warehouse, "stories")
+        land.land_day(parse_stories(records("null")), landing, "stories", "2024-03-01")
+        tables.load_days(spark, landing, warehouse, "stories")
+        left = tables.read_raw(spark, warehouse, "stories").groupBy("ingested_date").count().collect()
+        assert [(str(r.ingested_date), r["count"]) for r in left] == [("2024-03-02", 2)]
+    finally:
+        conf.set("mapreduce.output.fileoutputformat.compress", before or "false")
