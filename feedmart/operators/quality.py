@@ -44,19 +44,21 @@ CHECKS = (
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS) -> DataFrame:
     """One row per check: model, column, check, failures.
 
-    `not_null` counts NULL rows, all columns of a model in one pass. `unique`
-    counts the values that occur more than once; NULLs are left out.
+    `not_null` counts NULL rows, `unique` the values that occur more than once,
+    NULLs left out. All checks of a model come from one pass over it; a model
+    with checks of several `unique` columns needs one pass for each.
     """
     not_null: dict[str, list[str]] = {}
-    results = []
+    unique: dict[str, list[str]] = {}
     for check in checks:
-        if check.kind == "not_null":
-            not_null.setdefault(check.model, []).append(check.column)
-        elif check.kind == "unique":
-            results.append(_duplicates(models[check.model], check))
-        else:
+        if check.kind not in ("not_null", "unique"):
             raise ValueError(f"unknown check {check.kind!r}")
-    results += [_nulls(models[model], model, columns) for model, columns in not_null.items()]
+        chosen = not_null if check.kind == "not_null" else unique
+        chosen.setdefault(check.model, []).append(check.column)
+    results = []
+    for model in dict.fromkeys([*not_null, *unique]):
+        nulls, keys = not_null.get(model, []), unique.get(model, [None])
+        results += [_checked(models[model], model, nulls if i == 0 else [], key) for i, key in enumerate(keys)]
     return reduce(DataFrame.unionByName, results)
 
 
@@ -68,26 +70,19 @@ def gate(results: DataFrame) -> None:
         raise QualityError(f"checks failed: {listed}", [(r.model, r.column, r.check, r.failures) for r in failed])
 
 
-def _nulls(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    rows = F.array(*[
-        F.struct(
-            F.lit(model).alias("model"),
-            F.lit(c).alias("column"),
-            F.lit("not_null").alias("check"),
-            F.col(c).alias("failures"),
-        )
-        for c in columns
-    ])
-    return counts.select(F.inline(rows))
-
-
-def _duplicates(df: DataFrame, check: Check) -> DataFrame:
-    values = df.select(F.col(check.column).alias("value")).where("value is not null")
-    repeated = values.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
-    return repeated.agg(F.count("*").alias("failures")).select(
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column"),
-        F.lit("unique").alias("check"),
-        "failures",
-    )
+def _checked(df: DataFrame, model: str, not_null: list[str], unique: str | None) -> DataFrame:
+    """Null counts and, with `unique`, repeated values of that column, which are counted per value first."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(not_null)]
+    kinds = [(c, "not_null", f"_{i}") for i, c in enumerate(not_null)]
+    if unique is None:
+        counts = df.agg(*nulls)
+    else:
+        per_value = df.groupBy(F.col(unique).alias("_value")).agg(F.count("*").alias("_n"), *nulls)
+        repeated = F.count_if(F.col("_value").isNotNull() & (F.col("_n") > 1)).alias("_repeated")
+        counts = per_value.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for _, _, name in kinds], repeated)
+        kinds.append((unique, "unique", "_repeated"))
+    rows = [
+        F.struct(F.lit(model).alias("model"), F.lit(c).alias("column"), F.lit(kind).alias("check"), F.col(name).alias("failures"))
+        for c, kind, name in kinds
+    ]
+    return counts.select(F.inline(F.array(*rows)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from feedmart.functions.parse import parse_stories
-from feedmart.operators import explore
+from feedmart.operators import explore, quality
 from feedmart.plans import marts, staging
 from feedmart.sources import landing as land
 from feedmart.sources import tables
@@ -119,3 +119,11 @@ def test_landing_scan_is_pruned_to_day_and_good_records(spark, records, tmp_path
     pruned = re.search(r"PartitionFilters: \[(.*?)\]", plan).group(1)
     assert "status" in pruned and "ingested_date" in pruned
     assert frame.count() == 1
+
+
+def test_checks_read_each_model_once(spark, staged):
+    stories, articles = staged
+    frames = {"stg_stories": stories, "stg_articles": articles, "author_stats": marts.author_stats(stories)}
+    checks = [c for c in quality.CHECKS if c.model in frames]
+    plan = _plan(quality.run_checks(frames, checks))
+    assert plan.count("FileScan parquet") == 3
