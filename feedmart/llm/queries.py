@@ -81,7 +81,7 @@ def op7_warc_derivatives(spark, sf_dir):
     derived = warc.derive(warc.responses(table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z"))
     return derived.select(
         F.col("headers")["X-Source-X-Page-ID"].cast("long").alias("page_id"), "type", "record_id", "refers_to", "target_uri", "date",
-        "content_type", "content_length", "block_digest", F.to_json("headers").alias("headers"), F.decode("block", F.lit("UTF-8")).alias("text"),
+        "content_type", "content_length", "block_digest", F.to_json("headers").alias("headers"), F.decode("block", "UTF-8").alias("text"),
     )
 
 
