@@ -31,7 +31,8 @@ class Settings:
     slots; shorter items are one window of their own length if they have
     `literals` words. An item is held if `coverage` of its windows are found, or
     `windows` of them (six windows of eight are thirteen words in a row). The
-    index of the benchmark is broadcast up to `broadcast_rows` windows.
+    index of the benchmark is broadcast up to `broadcast_rows` windows. Items without
+    such a window are looked for as a whole, see `contaminated`.
     """
 
     window: int = 8
@@ -41,38 +42,47 @@ class Settings:
     broadcast_rows: int = 500_000
 
 
-def _marked(text: Column) -> Column:
+def _marked(text: Column, joined: bool = False) -> Column:
     """The text with a mark in front of every number, of the unit behind it (or of nothing), and of every name.
 
     A name is a capitalised word that follows a small letter, a comma or a
     semicolon and one space, so not the first word of a sentence. A dot or comma
-    between digits becomes one character that does not part words.
+    between digits becomes one character that does not part words. `joined`: a
+    number and its unit are one word.
     """
     names = F.regexp_replace(text, r"(\p{Lu})(?<=[\p{Ll},;] \p{Lu})(\p{Ll}+)", f"{NAME}$1$2")
     points = F.regexp_replace(F.lower(names), r"[.,](?<=\p{Nd}[.,])(?=\p{Nd})", POINT)
     unit = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
     number = rf"(\p{{Nd}}+(?:{POINT}\p{{Nd}}+)*)(?:[ -]?({unit})(?![\p{{L}}\p{{N}}]))?"
-    return F.regexp_replace(points, number, f" {NUMBER}$1 {UNIT}$2 ")
+    return F.regexp_replace(points, number, f" {NUMBER}$1{'' if joined else ' '}{UNIT}$2 ")
 
 
 # Words are parted by ASCII and Latin-1 characters other than letters and digits, and by general and CJK punctuation.
 _APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\xBF\xD7\xF7 -⁯　-〿]+"
 
 
-def words(text: Column) -> Column:
+def words(text: Column, joined: bool = False) -> Column:
     """The words of a text in lower case; slots carry their mark and value."""
-    return F.array_remove(F.split(_marked(text), _APART), "")
+    return F.array_remove(F.split(_marked(text, joined), _APART), "")
 
 
-def _prepared(df: DataFrame, keep: list[str]) -> DataFrame:
+# How a window was found: as template words, as template words with joined units, as part of an item that has
+# few plain words, word for word.
+TEMPLATE, JOINED, WHOLE, EXACT = range(4)
+
+
+def _prepared(df: DataFrame, keep: list[str], kind: int = TEMPLATE) -> DataFrame:
     """Per row the hashes of its template words and its slot values, null where a word is no slot and as a whole where none is."""
-    split = df.select(*keep, words(F.col("text")).alias("_words"))
+    return _hashed(df.select(*keep, words(F.col("text"), kind != TEMPLATE).alias("_words")), keep, kind)
+
+
+def _hashed(split: DataFrame, keep: list[str], kind: int) -> DataFrame:
     slotted = split.select(*keep, "_words", F.exists("_words", lambda w: w.startswith(MARK)).alias("_slotted"))
+    template = F.transform("_words", lambda w: F.xxhash64(F.when(w.startswith(MARK), F.substring(w, 1, 2)).otherwise(w)))
+    full = F.transform("_words", lambda w: F.xxhash64(w))
     return slotted.select(
         *keep,
-        F.when(
-            F.col("_slotted"), F.transform("_words", lambda w: F.xxhash64(F.when(w.startswith(MARK), F.substring(w, 1, 2)).otherwise(w)))
-        ).otherwise(F.transform("_words", lambda w: F.xxhash64(w))).alias("_template"),
+        full.alias("_template") if kind == EXACT else F.when(F.col("_slotted"), template).otherwise(full).alias("_template"),
         F.when(F.col("_slotted"), F.transform("_words", lambda w: F.when(w.startswith(MARK), w))).alias("_values"),
     )
 
@@ -93,46 +103,83 @@ def _values(n: int, at: str) -> Column:
     return F.array(*[F.get("_values", F.col(at) + k) for k in range(n)])
 
 
-def benchmark_index(benchmark: DataFrame, s: Settings) -> DataFrame:
-    """(length, hash, item_id, at, values, n_windows): the windows of all items; texts of equal words are indexed for each."""
-    items = _prepared(pick(benchmark, "item_id", "text").where("text is not null and item_id is not null").distinct(), ["item_id"])
+def _items(benchmark: DataFrame) -> DataFrame:
+    return pick(benchmark, "item_id", "text").where("text is not null and item_id is not null").distinct()
+
+
+def _cut(items: DataFrame, s: Settings, shortest: int) -> DataFrame:
+    """(item_id, length, hash, at, values) of all windows; an item shorter than `window` is one window of its length."""
     size = F.size("_template")
-    items = settle(items, "template-items")
-    short = [r[0] for r in items.select(size).where((size >= s.literals) & (size < s.window)).distinct().collect()]  # few lengths
+    short = [r[0] for r in items.select(size).where((size >= shortest) & (size < s.window)).distinct().collect()]  # few lengths
     rows = None
     for n in [*sorted(short), s.window]:
         own = items.where(size >= n if n == s.window else size == n)
         found = _windows(own, n, "at").select("item_id", F.lit(n).alias("length"), "hash", "at", _values(n, "at").alias("values"))
         rows = found if rows is None else rows.unionByName(found)
-    rows = rows.where(F.size(F.array_compact("values")) <= F.col("length") - s.literals)
+    return rows
+
+
+def _counted(rows: DataFrame, kind: int) -> DataFrame:
     counts = rows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    return rows.join(counts, "item_id")
+    return rows.join(counts, "item_id").withColumn("kind", F.lit(kind))
+
 
+def _plain() -> Column:
+    """How many words of a window are no slots."""
+    return F.col("length") - F.size(F.array_compact("values"))
 
-def matches(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(doc_id, print, item_id, shift, at, doc_values, item_values, n_windows): every window of a document that is also one of an item.
+
+def benchmark_index(benchmark: DataFrame, s: Settings) -> DataFrame:
+    """(item_id, length, hash, at, values, n_windows, kind): the windows of all items; texts of equal words are indexed for each."""
+    items = settle(_prepared(_items(benchmark), ["item_id"]), "template-items")
+    return _counted(_cut(items, s, s.literals).where(_plain() >= s.literals), TEMPLATE)
+
+
+def joined_index(benchmark: DataFrame, s: Settings) -> DataFrame:
+    """The same with joined units, and for items that have no window with `literals` plain words two more kinds.
+
+    These are all windows word for word, and those with a plain word as
+    templates, if the item has `literals` template words.
+    """
+    split = settle(_items(benchmark).select("item_id", words(F.col("text"), True).alias("_words")), "joined-items")
+    size = F.size("_words")
+    rows = settle(_cut(_hashed(split, ["item_id"], JOINED), s, s.literals), "joined-windows")
+    plenty = rows.where(_plain() >= s.literals)
+    # A named unit is a word of the text, so a text of `literals` words may have fewer template words.
+    said = size + F.size(F.filter("_words", lambda w: w.rlike(f"^{NUMBER}.*{UNIT}.")))
+    few = settle(split.where(said >= s.literals).join(plenty.select("item_id").distinct(), "item_id", "left_anti"), "joined-few")
+    whole = _cut(_hashed(few.where(size >= s.literals), ["item_id"], WHOLE), s, s.literals).where(_plain() >= 1)
+    exact = _cut(_hashed(few, ["item_id"], EXACT), s, 1)
+    return _counted(plenty, JOINED).unionByName(_counted(whole, WHOLE)).unionByName(_counted(exact, EXACT))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(), joined: bool = False) -> DataFrame:
+    """(doc_id, print, item_id, kind, shift, at, doc_values, item_values, n_windows): every window of a document that is also one of an item.
 
     All windows of all texts are tried. The benchmark's index is counted first:
     up to `broadcast_rows` windows it is broadcast and documents are not
     shuffled, beyond that windows are joined by shuffle. `print` is a hash of the
     text and tells documents with one id apart.
     """
-    index = settle(benchmark_index(benchmark, s), "template-index")
-    sizes = {r.length: r.n for r in index.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `window` rows
+    index = settle(joined_index(benchmark, s), "joined-index") if joined else settle(benchmark_index(benchmark, s), "template-index")
+    exact = F.col("kind") == EXACT
+    sizes = {(r.exact, r.length): r.n for r in index.groupBy(exact.alias("exact"), "length").agg(F.count("*").alias("n")).collect()}  # at most 2 x `window` rows
     small = sum(sizes.values()) <= s.broadcast_rows
     rows = pick(docs, "doc_id", "text").where("text is not null").withColumn("print", F.xxhash64("text"))
-    texts = _prepared(rows, ["doc_id", "print"])
     found = []
-    for n in sorted(sizes) or [s.window]:
-        side = index.where(F.col("length") == n).select("hash", "item_id", "at", F.col("values").alias("item_values"), "n_windows")
+    for word_for_word, n in sorted(sizes) or [(False, s.window)]:
+        texts = _prepared(rows, ["doc_id", "print"], EXACT if word_for_word else JOINED if joined else TEMPLATE)
+        side = index.where((F.col("length") == n) & (exact if word_for_word else ~exact)).select(
+            "hash", "item_id", "kind", "at", F.col("values").alias("item_values"), "n_windows"
+        )
         doc_values = _values(n, "doc_at").alias("doc_values")
         windows = _windows(texts, n, "doc_at")
         if small:
-            joined = windows.join(F.broadcast(side), "hash").withColumn("doc_values", doc_values)
+            met = windows.join(F.broadcast(side), "hash").withColumn("doc_values", doc_values)
         else:
-            joined = windows.select("doc_id", "print", "doc_at", "hash", doc_values).join(side, "hash")
-        found.append(joined.select(
-            "doc_id", "print", "item_id", (F.col("doc_at") - F.col("at")).alias("shift"), "at", "doc_values", "item_values", "n_windows"
+            met = windows.select("doc_id", "print", "doc_at", "hash", doc_values).join(side, "hash")
+        found.append(met.select(
+            "doc_id", "print", "item_id", "kind", (F.col("doc_at") - F.col("at")).alias("shift"), "at", "doc_values", "item_values", "n_windows"
         ))
     out = found[0]
     for more in found[1:]:
@@ -155,17 +202,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()
     Items that repeat are found each under its id. Items of fewer than
     `literals` words are not looked for: they say too little. An empty table on
     either side gives no rows.
+
+    Texts are read a second time with a number and its unit as one word. Items
+    that have too many slots for a window with `literals` plain words are found
+    there if all their windows with a plain word are met, with any consistent
+    values, or word for word by the rule for other items; items of nothing but
+    slots only word for word. A pair that both ways find has the figures of the first.
     """
     return _held(docs, benchmark, s).drop("print")
 
 
 def _held(docs: DataFrame, benchmark: DataFrame, s: Settings) -> DataFrame:
-    keys = ["doc_id", "print", "item_id", "shift"]
-    windows = matches(docs, benchmark, s).select(
+    owner = ["doc_id", "print", "item_id", "kind"]
+    keys = [*owner, "shift"]
+    found = matches(docs, benchmark, s).unionByName(matches(docs, benchmark, s, joined=True))
+    windows = found.select(
         *keys, "at", "n_windows",
         F.filter(F.arrays_zip("item_values", "doc_values"), lambda v: v["item_values"].isNotNull()).alias("pairs"),
     )
-    # A window of an occurrence once. Read twice below, so kept: the documents are gone through once.
+    # A window of an occurrence once. Read twice below, so kept: the documents are gone through once per reading.
     met = settle(windows.groupBy(*keys, "at", "n_windows").agg(F.max("pairs").alias("pairs")), "template-windows")
     values = met.select(*keys, F.explode("pairs").alias("v")).groupBy(*keys, F.col("v.item_values").alias("item_value")).agg(
         F.min("v.doc_values").alias("low"), F.max("v.doc_values").alias("high")
@@ -180,16 +235,22 @@ def _held(docs: DataFrame, benchmark: DataFrame, s: Settings) -> DataFrame:
         same = same & (F.col(k) == F.col(f"_{k}"))
     torn = F.exists("pairs", lambda v: F.array_contains("torn", v["item_values"]))
     counted = met.join(per, same, "left").where(~F.coalesce(torn, F.lit(False)))
-    places = counted.groupBy(*keys[:3], "at", "n_windows").agg(
+    # Windows of an item that is only taken as a whole have to be met in one occurrence.
+    one = F.when(F.col("kind") == WHOLE, F.col("shift")).alias("one")
+    places = counted.groupBy(*owner, one, "at", "n_windows").agg(
         F.max(F.coalesce("slots", F.lit(0))).alias("slots"), F.min(F.coalesce("changed", F.lit(0))).alias("changed")
     )
-    totals = places.groupBy(*keys[:3], "n_windows").agg(
+    totals = places.groupBy(*owner, "one", "n_windows").agg(
         F.count("*").alias("matched"), F.max("slots").alias("slots"), F.max("changed").alias("changed")
     )
     coverage = F.col("matched") / F.col("n_windows")
-    return totals.where((coverage >= s.coverage) | (F.col("matched") >= s.windows)).select(
-        *keys[:3], "matched", "n_windows", coverage.alias("coverage"), "slots", "changed"
+    enough = F.when(F.col("kind") == WHOLE, F.col("matched") == F.col("n_windows")).otherwise(
+        (coverage >= s.coverage) | (F.col("matched") >= s.windows)
     )
+    figures = ["matched", "n_windows", "coverage", "slots", "changed"]
+    held = totals.where(enough).withColumn("coverage", coverage)
+    first = held.groupBy(*owner[:3]).agg(F.min_by(F.struct(*figures), F.struct("kind", "changed", "slots")).alias("_first"))
+    return first.select(*owner[:3], *[F.col(f"_first.{c}").alias(c) for c in figures])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -115,3 +115,16 @@ def test_no_python_and_one_pass_over_the_documents(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Python" not in plan and "Arrow" not in plan
     assert plan.count("regexp_replace(lower(") == 1
+
+
+def test_items_of_many_numbers(spark):
+    items = [(1, "What is 12 + 15 + 7?"), (2, "What is 12 plus 15?"), (3, "1, 2, 3, 4"), (4, "What is 12 km"), (5, "What is 12?"), (6, "Compute 1 + 2 + 3 + 4 + 5 + 6 + 7 + 8 + 9 + 10 now")]
+    docs = [
+        (1, "so: What is 12 + 15 + 7? yes"), (2, "so what is 30 + 4 + 8, then"), (3, "asked what is 3 plus 4 of us"), (4, "rows 1, 2, 3, 4 end"),
+        (5, "rows 5, 6, 7, 8 end"), (6, "what is 12 km off"), (7, "what is 13 km off and what is 12 of it"), (8, "compute 3 + 4 + 5 + 6 + 7 + 8 + 9 + 11 + 12 + 13 now"),
+        (9, "what is plus 3"),
+    ]
+    for s in (Settings(), Settings(broadcast_rows=0)):
+        got = {(r.doc_id, r.item_id): r for r in contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), s).collect()}
+        assert set(got) == {(1, 1), (2, 1), (3, 2), (4, 3), (6, 4), (8, 6)}
+        assert got[1, 1].changed == 0 and got[2, 1].changed == 3 and got[2, 1].coverage == 1
