@@ -15,6 +15,14 @@ from feedmart.llm.common import pick, settle
 # What stands in front of a slot's value: a private character, so that no word starts like that by itself, and the type.
 MARK, POINT = "", ""
 NUMBER, UNIT, NAME = MARK + "n", MARK + "u", MARK + "w"
+START = MARK + "s"  # a capitalised word that may open a sentence, so may be no name
+
+# Words that open sentences and questions and are no names, beside all that the benchmark has in lower case.
+OPENERS = (
+    "a an the this that these those what which who whom whose when where why how if is are was were do does did can could will "
+    "would should has have had in on at of to for from by with and or but so then there here he she it they we you his her its "
+    "their our my your find solve compute calculate evaluate add given let suppose assume each every all some no not after before"
+).split()
 
 UNITS = (
     "mm cm dm km m mg kg g t lb oz ml cl dl l ms min h s hours hour minutes minute seconds second days day weeks week "
@@ -48,9 +56,13 @@ def _marked(text: Column, joined: bool = False) -> Column:
     A name is a capitalised word that follows a small letter, a comma or a
     semicolon and one space, so not the first word of a sentence. A dot or comma
     between digits becomes one character that does not part words. `joined`: a
-    number and its unit are one word.
+    number and its unit are one word, white space of any kind and length is one
+    space, and other capitalised words are marked as well.
     """
+    text = F.regexp_replace(text, r"[\s\x{85}\x{A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{3000}]+", " ") if joined else text
     names = F.regexp_replace(text, r"(\p{Lu})(?<=[\p{Ll},;] \p{Lu})(\p{Ll}+)", f"{NAME}$1$2")
+    if joined:  # the letter of a mark keeps a name from being marked again
+        names = F.regexp_replace(names, r"(\p{Lu})(?<![\p{L}\p{N}]\p{Lu})(\p{Ll}+)", f"{START}$1$2")
     points = F.regexp_replace(F.lower(names), r"[.,](?<=\p{Nd}[.,])(?=\p{Nd})", POINT)
     unit = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
     number = rf"(\p{{Nd}}+(?:{POINT}\p{{Nd}}+)*)(?:[ -]?({unit})(?![\p{{L}}\p{{N}}]))?"
@@ -71,9 +83,26 @@ def words(text: Column, joined: bool = False) -> Column:
 TEMPLATE, JOINED, WHOLE, EXACT = range(4)
 
 
-def _prepared(df: DataFrame, keep: list[str], kind: int = TEMPLATE) -> DataFrame:
+def _prepared(df: DataFrame, keep: list[str], kind: int = TEMPLATE, openers: list[str] = OPENERS) -> DataFrame:
     """Per row the hashes of its template words and its slot values, null where a word is no slot and as a whole where none is."""
-    return _hashed(df.select(*keep, words(F.col("text"), kind != TEMPLATE).alias("_words")), keep, kind)
+    split = words(F.col("text"), kind != TEMPLATE)
+    return _hashed(df.select(*keep, (split if kind == TEMPLATE else _named(split, openers)).alias("_words")), keep, kind)
+
+
+def _named(split: Column, openers: list[str]) -> Column:
+    """Capitalised words that may open a sentence become plain words if they are `openers`, else names."""
+    word = lambda w: F.substring(w, 3, 1 << 30)
+    named = lambda w: F.when(word(w).isin(openers), word(w)).otherwise(F.concat(F.lit(NAME), word(w)))
+    return F.transform(split, lambda w: F.when(w.startswith(START), named(w)).otherwise(w))
+
+
+def _openers(items: DataFrame) -> list[str]:
+    """The known openers, and the words that the items have both at such places and in lower case: at most a part of a dictionary."""
+    each = items.select(F.explode("_words").alias("w"))
+    start = F.col("w").startswith(START)
+    word = F.when(start, F.substring("w", 3, 1 << 30)).otherwise(F.col("w")).alias("word")
+    both = each.where(start | ~F.col("w").startswith(MARK)).groupBy(word).agg(F.count_if(start).alias("a"), F.count_if(~start).alias("b"))
+    return sorted({*OPENERS, *(r.word for r in both.where("a > 0 and b > 0").collect())})
 
 
 def _hashed(split: DataFrame, keep: list[str], kind: int) -> DataFrame:
@@ -135,13 +164,15 @@ def benchmark_index(benchmark: DataFrame, s: Settings) -> DataFrame:
     return _counted(_cut(items, s, s.literals).where(_plain() >= s.literals), TEMPLATE)
 
 
-def joined_index(benchmark: DataFrame, s: Settings) -> DataFrame:
-    """The same with joined units, and for items that have no window with `literals` plain words two more kinds.
+def joined_index(benchmark: DataFrame, s: Settings) -> tuple[DataFrame, list[str]]:
+    """The same with joined units, and for items that have no window with `literals` plain words two more kinds; and the openers.
 
     These are all windows word for word, and those with a plain word as
     templates, if the item has `literals` template words.
     """
-    split = settle(_items(benchmark).select("item_id", words(F.col("text"), True).alias("_words")), "joined-items")
+    read = settle(_items(benchmark).select("item_id", words(F.col("text"), True).alias("_words")), "joined-words")
+    openers = _openers(read)
+    split = settle(read.select("item_id", _named(F.col("_words"), openers).alias("_words")), "joined-items")
     size = F.size("_words")
     rows = settle(_cut(_hashed(split, ["item_id"], JOINED), s, s.literals), "joined-windows")
     plenty = rows.where(_plain() >= s.literals)
@@ -150,7 +181,7 @@ def joined_index(benchmark: DataFrame, s: Settings) -> DataFrame:
     few = settle(split.where(said >= s.literals).join(plenty.select("item_id").distinct(), "item_id", "left_anti"), "joined-few")
     whole = _cut(_hashed(few.where(size >= s.literals), ["item_id"], WHOLE), s, s.literals).where(_plain() >= 1)
     exact = _cut(_hashed(few, ["item_id"], EXACT), s, 1)
-    return _counted(plenty, JOINED).unionByName(_counted(whole, WHOLE)).unionByName(_counted(exact, EXACT))
+    return _counted(plenty, JOINED).unionByName(_counted(whole, WHOLE)).unionByName(_counted(exact, EXACT)), openers
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(), joined: bool = False) -> DataFrame:
@@ -161,14 +192,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(), joi
     shuffled, beyond that windows are joined by shuffle. `print` is a hash of the
     text and tells documents with one id apart.
     """
-    index = settle(joined_index(benchmark, s), "joined-index") if joined else settle(benchmark_index(benchmark, s), "template-index")
+    index, openers = joined_index(benchmark, s) if joined else (benchmark_index(benchmark, s), OPENERS)
+    index = settle(index, "joined-index" if joined else "template-index")
     exact = F.col("kind") == EXACT
     sizes = {(r.exact, r.length): r.n for r in index.groupBy(exact.alias("exact"), "length").agg(F.count("*").alias("n")).collect()}  # at most 2 x `window` rows
     small = sum(sizes.values()) <= s.broadcast_rows
     rows = pick(docs, "doc_id", "text").where("text is not null").withColumn("print", F.xxhash64("text"))
     found = []
     for word_for_word, n in sorted(sizes) or [(False, s.window)]:
-        texts = _prepared(rows, ["doc_id", "print"], EXACT if word_for_word else JOINED if joined else TEMPLATE)
+        texts = _prepared(rows, ["doc_id", "print"], EXACT if word_for_word else JOINED if joined else TEMPLATE, openers)
         side = index.where((F.col("length") == n) & (exact if word_for_word else ~exact)).select(
             "hash", "item_id", "kind", "at", F.col("values").alias("item_values"), "n_windows"
         )
@@ -203,7 +235,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()
     `literals` words are not looked for: they say too little. An empty table on
     either side gives no rows.
 
-    Texts are read a second time with a number and its unit as one word. Items
+    Texts are read a second time with a number and its unit as one word, any
+    white space as one space, and capitalised words at any place as names; there
+    words that open sentences and are no names (`OPENERS`, words that the
+    benchmark has in lower case as well) stay plain words. A number without unit
+    in the item may have one in the document. Items
     that have too many slots for a window with `literals` plain words are found
     there if all their windows with a plain word are met, with any consistent
     values, or word for word by the rule for other items; items of nothing but
@@ -216,10 +252,15 @@ def _held(docs: DataFrame, benchmark: DataFrame, s: Settings) -> DataFrame:
     owner = ["doc_id", "print", "item_id", "kind"]
     keys = [*owner, "shift"]
     found = matches(docs, benchmark, s).unionByName(matches(docs, benchmark, s, joined=True))
-    windows = found.select(
-        *keys, "at", "n_windows",
-        F.filter(F.arrays_zip("item_values", "doc_values"), lambda v: v["item_values"].isNotNull()).alias("pairs"),
+    slots = F.filter(F.arrays_zip("item_values", "doc_values"), lambda v: v["item_values"].isNotNull())
+    # A blank unit stands for any: it is no value, nor is the unit that a document gives to a number without one.
+    joined_blank = lambda v: v["item_values"].startswith(NUMBER) & v["item_values"].endswith(UNIT)
+    alike = lambda v: F.struct(
+        v["item_values"].alias("item_values"),
+        F.when(joined_blank(v), F.concat(F.substring_index(v["doc_values"], UNIT, 1), F.lit(UNIT)))
+        .when(v["item_values"] == UNIT, UNIT).otherwise(v["doc_values"]).alias("doc_values"),
     )
+    windows = found.select(*keys, "at", "n_windows", F.transform(slots, alike).alias("pairs"))
     # A window of an occurrence once. Read twice below, so kept: the documents are gone through once per reading.
     met = settle(windows.groupBy(*keys, "at", "n_windows").agg(F.max("pairs").alias("pairs")), "template-windows")
     values = met.select(*keys, F.explode("pairs").alias("v")).groupBy(*keys, F.col("v.item_values").alias("item_value")).agg(

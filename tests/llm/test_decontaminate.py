@@ -128,3 +128,16 @@ def test_items_of_many_numbers(spark):
         got = {(r.doc_id, r.item_id): r for r in contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), s).collect()}
         assert set(got) == {(1, 1), (2, 1), (3, 2), (4, 3), (6, 4), (8, 6)}
         assert got[1, 1].changed == 0 and got[2, 1].changed == 3 and got[2, 1].coverage == 1
+
+
+def test_names_that_open_sentences_line_breaks_and_added_units(spark):
+    items = [
+        (1, "Tom has 5 apples. Anna gives him 3."), (2, "Between the hills and Leeds old farmers sold 9 and 12 apples each and 9 pears"),
+        (3, "What does the bridge near the mill carry"), (4, "The bridge near what old mill carries 4 carts"),
+    ]
+    docs = [
+        (1, "Well: Paul has 7 apples. Mary gives him 4. So."), (2, "between the hills and\nLeeds old  farmers sold 9 and 12 apples each and 9 pears"),
+        (3, "between the hills and Leeds old farmers sold 9 km and 12 apples each and 9 pears"), (4, "Who does the bridge near the mill carry"),
+    ]
+    got = {(r.doc_id, r.item_id): r for r in contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 2)} and got[1, 1].changed == 4
