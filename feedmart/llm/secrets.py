@@ -40,8 +40,11 @@ class Efficiency:
 _UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 _DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 _SRI = re.compile(r"sha(?:256|384|512)-[A-Za-z0-9+/]+={0,2}")
-_NAME = re.compile(r"[A-Za-z]+(?:[-_/=+]+[A-Za-z]+)*[-_/=+]*[0-9]{0,6}")
-_BEFORE_IDENTIFIER = re.compile(r"(?:://|www\.|@|sha\d+[:-]|urn:[a-z]+:)\S*$")
+_BEFORE_IDENTIFIER = re.compile(r"(?:@[\w.-]*|sha\d+[:-]|urn:[a-z]+:[\w:.-]*)$")
+_SCHEME = re.compile(r"://|\bwww\.", re.IGNORECASE)
+_ADDRESS_END = re.compile(r"""[\s"'`<>,;|\\(){}\[\]]""")
+_HOOK = re.compile(r"hook", re.IGNORECASE)  # addresses whose path is the secret
+_REACH = 2048  # characters of an address that are looked at before and behind a run
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -53,15 +56,37 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def in_address(text: str, start: int, end: int) -> bool:
+    """Whether the run is host or path of an address, which ends at quotes, commas, brackets and white space.
+
+    User info, query and fragment are not, nor are paths of webhooks, which are secrets themselves.
+    """
+    at = max(0, start - _REACH)
+    for m in _ADDRESS_END.finditer(text, at, start):
+        at = m.end()
+    scheme = None
+    for scheme in _SCHEME.finditer(text, at, end):  # the last: an address may be part of another
+        pass
+    if scheme is None:
+        return False
+    begin = scheme.end()
+    stop = _ADDRESS_END.search(text, end, end + _REACH)
+    address = text[begin : stop.start() if stop else end + _REACH]
+    place = max(start, begin) - begin
+    authority = re.match(r"[^/?#]*", address)[0]
+    if place < authority.rfind("@"):
+        return False
+    if re.search(r"[?#]", address[:place]):
+        return False
+    return not (_HOOK.search(address[: end - begin]) and end - begin > len(authority))
+
+
 def known(text: str, start: int, end: int) -> bool:
-    """Whether the run is a digest, a UUID, a plain name or number, or part of an address."""
+    """Whether the run is a digest, a UUID, a number or a line of marks, or host or path of an address."""
     run = text[start:end]
-    if any(p.fullmatch(run) for p in (_UUID, _DIGEST, _SRI, _NAME)) or run.isdigit():
-        return True
-    classes = any(c.islower() for c in run) + any(c.isupper() for c in run) + any(c.isdigit() for c in run)
-    if classes < 2:
+    if any(p.fullmatch(run) for p in (_UUID, _DIGEST, _SRI)) or not any(c.isalpha() for c in run):
         return True
-    return bool(_BEFORE_IDENTIFIER.search(text, max(0, start - 256), start))
+    return bool(_BEFORE_IDENTIFIER.search(text, max(0, start - 256), start)) or in_address(text, start, end)
 
 
 def random_spans(text: str, taken: list[tuple[int, int, str]], runs: re.Pattern, encode, limit: float) -> list[tuple[int, int, str]]:
@@ -72,10 +97,11 @@ def random_spans(text: str, taken: list[tuple[int, int, str]], runs: re.Pattern,
         while i < len(taken) and taken[i][0] < end:
             reach = max(reach, taken[i][1])
             i += 1
-        if reach > start or known(text, start, end):
+        if reach > start:
             continue
-        tokens = sum(len(encode(text[i : min(i + 1000, end)])) for i in range(start, end, 1000))
-        if end - start < limit * tokens:
+        run = m[0].lower() if m[0].isupper() else m[0]  # words in capitals are as well known as others
+        tokens = sum(len(encode(run[k : k + 1000])) for k in range(0, len(run), 1000))
+        if end - start < limit * tokens and not known(text, start, end):
             found.append((start, end, "random"))
     return found
 

@@ -52,3 +52,19 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert got["a"][1] == "key [secret:random] and [secret:assign]" and got["a"][2] == len(got["a"][1])
     assert got[None] == (2, None, 6, None) and got["b"] == (None, "clean", 7, "b")
     assert secrets.find_secrets(frame.where("false")).count() == 0
+
+
+def test_random_strings_of_letters_and_behind_addresses(spark):
+    key = "qZxKvJwRbTnHcYfLmGdPsXeWkQuVzA"
+    found = [
+        f"use {key} here", "use qzxkvjwrbtnhcyflmgdpsxewkquvza here", f"postgres://app:{key}@db.example/x", f"postgres://{key}@db.example/x",
+        f"https://hooks.example/services/T1/B2/{RANDOM}", f'{{"home":"https://a.example","k":"{RANDOM}"}}', f"https://a.example,{RANDOM}",
+        f"https://a.example/p?sig={RANDOM}",
+    ]
+    kept = [
+        f"https://a.example/p/{RANDOM}", f"see www.a.example/{RANDOM}", f"sha256:{RANDOM}", "internationalization_of_communication",
+        "MAXIMUM_NUMBER_OF_CONNECTIONS", "=-" * 20, "2024-01-01/2024-12-31-0000", "src/main/java/com/example/service",
+    ]
+    got = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(list(enumerate(found + kept)), SCHEMA)).collect()}
+    assert [i for i, r in sorted(got.items()) if r.n_random] == list(range(len(found)))
+    assert got[2].spans == f"random:15:{15 + len(key)}"
