@@ -36,7 +36,12 @@ def name(*parts: str) -> str:
 
 # --- plain text -------------------------------------------------------------------------------
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.DOTALL | re.IGNORECASE)
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.DOTALL | re.IGNORECASE)
+# Innermost first. Without an end tag only the tag is left out, not the page behind it.
+_UNSEEN = re.compile(r"<(noscript|template)\b(?:(?!<\1\b).)*?</\1\s*>", re.DOTALL | re.IGNORECASE)
+# The head ends at its end tag or at the first element that belongs to the body; of its text only the title is no text of the page.
+_HEAD_END = re.compile(r"</head\b|<(?!(?:html|head|title|meta|link|base|noscript|template)\b)[a-z]", re.IGNORECASE)
+_HEAD_TITLE = re.compile(r"<title\b[^>]*>(?:.*?</title\s*>|[^<]*)", re.DOTALL | re.IGNORECASE)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.DOTALL | re.IGNORECASE)
 _INLINE = re.compile(r"</?(?:a|abbr|b|big|cite|code|em|font|i|kbd|mark|q|s|small|span|strong|sub|sup|time|u|var|wbr)\b[^>]*>", re.IGNORECASE)
 _TAG = re.compile(r"</?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>")
@@ -45,7 +50,13 @@ _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]
 
 def plain_text(page: str) -> str:
     """All text of a page, a line per block."""
-    bare = _TAG.sub("\0", _INLINE.sub("", _HIDDEN.sub("\0", page)))
+    seen, more = _HIDDEN.sub("\0", page), 1
+    while more:
+        seen, more = _UNSEEN.subn("\0", seen)
+    title, end = _HEAD_TITLE.search(seen), _HEAD_END.search(seen)
+    if title and (end is None or title.start() < end.start()):
+        seen = f"{seen[: title.start()]}\0{seen[title.end() :]}"
+    bare = _TAG.sub("\0", _INLINE.sub("", seen))
     lines = (" ".join(html.unescape(line).split()) for line in bare.split("\0"))
     return "\n".join(line for line in lines if line)
 

@@ -65,3 +65,12 @@ def test_files_read_back_as_they_were(spark, tmp_path, options):
     read, wrote = (sorted(key([(r.record_id, r.type, r.target_uri, r.date, str(sorted(r.headers.items())), bytes(r.block)) for r in df.collect()])) for df in (back, both))
     assert read == wrote
     assert len(warc.derive(back).collect()) == 2 * len(ROWS)
+
+
+def test_text_behind_elements_without_end_tags():
+    head = "<html><head><meta charset=utf-8><title>T <b></title><style>s</style><script>'<p>'</script>"
+    for start in ("</head><body>", "<body>", "", "<p>", "<noscript>", "<template><p>"):
+        assert warc.plain_text(f"{head}{start}One<p>two</p>") == "One\ntwo", start
+    assert warc.plain_text("<head><title>T<body>One") == "One"
+    assert warc.plain_text("<title>T</title>a<noscript>n</noscript>b<template>x<template>y</template>z</template>c") == "a\nb\nc"
+    assert warc.plain_text("<p>a</p><svg><title>drawing</title></svg>") == "a\ndrawing"
