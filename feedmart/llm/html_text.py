@@ -21,7 +21,7 @@ RESULT = "page_id long, url string, text string, n_chars long"
 # --- a page as nested containers and text blocks ----------------------------------------------
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<svg\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*/>"
     r"|<(?P<raw>script|style|textarea|noscript|template|iframe|svg|title|select)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|</?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|[^<]+|<",
     re.DOTALL | re.IGNORECASE,
@@ -45,6 +45,8 @@ _AROUND = frozenset(
 _INSIDE = frozenset("content article main post entry story text body".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 _NEVER = frozenset("head nav aside footer form fieldset dialog button menu".split())
+_HEAD_ONLY = frozenset("meta link base".split())  # beside elements without text blocks; any other ends the head
+_ARTICLES = frozenset("article main section".split())
 
 
 class Box:
@@ -76,10 +78,22 @@ def parse(page: str) -> tuple[Box, list[tuple[tuple[Box, ...], str]]]:
     """The outermost container and all text blocks in page order, each with the containers around it.
 
     Unclosed and stray tags are put up with: an end tag closes everything up to
-    its start tag, or nothing if there is none.
+    its start tag, or nothing if there is none. What belongs to the body ends
+    the head; the start of an article or section ends elements around the
+    article that have no end tag of their own.
     """
+    tokens = list(_TOKEN.finditer(page))
+    starts: dict[str, list[int]] = {}
+    unclosed: set[int] = set()  # tokens that start an element of _NEVER and have no end tag
+    for i, m in enumerate(tokens):
+        tag = (m["tag"] or "").lower()
+        if tag in _NEVER and m[0][1] != "/":
+            starts.setdefault(tag, []).append(i)
+            unclosed.add(i)
+        elif starts.get(tag):
+            unclosed.discard(starts[tag].pop())
     root = Box("", "", False)
-    path, opened, link = (root,), [""], 0
+    path, opened, numbers, link = (root,), [""], [-1], 0
     found: list[tuple[tuple[Box, ...], str]] = []
     piece: list[str] = []
 
@@ -91,18 +105,22 @@ def parse(page: str) -> tuple[Box, list[tuple[tuple[Box, ...], str]]]:
             path[-1].text.append(text)
         piece = []
 
-    for m in _TOKEN.finditer(page):
+    for number, m in enumerate(tokens):
         token, tag = m[0], m["tag"]
         if tag is None:
             if m["raw"] or (token[0] == "<" and len(token) > 1):
                 continue
             said = html.unescape(token)
+            if opened[-1] == "head" and said.strip():
+                path, opened, numbers = path[:-1], opened[:-1], numbers[:-1]
             piece.append(said)
             if link:
                 path[-1].linked += len(said.strip())
             continue
         tag = tag.lower()
         end = token[1] == "/"
+        if opened[-1] == "head" and not end and tag not in _HEAD_ONLY:
+            path, opened, numbers = path[:-1], opened[:-1], numbers[:-1]
         if tag == "a":
             link = 0 if end else 1
         if tag in _INLINE:
@@ -113,13 +131,18 @@ def parse(page: str) -> tuple[Box, list[tuple[tuple[Box, ...], str]]]:
         if not end:
             if m["attrs"].endswith("/"):
                 continue
+            if tag in _ARTICLES:
+                at = next((k for k, n in enumerate(numbers) if n in unclosed), len(numbers))
+                if at < len(numbers):
+                    path, opened, numbers, link = path[:at], opened[:at], numbers[:at], 0
             box = _box(tag, m["attrs"], any(b.tag in ("article", "main") for b in path))
             path[-1].children.append(box)
             path += (box,)
             opened.append(tag)
+            numbers.append(number)
         elif tag in opened:
             at = len(opened) - 1 - opened[::-1].index(tag)
-            path, opened = path[:at], opened[:at]
+            path, opened, numbers = path[:at], opened[:at], numbers[:at]
             link = 0
     block()
     return root, found

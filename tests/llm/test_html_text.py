@@ -90,3 +90,15 @@ def test_copies_of_one_page_are_not_taken_for_a_template():
 
 def test_empty(spark):
     assert extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_elements_without_end_tags():
+    def text(page):
+        return main_text(page, rule(of_page(parse(page)[0])))
+
+    assert text("<html><head><meta charset=utf-8><title>T</title><body><article><p>one</p></article></body>") == "one"
+    assert text("<html><head><title>T</title><p>one</p><p>two</p>") == "one two"
+    for start in ("<nav><a href=x>menu</a>", "<aside>around", "<form><input name=q>", "<nav>a</nav><nav>b", "<form><aside>a</aside>"):
+        assert text(f"<body><div>{start}<article><p>one</p></article></div></body>") == "one", start
+    assert text("<body><nav><section>menu</section></nav><article>one</article></body>") == "one"
+    assert text("<body><article><p>one <svg class='i' /> two</p></article></body>") == "one two"
