@@ -5,6 +5,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -73,9 +74,17 @@ def _marked(text: Column, joined: bool = False) -> Column:
 _APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\xBF\xD7\xF7 -⁯　-〿]+"
 
 
-def words(text: Column, joined: bool = False) -> Column:
-    """The words of a text in lower case; slots carry their mark and value."""
-    return F.array_remove(F.split(_marked(text, joined), _APART), "")
+def words(text: Column, joined: bool = False, openers: list[str] | None = None) -> Column:
+    """The words of a text in lower case; slots carry their mark and value.
+
+    Of `joined` words that may open a sentence, `openers` become plain words and
+    others names; without a list they keep a mark of their own.
+    """
+    marked = _marked(text, joined)
+    if joined and openers is not None:
+        plain = "|".join(re.escape(w) for w in sorted(openers, key=lambda w: (-len(w), w)))
+        marked = F.regexp_replace(F.regexp_replace(marked, rf"{START}({plain})(?![\p{{L}}\p{{N}}])", "$1"), START, NAME)
+    return F.array_remove(F.split(marked, _APART), "")
 
 
 # How a window was found: as template words, as template words with joined units, as part of an item that has
@@ -85,15 +94,8 @@ TEMPLATE, JOINED, WHOLE, EXACT = range(4)
 
 def _prepared(df: DataFrame, keep: list[str], kind: int = TEMPLATE, openers: list[str] = OPENERS) -> DataFrame:
     """Per row the hashes of its template words and its slot values, null where a word is no slot and as a whole where none is."""
-    split = words(F.col("text"), kind != TEMPLATE)
-    return _hashed(df.select(*keep, (split if kind == TEMPLATE else _named(split, openers)).alias("_words")), keep, kind)
-
-
-def _named(split: Column, openers: list[str]) -> Column:
-    """Capitalised words that may open a sentence become plain words if they are `openers`, else names."""
-    word = lambda w: F.substring(w, 3, 1 << 30)
-    named = lambda w: F.when(word(w).isin(openers), word(w)).otherwise(F.concat(F.lit(NAME), word(w)))
-    return F.transform(split, lambda w: F.when(w.startswith(START), named(w)).otherwise(w))
+    split = words(F.col("text"), kind != TEMPLATE, openers)
+    return _hashed(df.select(*keep, split.alias("_words")), keep, kind)
 
 
 def _openers(items: DataFrame) -> list[str]:
@@ -170,9 +172,9 @@ def joined_index(benchmark: DataFrame, s: Settings) -> tuple[DataFrame, list[str
     These are all windows word for word, and those with a plain word as
     templates, if the item has `literals` template words.
     """
-    read = settle(_items(benchmark).select("item_id", words(F.col("text"), True).alias("_words")), "joined-words")
-    openers = _openers(read)
-    split = settle(read.select("item_id", _named(F.col("_words"), openers).alias("_words")), "joined-items")
+    items = _items(benchmark)
+    openers = _openers(settle(items.select(words(F.col("text"), True).alias("_words")), "joined-words"))
+    split = settle(items.select("item_id", words(F.col("text"), True, openers).alias("_words")), "joined-items")
     size = F.size("_words")
     rows = settle(_cut(_hashed(split, ["item_id"], JOINED), s, s.literals), "joined-windows")
     plenty = rows.where(_plain() >= s.literals)
