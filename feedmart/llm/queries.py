@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedmart.llm import chat, decontaminate, html_text, language_id, mixing, near_duplicates, quality_compression, secrets, toxicity, warc
+from feedmart.llm import chat, decontaminate, html_text, language_id, mixing, near_duplicates, quality_compression, secrets, spelling, toxicity, warc
 from feedmart.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,14 @@ def op7_warc_derivatives(spark, sf_dir):
     )
 
 
+@_query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_spelling_variants"] = spelling.oracle()
+
+
 @_query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
