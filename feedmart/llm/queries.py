@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedmart.llm import chat, decontaminate, html_text, language_id, mixing, near_duplicates, quality_compression, secrets, spelling, toxicity, warc
+from feedmart.llm import chat, decontaminate, fingerprints, html_text, language_id, mixing, near_duplicates, quality_compression, secrets, spelling, toxicity, warc
 from feedmart.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,12 @@ def op12_spelling_variants(spark, sf_dir):
 ORACLES["op12_spelling_variants"] = spelling.oracle()
 
 
+@_query
+def op13_weighted_fingerprints(spark, sf_dir):
+    """Every document, its edited text and the next document, compared by weighted samples."""
+    return fingerprints.beside_edited(table(spark, sf_dir, "documents"))
+
+
 @_query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
