@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedmart.llm import chat, decontaminate, fingerprints, html_text, language_id, mixing, near_duplicates, quality_compression, secrets, spelling, toxicity, warc
+from feedmart.llm import chat, decontaminate, fingerprints, html_text, language_id, mixing, near_duplicates, quality_compression, secrets, spelling, toxicity, warc, whitening
 from feedmart.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,13 @@ def op7_warc_derivatives(spark, sf_dir):
     )
 
 
+@_query
+def op11_embedding_whitening(spark, sf_dir):
+    """Deviations beyond a long, with very many vectors, are null here."""
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 @_query
 def op12_spelling_variants(spark, sf_dir):
     return spelling.variants(table(spark, sf_dir, "documents"))

@@ -16,8 +16,12 @@ COLUMNS = {
     "op8": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op9": ["doc_id", "held_out", "score", "predicted"],
     "op10": ["doc_id", "n_shingles", "component_id", "kept"],
+    "op11": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op12": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op13": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
 }
-ROWS = {"op3": "documents", "op4": "pages", "op5": "documents", "op6": "documents", "op9": "documents", "op10": "documents"}
+ROWS = {"op3": "documents", "op4": "pages", "op5": "documents", "op6": "documents", "op9": "documents", "op10": "documents",
+        "op13": "documents"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
