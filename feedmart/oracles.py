@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from feedmart.queries import DAY, KEPT_SCORE, MIN_REACTIONS, MIN_SCORE, PAGE, STORY_AUTHORS
+from feedmart.queries import DAY, KEPT_SCORE, MIN_REACTIONS, MIN_SCORE, OTHER_DAY, PAGE, STORY_AUTHORS
 from feedmart.schemas import FEED_CAP
+from feedmart.sources.tables import RUNS_APART
 
 _RAW = """
 raw_stories AS (
@@ -112,9 +113,9 @@ def _model(select: str) -> str:
     return f"WITH {_RAW}, {_STAGED}, {_MARTS} {select}"
 
 
-def _changed(select: str) -> str:
-    """With one day's stories replaced by those with a high score."""
-    kept = f"FROM raw_stories WHERE ingested_date <> DATE '{DAY}' OR score >= {KEPT_SCORE}"
+def _changed(select: str, changed: str = f"ingested_date = DATE '{DAY}'") -> str:
+    """With the stories of one day, or of all that `changed` names, replaced by those with a high score."""
+    kept = f"FROM raw_stories WHERE NOT ({changed}) OR score >= {KEPT_SCORE}"
     return f"WITH {_RAW}, {_STAGED.replace('FROM raw_stories', kept)}, {_MARTS} {select}"
 
 
@@ -185,6 +186,9 @@ ORACLES: dict[str, str] = {
         WHERE ingested_date <> DATE '{DAY}' OR score >= {KEPT_SCORE}"""),
     "replace_day_empty": _raw(f"""
         SELECT id, score, "by", ingested_date FROM raw_stories WHERE ingested_date <> DATE '{DAY}'"""),
+    "replace_day_interrupted": _raw(f"""
+        SELECT id, score, "by", ingested_date FROM raw_stories
+        WHERE ingested_date <> DATE '{OTHER_DAY}' OR score >= {KEPT_SCORE}"""),
     "reload_days_empty": _raw(f"""
         SELECT id, score, "by", ingested_date FROM raw_stories WHERE ingested_date <> DATE '{DAY}'"""),
     "land_days_again": _raw(f"""
@@ -199,6 +203,21 @@ ORACLES: dict[str, str] = {
           UNION ALL
           SELECT 'articles', count(*) FILTER (WHERE p_partkey % 13 <> 0 AND p_partkey % 23 <> 0),
                  count(*) FILTER (WHERE p_partkey % 13 = 0 OR p_partkey % 23 = 0) FROM part)""".replace("%s", DAY),
+    "run_log_repeated": f"""
+        WITH runs AS (
+          SELECT 'stories' AS feed, count(*) AS n, count(*) FILTER (WHERE event_id % 13 <> 0 AND event_id % 23 <> 0) AS good FROM events
+          UNION ALL SELECT 'articles', count(*), count(*) FILTER (WHERE p_partkey % 13 <> 0 AND p_partkey % 23 <> 0) FROM part
+        )
+        SELECT feed, n AS rows_fetched, CAST(0 AS BIGINT) AS errors FROM runs
+        UNION ALL SELECT feed || ' again', good, n - good FROM runs, range({RUNS_APART // 2})""",
+    "daily_catch_up": _changed("""
+        SELECT 'stg_stories' AS table_name, count(*) AS row_count, CAST(sum(id * score) AS BIGINT) AS total FROM stg_stories
+        UNION ALL SELECT 'stg_articles', count(*), CAST(sum(id) AS BIGINT) FROM stg_articles
+        UNION ALL SELECT 'top_stories', count(*), CAST(sum(id * rank) AS BIGINT) FROM top_stories
+        UNION ALL SELECT 'author_stats', count(*), CAST(sum(post_count * total_comments) AS BIGINT) FROM author_stats
+        UNION ALL SELECT 'article_author_stats', count(*), CAST(sum(post_count * total_reactions) AS BIGINT) FROM article_author_stats""",
+        f"ingested_date IN (DATE '{DAY}', DATE '{OTHER_DAY}') OR ingested_date = (SELECT max(ingested_date) FROM raw_stories)"),
+    "daily_author_stats_months": _changed("SELECT * FROM author_stats", f"ingested_date = DATE '{DAY}' AND id % 3 = 0"),
     "daily_author_stats": _changed("SELECT * FROM author_stats"),
     "daily_author_stats_full": _changed("SELECT * FROM author_stats"),
     "daily_article_author_stats": _changed("SELECT * FROM article_author_stats"),

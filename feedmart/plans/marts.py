@@ -43,8 +43,30 @@ def author_days(stg_stories: DataFrame) -> DataFrame:
     )
 
 
+def author_months(days: DataFrame) -> DataFrame:
+    """The rows of `author_days` summed by month, under the month's first day."""
+    return _by_month(days, "author").agg(
+        *[F.sum(name).alias(name) for name in ("post_count", "score_sum", "score_count", "total_comments")],
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+    )
+
+
+def article_author_months(days: DataFrame) -> DataFrame:
+    sums = ("post_count", "total_reactions", "minutes_sum", "minutes_count")
+    return _by_month(days, "author").agg(*[F.sum(name).alias(name) for name in sums])
+
+
+def article_tag_months(tag_days: DataFrame) -> DataFrame:
+    return _by_month(tag_days, "author", "tag").agg(F.sum("tag_count").alias("tag_count"))
+
+
+def _by_month(days: DataFrame, *keys: str):
+    return days.groupBy(F.trunc("ingested_date", "month").alias("ingested_date"), *keys)
+
+
 def author_stats_of_days(days: DataFrame) -> DataFrame:
-    """`author_stats` from the rows of `author_days` of all days."""
+    """`author_stats` from the rows of `author_days` or `author_months` that together make up all days."""
     return days.groupBy("author").agg(
         F.sum("post_count").alias("post_count"),
         round2(F.sum("score_sum") / F.sum("score_count")).alias("avg_score"),
@@ -70,7 +92,7 @@ def article_tag_days(stg_articles: DataFrame) -> DataFrame:
 
 
 def article_author_stats_of_days(days: DataFrame, tag_days: DataFrame) -> DataFrame:
-    """`article_author_stats` from the rows of `article_author_days` and `article_tag_days` of all days."""
+    """`article_author_stats` from the rows by author and by author and tag, of days or months, that make up all days."""
     base = days.groupBy("author").agg(
         F.sum("post_count").alias("post_count"),
         F.sum("total_reactions").alias("total_reactions"),

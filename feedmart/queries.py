@@ -19,11 +19,12 @@ from feedmart.plans import daily, marts, staging
 from feedmart.schemas import FEEDS, MODELS, PARSED
 from feedmart.session import pin, work_dir
 from feedmart.sources import landing as land
-from feedmart.sources import tables
+from feedmart.sources import tables, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = "2024-01-15"
+OTHER_DAY = "2024-01-04"
 KEPT_SCORE = 20
 MIN_SCORE = 100
 MIN_REACTIONS = 910
@@ -200,6 +201,18 @@ def replace_day_empty(spark, sf_dir):
     return tables.read_raw(spark, warehouse, "stories").select("id", "score", "by", "ingested_date")
 
 
+@_query
+def replace_day_interrupted(spark, sf_dir):
+    """All days loaded, one day replaced, and another day's replacement written but broken off before it became current."""
+    landing, warehouse = _loaded(spark, sf_dir, "stories")
+    _land_again(spark, sf_dir, landing, OTHER_DAY)
+    tables.load_day(spark, landing, warehouse, "stories", OTHER_DAY)
+    _land_again(spark, sf_dir, landing, DAY)
+    rows = tables.to_raw(land.read_landing(spark, landing, "stories", DAY), "stories")
+    versions.write_part(rows.drop("ingested_date"), tables.raw_path(warehouse, "stories"), tables.part_of(DAY))
+    return tables.read_raw(spark, warehouse, "stories").select("id", "score", "by", "ingested_date")
+
+
 @_query
 def reload_days_empty(spark, sf_dir):
     """All days loaded, one landed again without any story, then all days loaded again."""
@@ -255,6 +268,67 @@ def daily_run(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+def _land_again(spark: SparkSession, sf_dir: str, landing: str, *days: str) -> None:
+    """The stories of some days landed again, without those of a low score."""
+    for day in days:
+        again = adapters.stories_json(spark, sf_dir).where(F.col("ingested_date") == F.lit(day).cast("date"))
+        land.land_day(parse.parse_stories(again).where(F.col("score") >= KEPT_SCORE), landing, "stories", day)
+
+
+@_query
+def run_log_repeated(spark, sf_dir):
+    """Each feed's run logged often enough to be folded, always under one key: first with damaged records, last with whole ones."""
+    landing, warehouse = work_dir(spark, "landing"), work_dir(spark, "warehouse")
+    for feed, records in _json(spark, sf_dir).items():
+        damaged = daily.ingest_day(spark, adapters.damaged(records), landing, warehouse, feed, DAY, run_key=f"{feed} {DAY}")
+        for other in range(tables.RUNS_APART // 2):
+            tables.append_run(spark, warehouse, f"{feed} again", damaged, f"{feed} {other}")
+        daily.ingest_day(spark, records, landing, warehouse, feed, DAY, run_key=f"{feed} {DAY}")
+    return tables.read_run_log(spark, warehouse).select("feed", "rows_fetched", "errors")
+
+
+@_query
+def daily_catch_up(spark, sf_dir):
+    """All days built, then two days loaded in bulk and a third by the daily job, which finds all three; rows and sums per table."""
+    landing, later, warehouse = (work_dir(spark, name) for name in ("landing", "later", "warehouse"))
+    _land_all(spark, sf_dir, landing, *FEEDS)
+    for feed in FEEDS:
+        tables.load_days(spark, landing, warehouse, feed)
+    daily.build_models(spark, warehouse)
+    _land_again(spark, sf_dir, later, OTHER_DAY, DAY)
+    tables.load_days(spark, later, warehouse, "stories")
+    _land_again(spark, sf_dir, landing, land.latest_day(spark, landing, "stories"))
+    daily.run_daily(spark, landing, warehouse)
+    sums = {
+        "stg_stories": F.col("id") * F.col("score"), "stg_articles": F.col("id"), "top_stories": F.col("id") * F.col("rank"),
+        "author_stats": F.col("post_count") * F.col("total_comments"), "article_author_stats": F.col("post_count") * F.col("total_reactions"),
+    }
+    rows = [
+        tables.read_model(spark, warehouse, name).agg(F.count("*").alias("row_count"), F.sum(of).cast("bigint").alias("total"))
+        .select(F.lit(name).alias("table_name"), "row_count", "total")
+        for name, of in sums.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@_query
+def daily_author_stats_months(spark, sf_dir):
+    """Stories dealt over three months, built, then one day of a closed month replaced and the daily job run for it."""
+    landing, warehouse = work_dir(spark, "landing"), work_dir(spark, "warehouse")
+    _land_all(spark, sf_dir, landing, "articles")
+    records = adapters.stories_json(spark, sf_dir)
+    spread = records.withColumn("ingested_date", F.add_months("ingested_date", (F.col("record") % 3).cast("int")))
+    land.land_days(parse.parse_stories(spread, keep=["ingested_date"]), landing, "stories")
+    for feed in FEEDS:
+        tables.load_days(spark, landing, warehouse, feed)
+    daily.build_models(spark, warehouse)
+    again = spread.where(F.col("ingested_date") == F.lit(DAY).cast("date"))
+    land.land_day(parse.parse_stories(again).where(F.col("score") >= KEPT_SCORE), landing, "stories", DAY)
+    tables.load_day(spark, landing, warehouse, "stories", DAY)
+    daily.build_models(spark, warehouse, changed_only=True)
+    return tables.read_model(spark, warehouse, "author_stats")
+
+
 def _built(spark: SparkSession, sf_dir: str, incremental: bool) -> str:
     """The warehouse after every day was loaded, all models were built, and the daily job ran once more for one day that had changed."""
     landing, warehouse = work_dir(spark, "landing"), work_dir(spark, "warehouse")

@@ -93,6 +93,10 @@ PARTIALS = {
     "article_tag_days": _struct("author string, tag string, tag_count bigint, ingested_date date"),
 }
 
+# The same summed over each closed month, under the month's first day.
+MONTHS = {"author_days": "author_months", "article_author_days": "article_author_months", "article_tag_days": "article_tag_months"}
+PARTIALS |= {months: PARTIALS[days] for days, months in MONTHS.items()}
+
 # The test tables that stand for the feeds.
 TEST_TABLES = {
     "events": _struct(

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from feedmart.functions.parse import parse_stories
 from feedmart.schemas import RAW
 from feedmart.sources import landing as land
-from feedmart.sources import tables
+from feedmart.sources import tables, versions
 
 D1, D2 = "2024-03-01", "2024-03-02"
 
@@ -136,6 +136,48 @@ def test_run_log_appends(spark, shop):
     assert all(r.path.endswith(f"ingested_date={D1}") for r in log)
 
 
+def test_a_load_broken_before_the_switch_leaves_the_old_day(spark, shop, monkeypatch):
+    landing, warehouse, put = shop
+    put(D1, 1, 2)
+    put(D2, 3)
+    tables.load_days(spark, landing, warehouse, "stories")
+    put(D1, 9)
+    switch = versions.switch
+
+    def broken(*args, **more):
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(versions, "switch", broken)
+    for load in (lambda: tables.load_day(spark, landing, warehouse, "stories", D1), lambda: tables.load_days(spark, landing, warehouse, "stories")):
+        with pytest.raises(RuntimeError):
+            load()
+        assert _ids(spark, warehouse) == [(D1, 1), (D1, 2), (D2, 3)]
+    monkeypatch.setattr(versions, "switch", switch)
+    assert tables.load_day(spark, landing, warehouse, "stories", D1) == 1
+    assert _ids(spark, warehouse) == [(D1, 9), (D2, 3)]
+
+
+def test_a_repeated_run_replaces_its_row(spark, shop):
+    _, warehouse, put = shop
+    landed = put(D1, 1, 2)
+    for key in ("a", "b", "a"):
+        tables.append_run(spark, warehouse, "stories", landed, key)
+    tables.append_run(spark, warehouse, "stories", landed._replace(rows_fetched=7), "b")
+    assert sorted(r.rows_fetched for r in tables.read_run_log(spark, warehouse).collect()) == [2, 7]
+
+
+def test_many_runs_are_few_files(spark, shop, monkeypatch):
+    _, warehouse, put = shop
+    monkeypatch.setattr(tables, "RUNS_APART", 3)
+    landed = put(D1, 1)
+    for run in range(3 * tables.RUNS_APART):
+        tables.append_run(spark, warehouse, "stories", landed._replace(rows_fetched=run), f"run {run}")
+    tables.append_run(spark, warehouse, "stories", landed._replace(rows_fetched=1000), "run 0")  # long folded
+    log = tables.read_run_log(spark, warehouse)
+    assert sorted(r.rows_fetched for r in log.collect()) == [*range(1, 3 * tables.RUNS_APART), 1000]
+    assert len(log.inputFiles()) <= tables.RUNS_APART + 1
+
+
 @pytest.mark.parametrize("compressed", ["true", "false"])
 def test_reloading_an_emptied_day_removes_its_rows(spark, records, tmp_path, compressed):
     conf = spark._jsc.hadoopConfiguration()

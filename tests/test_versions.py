@@ -1,0 +1,117 @@
+"""Parts replaced without a gap: what readers see between the steps, writers at once, what is removed."""
+
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import types as T
+
+from feedmart.sources import files, versions
+from feedmart.sources.versions import Part
+
+SCHEMA = T.StructType([T.StructField("x", T.LongType()), T.StructField("d", T.StringType())])
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    path = str(tmp_path / "table")
+
+    def put(part, *values, only_write=False):
+        rows = spark.createDataFrame([(v,) for v in values], "x long")
+        version = versions.write_part(rows, path, f"d={part}")
+        if not only_write:
+            versions.switch(spark, path, {f"d={part}": Part(version)})
+        return version
+
+    return path, put
+
+
+def _rows(spark, path, parts=None):
+    return sorted((r.d, r.x) for r in versions.read(spark, path, SCHEMA, parts).collect())
+
+
+def test_a_write_shows_only_after_the_switch(spark, table):
+    path, put = table
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, path, SCHEMA)
+    put("a", 1, 2)
+    put("b", 3)
+    broken = put("a", 9, only_write=True)
+    assert _rows(spark, path) == [("a", 1), ("a", 2), ("b", 3)]
+    assert versions.sweep(spark, path) == [p for p in [f"file:{path}/v={broken}"]]
+    assert _rows(spark, path, ["d=b"]) == [("b", 3)]
+    put("a")
+    assert _rows(spark, path) == [("b", 3)]
+
+
+def test_a_reader_that_has_looked_is_not_cut_off(spark, table):
+    path, put = table
+    put("a", 1)
+    seen = versions.read(spark, path, SCHEMA)
+    put("a", 2)
+    assert [r.x for r in seen.collect()] == [1]
+    assert [r.x for r in versions.read(spark, path, SCHEMA).collect()] == [2]
+
+
+def test_what_two_pointers_do_not_name_is_removed(spark, table):
+    path, put = table
+    found = [put("a", i) for i in range(5)]
+    left = sorted(p.name for p in Path(path).glob("v=*"))
+    assert left == sorted(f"v={v}" for v in found[-2:])
+    assert len(list(Path(path, "_current").glob("p*"))) == 2
+
+
+def test_one_write_of_many_parts_loses_only_the_replaced_one(spark, table):
+    path, put = table
+    version, parts = versions.write(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], SCHEMA), path, "d")
+    assert parts == {"d=a", "d=b", "d=c"}
+    versions.switch(spark, path, {part: Part(version) for part in parts})
+    for value in (7, 8, 9):
+        put("b", value)
+    assert _rows(spark, path) == [("a", 1), ("b", 9), ("c", 3)]
+    assert sorted(p.name for p in Path(path, f"v={version}").glob("d=*")) == ["d=a", "d=c"]
+
+
+def test_writers_at_once_keep_each_other_s_parts(spark, table, monkeypatch):
+    path, put = table
+    put("a", 1)
+    create, raced = files.create_once, []
+
+    def slow(spark_, target, text):
+        if not raced:
+            raced.append(True)
+            put("b", 2)  # another writer is faster
+        return create(spark_, target, text)
+
+    monkeypatch.setattr(files, "create_once", slow)
+    put("c", 3)
+    assert _rows(spark, path) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_a_part_is_dropped_only_in_the_version_that_was_seen(spark, table):
+    path, put = table
+    old = Part(put("a", 1))
+    put("a", 2)
+    versions.switch(spark, path, {}, drop={"d=a": old})
+    assert _rows(spark, path) == [("a", 2)]
+    versions.switch(spark, path, {}, drop=dict(versions.current(spark, path)))
+    assert versions.current(spark, path) == {}
+
+
+def test_parts_without_files_are_empty(spark, table):
+    path, put = table
+    versions.switch(spark, path, {"d=a": Part("w1", False, "s")})
+    assert _rows(spark, path) == []
+    assert versions.current(spark, path) == {"d=a": Part("w1", False, "s")}
+    assert json.loads(files.text(spark, files.matching(spark, f"{path}/_current/p*")[0])) == {"d=a": ["w1", False, "s"]}
+
+
+def test_replacing_a_folder_puts_the_old_one_back_if_the_move_fails(spark, tmp_path):
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "x").write_text("1")
+    with pytest.raises(Exception, match="missing"):
+        files.replace(spark, str(tmp_path / "missing"), str(tmp_path / "old"))
+    assert (tmp_path / "old" / "x").read_text() == "1"
+    (tmp_path / "new").mkdir()
+    files.replace(spark, str(tmp_path / "new"), str(tmp_path / "old"))
+    assert [p.name for p in tmp_path.iterdir()] == ["old"] and not list((tmp_path / "old").iterdir())
