@@ -142,27 +142,38 @@ def index_keys(signatures: np.ndarray, s: Settings) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, s: Settings) -> DataFrame:
-    """Per row its number of shingles, a key of its set, and the set's signature; no key if it cannot be linked."""
+    """Per row its number of shingles, hashes of its text and of all its columns, a key of its set, and the set's signature; no key if it cannot be linked."""
 
     def run(batches):
         for batch in batches:
             rows, seen = [], {}
-            for doc_id, text, print_ in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            for doc_id, text, *hashes in zip(batch.column(0).to_pylist(), batch.column(1), *(batch.column(i).to_pylist() for i in (2, 3))):
                 found = shingle_set(text.as_py(), s.shingle)
                 if not len(found) or doc_id is None:
-                    rows.append((doc_id, len(found), print_, None, None))
+                    rows.append((doc_id, len(found), *hashes, None, None))
                     continue
                 key = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 if key not in seen:
                     seen[key] = signature(found, s).tobytes()
-                rows.append((doc_id, len(found), print_, key, seen[key]))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            columns = list(zip(*rows)) or [()] * 5
-            names = ["doc_id", "n_shingles", "print", "set_key", "signature"]
+                rows.append((doc_id, len(found), *hashes, key, seen[key]))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            columns = list(zip(*rows)) or [()] * 6
+            names = ["doc_id", "n_shingles", "print", "whole", "set_key", "signature"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    rows = pick(docs, "doc_id", "text").withColumn("print", F.xxhash64("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, print long, set_key binary, signature binary")
+    return _hashed(docs).mapInArrow(run, "doc_id long, n_shingles long, print long, whole long, set_key binary, signature binary")
+
+
+def _hashed(docs: DataFrame, *keep: str) -> DataFrame:
+    """doc_id and text with a hash of the text and one of the whole row; and with the columns `keep` of the numbered frame."""
+    numbered = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    doc_id, text = (F.col(f"_{docs.columns.index(name)}") for name in ("doc_id", "text"))
+    hashes = F.xxhash64(text).alias("print"), F.xxhash64(*[F.to_json(F.struct(c)) if _nested(numbered, c) else F.col(c) for c in numbered.columns]).alias("whole")
+    return numbered.select(doc_id.alias("doc_id"), text.alias("text"), *hashes, *keep)
+
+
+def _nested(df: DataFrame, name: str) -> bool:
+    return "map<" in df.schema[name].dataType.simpleString()  # maps have no hash
 
 
 def _index(classes: DataFrame, s: Settings) -> DataFrame:
@@ -226,14 +237,9 @@ def _joined(docs: DataFrame, classes: DataFrame, met: DataFrame, s: Settings) ->
     A pair that is never tried is in one component already or cannot be linked.
     """
     nodes = met.select("node").distinct()
-    wanted = classes.join(nodes, "node", "left_semi").select("node", "print", "n_shingles")
-    rows = pick(docs, "doc_id", "text").where("doc_id is not null")
-    texts = settle(
-        rows.select(F.col("doc_id").alias("node"), F.xxhash64("text").alias("print"), "text")
-        .join(wanted, ["node", "print"])
-        .dropDuplicates(["node", "print"]),
-        "near-texts",
-    ).select("node", "n_shingles", "text")
+    wanted = classes.join(nodes, "node", "left_semi").select("node", "doc_id", "print", "n_shingles")
+    rows = pick(docs, "doc_id", "text").where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("print"), "text")
+    texts = settle(rows.join(wanted, ["doc_id", "print"]).dropDuplicates(["node"]), "near-texts").select("node", "n_shingles", "text")
 
     def tried(pairs: DataFrame, groups: DataFrame | None) -> DataFrame:
         found = _confirmed(pairs.distinct(), texts, s)
@@ -352,46 +358,53 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     A-Z are lower-cased; words are runs without ASCII white space. Texts with
     equal sets are one class and never expanded into pairs. A text without words
     (null, empty) and a row without doc_id are linked with nothing: their
-    component is their own doc_id and they are kept. Rows that repeat a doc_id
-    with the same text are all kept if that doc_id is; with another text each
-    goes by its own set. Sets hold 64-bit hashes of shingles. Further columns
-    are left out.
+    component is their own doc_id and they are kept. Classes are told apart by
+    their sets and not by ids, so rows that repeat a doc_id with another text go
+    each by its own set, and ids tie no texts together. Sets hold 64-bit hashes
+    of shingles. Further columns are left out.
     """
-    return _placed(docs, s).drop("print")
+    return _placed(docs, s).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def one_of_each(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The rows of `docs` that `near_duplicates` keeps, with all columns, rows that repeat id and text once.
+    """One row of `docs` for each component, with all columns; rows that are linked with nothing stay, repeated ones once.
 
-    Rows without doc_id all stay: they are linked with nothing.
+    Of a component the row with the smallest doc_id stays; of several such rows
+    the one with the smallest hash of its text, then of all its columns. Rows
+    without doc_id all stay.
     """
-    keep = _placed(docs, s).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id"), F.col("print").alias("_kept_print"))
-    marked = docs.where("doc_id is not null").withColumn("_print", F.xxhash64("text"))
-    same = (F.col("doc_id") == F.col("_kept_id")) & (F.col("_print") == F.col("_kept_print"))
-    once = marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", "_print"]).drop("_print")
-    return once.unionByName(docs.where("doc_id is null"))
+    placed = _placed(docs, s).where("doc_id is not null")
+    first = F.min(F.struct("doc_id", "print", "whole")).alias("first")
+    linkable = placed.where("component is not null").groupBy("component").agg(first)
+    alone = placed.where("component is null").groupBy("doc_id", "print").agg(first)
+    keep = linkable.select("first.*").unionByName(alone.select("first.*"))
+    columns = [f"_{i}" for i in range(len(docs.columns))]
+    rows = _hashed(docs, *columns)
+    once = rows.where("doc_id is not null").join(keep, ["doc_id", "print", "whole"], "left_semi").dropDuplicates(["doc_id", "print", "whole"])
+    return once.unionByName(rows.where("doc_id is null")).select(*columns).toDF(*docs.columns)
 
 
 def _placed(docs: DataFrame, s: Settings) -> DataFrame:
+    """Per row also the hashes of its text and columns and the number of its component, null if it cannot be linked."""
     rows = settle(_signatures(docs, s), "near-signatures")
     linkable = rows.where(F.col("set_key").isNotNull())
     classes = settle(
         linkable.groupBy("set_key").agg(
             F.min(F.struct("doc_id", "print")).alias("first"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature")
-        ).select("set_key", F.col("first.doc_id").alias("node"), F.col("first.print").alias("print"), "n_shingles", "signature"),
+        ).select("set_key", F.monotonically_increasing_id().alias("node"), "first.doc_id", "first.print", "n_shingles", "signature"),
         "near-classes",
     )
     index = _index(classes, s)
     shared = index.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1").select("key", "lead")
     met = settle(index.join(shared, "key"), "near-index")
     groups = _joined(docs, classes, met, s)
-    by_set = classes.select("set_key", "node").join(groups, "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("component_id")
+    by_set = classes.select("set_key", "node", "doc_id").join(groups, "node", "left").select(
+        "set_key", F.coalesce("component", "node").alias("component"), F.col("doc_id").alias("first_id")
     )
-    return rows.select("doc_id", "n_shingles", "print", "set_key").join(by_set, "set_key", "left").select(
-        "doc_id",
-        "print",
-        "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
+    least = by_set.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    placed = by_set.select("set_key", "component").join(least, "component")
+    own = F.coalesce("component_id", "doc_id")
+    return rows.join(placed, "set_key", "left").select(
+        "doc_id", "print", "whole", "component", "n_shingles", own.alias("component_id"),
+        F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"),
     )

@@ -4,7 +4,7 @@ import re
 import numpy as np
 
 from feedmart.llm.components import components
-from feedmart.llm.near_duplicates import Settings, index_keys, linked, near_duplicates, shingle_set, signature, word_hashes
+from feedmart.llm.near_duplicates import Settings, index_keys, linked, near_duplicates, one_of_each, shingle_set, signature, word_hashes
 
 SCHEMA = "doc_id long, text string"
 
@@ -97,6 +97,36 @@ def test_a_group_of_far_copies_in_large_buckets(spark):
         check(spark, rows, Settings(small_bucket=small, rare=rare))
 
 
+A, B = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+
+
+def test_repeated_ids_with_other_texts(spark):
+    """An id that stands on unlike texts ties nothing together."""
+    check(spark, [(1, f"{A} z"), (5, A), (5, B), (9, f"{B} y"), (5, None), (5, "c d"), (9, A)])
+    rows = corpus(6)
+    check(spark, [(i % 40, text) for i, text in rows])
+
+
+def kept_rows(spark, rows, schema):
+    return sorted((tuple(r) for r in one_of_each(spark.createDataFrame(rows, schema)).collect()), key=repr)
+
+
+def test_one_of_each_keeps_every_unlike_text(spark):
+    rows = [(1, f"{A} z"), (5, A), (5, B), (9, f"{B} y"), (5, ""), (5, ""), (7, None), (None, A), (None, A)]
+    want = [(1, f"{A} z"), (5, B), (5, ""), (7, None), (None, A), (None, A)]
+    assert kept_rows(spark, rows, SCHEMA) == sorted(want, key=repr)
+
+
+def test_one_of_each_with_ties_and_clashing_columns(spark):
+    schema = "doc_id long, text string, _print long, _kept_id string, TEXT string, m map<string,int>"
+    rows = [(3, A, 1, "x", "t", {"a": 1}), (3, A, 2, "y", "t", None), (3, A, 2, "y", "t", None), (3, A.upper(), 1, "x", "t", None), (4, f"{A} q", 0, "", "", None)]
+    once = kept_rows(spark, rows, schema)
+    assert len(once) == 1 and once[0] in rows and once[0][0] == 3
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        assert kept_rows(spark, rows, schema) == once
+
+
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     check(spark, [(1, None), (2, "")])
