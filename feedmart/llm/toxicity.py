@@ -21,8 +21,9 @@ _WORD = re.compile(r"\w+")
 class Settings:
     """Bounds of the training sample and of the model.
 
-    At most `max_positive` confirmed toxic rows and about `max_unlabelled` other
-    rows are learned from, chosen by hash; at most `max_features` features that
+    At most `max_positive` different texts of confirmed toxic rows and about
+    `max_unlabelled` (never more than 1.2 times that) of all usable rows are
+    learned from, chosen by hash, each with the number of its rows as weight; at most `max_features` features that
     occur in `min_rows` toxic rows and whose presence alone would make a text
     toxic with a probability of `min_precision`, going by the prior. `prior` is
     the share of toxic text; None takes it from the labels that may be used.
@@ -60,36 +61,43 @@ def features(text: str, prefixes: tuple[int, ...], levels: tuple[int, ...]) -> s
     return words | {f"^{p}+{level}" for p, n in begin.items() for level in levels if n >= level}
 
 
-def risk_gradient(scores: np.ndarray, positive: np.ndarray, prior: float, slack: float) -> np.ndarray:
-    """Gradient of the non-negative risk with logistic loss by each row's score.
+def risk_gradient(scores: np.ndarray, positive: np.ndarray, weight: np.ndarray, prior: float, slack: float) -> np.ndarray:
+    """Gradient of the non-negative risk with logistic loss by each row's score; `weight` is how many rows a row stands for.
 
     Risk: prior * (loss of positives as toxic) + max(0, loss of unlabelled as
     clean - prior * loss of positives as clean). Where the bracket falls below
     -slack, the step goes the other way on it, which undoes over-fitting.
     """
     p = 1 / (1 + np.exp(-scores))
-    n_pos, n_unl = max(1, positive.sum()), max(1, (~positive).sum())
-    clean_loss = np.logaddexp(0, scores)
-    bracket = clean_loss[~positive].sum() / n_unl - prior * clean_loss[positive].sum() / n_pos
-    as_clean = np.where(positive, -prior * p / n_pos, p / n_unl)
+    share = np.where(positive, weight / max(1, weight[positive].sum()), weight / max(1, weight[~positive].sum()))
+    clean_loss = np.logaddexp(0, scores) * share
+    bracket = clean_loss[~positive].sum() - prior * clean_loss[positive].sum()
+    as_clean = np.where(positive, -prior * p, p) * share
     if bracket < -slack:
         return -as_clean
-    return as_clean + np.where(positive, prior * (p - 1) / n_pos, 0.0)
+    return as_clean + np.where(positive, prior * (p - 1) * share, 0.0)
 
 
-def fit(rows: list[tuple[bool, list[int]]], names: list[str], prior: float, settings: Settings = Settings()) -> Model:
-    """A linear model over rows of (confirmed toxic, indices into `names`). The order of the rows does not matter."""
-    rows = sorted(set((y, tuple(sorted(x))) for y, x in rows if x)) + [(y, ()) for y, x in rows if not x]
-    y = np.array([r[0] for r in rows], bool)
-    at = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    column = np.fromiter((c for r in rows for c in r[1]), np.int64)
+def fit(rows: list[tuple[bool, int, list[int]]], names: list[str], prior: float, settings: Settings = Settings()) -> Model:
+    """A linear model over rows of (confirmed toxic, weight, indices into `names`).
+
+    Rows with the same features are one row of their weights together, which
+    changes neither the risk nor its shares. The order of the rows does not matter.
+    """
+    merged: Counter = Counter()
+    for toxic, weight, found in rows:
+        merged[toxic, tuple(sorted(found))] += weight
+    kinds = sorted(merged)
+    y, weight = np.array([toxic for toxic, _ in kinds], bool), np.array([merged[kind] for kind in kinds], float)
+    at = np.repeat(np.arange(len(kinds)), [len(found) for _, found in kinds])
+    column = np.fromiter((c for _, found in kinds for c in found), np.int64)
     prior = min(max(prior, 1e-4), 0.5)
     params = np.zeros(len(names) + 1)
     params[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, settings.steps + 1 if y.any() else 1):
-        scores = np.bincount(at, params[column], len(rows)) + params[-1]
-        g = risk_gradient(scores, y, prior, settings.slack)
+        scores = np.bincount(at, params[column], len(kinds)) + params[-1]
+        g = risk_gradient(scores, y, weight, prior, settings.slack)
         grad = np.append(np.bincount(column, g[at], len(names)) + settings.penalty * params[:-1] / len(names), g.sum())
         first += 0.1 * (grad - first)
         second += 0.001 * (grad * grad - second)
@@ -106,10 +114,10 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, settings: Settings
     """A model from the rows where `usable` holds; None without a confirmed toxic row.
 
     Only ids of the bounded positive sample are broadcast. Feature counts are
-    aggregated in Spark; the driver sees the chosen features and, per sample
-    row, their indices.
+    aggregated in Spark; the driver sees the chosen features and, per text of
+    the sample, their indices: as many rows as the bounds say, however often an
+    id or a text is repeated.
     """
-    spark = docs.sparkSession
     known = pick(labels, "doc_id", "toxic").where(usable & F.col("toxic").isNotNull())
     share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     if not share:
@@ -120,25 +128,23 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, settings: Settings
     usable_docs = pick(docs, "doc_id", "text").where(usable & F.col("text").isNotNull())
     n = usable_docs.select("doc_id").count()
     rate = min(1.0, settings.max_unlabelled / max(1, n))
+    drawn = usable_docs.where(unit_hash(F.lit("unlabelled"), "doc_id", "text") < rate)
     sample = settle(
-        usable_docs.join(F.broadcast(chosen.withColumn("_toxic", F.lit(True))), "doc_id", "left")
-        .select(F.coalesce("_toxic", F.lit(False)).alias("toxic"), "text", (unit_hash(F.lit("unlabelled"), "doc_id") < rate).alias("drawn"))
-        .where("toxic or drawn"),
+        _texts(usable_docs.join(F.broadcast(chosen), "doc_id", "left_semi"), True, settings.max_positive)
+        .unionByName(_texts(drawn, False, settings.max_unlabelled * 6 // 5)),
         "toxicity-sample",
     )
-    size = sample.agg(F.sum(F.col("toxic").cast("long")), F.sum(F.col("drawn").cast("long"))).first()
-    n_pos, n_unl = size[0] or 0, size[1] or 0
+    sizes = {row.toxic: row.n for row in sample.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}
+    n_pos, n_unl = sizes.get(True, 0), sizes.get(False, 0)
     if not n_pos:
         return None
 
     def named(batches):
         for batch in batches:
-            for toxic, text, drawn in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            for toxic, text, weight in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 found = pa.array(list(features(text.as_py(), settings.prefixes, settings.levels)), pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [found, pa.array([int(toxic)] * len(found), pa.int64()), pa.array([int(drawn)] * len(found), pa.int64())],
-                    ["feature", "toxic", "drawn"],
-                )
+                counts = [pa.array([weight * of] * len(found), pa.int64()) for of in (toxic, not toxic)]
+                yield pa.RecordBatch.from_arrays([found, *counts], ["feature", "toxic", "drawn"])
 
     counts = sample.mapInArrow(named, "feature string, toxic long, drawn long").groupBy("feature").agg(
         F.sum("toxic").alias("p"), F.sum("drawn").alias("u")
@@ -158,12 +164,23 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, settings: Settings
                 [place[f] for f in features(t.as_py(), settings.prefixes, settings.levels) if f in place] for t in batch.column(1)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32()))], ["toxic", "drawn", "found"]
+                [batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32()))], ["toxic", "weight", "found"]
             )
 
-    table = sample.mapInArrow(indexed, "toxic boolean, drawn boolean, found array<int>").collect()
-    rows = [(True, r.found) for r in table if r.toxic] + [(False, r.found) for r in table if r.drawn]
-    return fit(rows, names, prior, settings)
+    rows = sample.mapInArrow(indexed, "toxic boolean, weight long, found array<int>").collect()
+    return fit([(r.toxic, r.weight, r.found) for r in rows], names, prior, settings)
+
+
+def _texts(rows: DataFrame, toxic: bool, most: int) -> DataFrame:
+    """The different texts among `rows`, at most `most` by hash, each with the number of its rows.
+
+    Copies are counted by hash before the shuffle; the texts follow for those chosen only.
+    """
+    prints = rows.select(F.xxhash64("text").alias("print"), "text")
+    counts = prints.groupBy("print").agg(F.count("*").alias("weight"))
+    chosen = counts.orderBy(F.xxhash64("print"), "print").limit(most)
+    texts = prints.join(F.broadcast(chosen), "print").dropDuplicates(["print"])
+    return texts.select(F.lit(toxic).alias("toxic"), "text", "weight")
 
 
 def score(docs: DataFrame, model: Model | None, held: Column, settings: Settings = Settings()) -> DataFrame:
