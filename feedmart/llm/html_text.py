@@ -20,10 +20,13 @@ RESULT = "page_id long, url string, text string, n_chars long"
 
 # --- a page as nested containers and text blocks ----------------------------------------------
 
+# The inside of a tag. It stops at a `<` outside quotes, where a tag without `>` ends too, so that every page is read in one linear scan.
+_INNER = r"(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<svg\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*/>"
-    r"|<(?P<raw>script|style|textarea|noscript|template|iframe|svg|title|select)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|</?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|[^<]+|<",
+    rf"<!--.*?(?:-->|\Z)|<[!?][^<>]*(?:>|(?=<)|\Z)|<svg\b(?:\"[^\"]*\"|'[^']*'|[^'\"<>/]|/(?!>))*+/>"
+    rf"|<(?P<raw>script|style|textarea|noscript|template|iframe|svg|title|select)\b{_INNER}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|</?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>{_INNER})(?:>|(?=<)|\Z)"
+    r"|</?(?P<torn>[a-zA-Z][a-zA-Z0-9:-]*+)[^<>]*>?|[^<]+|<",  # a quote that is never closed
     re.DOTALL | re.IGNORECASE,
 )
 _ATTR = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -35,6 +38,10 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 # Containers that stand in the wrapper; other elements are running text and only part blocks.
 _CONTAINERS = frozenset("html head body div section article main nav aside header footer form fieldset dialog button menu td center".split())
 
+# Other blocks are containers only if their class, id or role say that they are no part of the article.
+_BLOCKS = frozenset("ul ol dl table blockquote figure p li dd tr h1 h2 h3 h4 h5 h6 pre address".split())
+_IMPLIED = {"p": None, "li": frozenset(["li"]), "dd": frozenset(["dd", "dt"]), "tr": frozenset(["tr"])}  # what starts behind ends them; None: any block
+
 # Words in class and id that name what is no article, and words that say the element holds it after all.
 _AROUND = frozenset(
     "nav navbar navigation menu header masthead footer sidebar aside ad ads advert adverts advertisement banner promo sponsor sponsored "
@@ -43,6 +50,7 @@ _AROUND = frozenset(
     "copyright legal disclaimer skip".split()
 )
 _INSIDE = frozenset("content article main post entry story text body".split())
+_BESIDE = frozenset("with without has no".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 _NEVER = frozenset("head nav aside footer form fieldset dialog button menu".split())
 _HEAD_ONLY = frozenset("meta link base".split())  # beside elements without text blocks; any other ends the head
@@ -50,99 +58,130 @@ _ARTICLES = frozenset("article main section".split())
 
 
 class Box:
-    """A container of a page: its signature, inner containers, its own text blocks."""
+    """A container of a page: its signature, whether it or one outside it stands around the article, inner containers, own text blocks."""
 
-    __slots__ = ("sig", "tag", "around", "children", "text", "linked")
+    __slots__ = ("sig", "tag", "around", "hidden", "in_article", "parent", "children", "text", "linked")
 
-    def __init__(self, sig: str, tag: str, around: bool):
-        self.sig, self.tag, self.around = sig, tag, around
+    def __init__(self, sig: str, tag: str, around: bool, parent: Box | None = None):
+        self.sig, self.tag, self.around, self.parent = sig, tag, around, parent
+        self.hidden = around or (parent is not None and parent.hidden)
+        self.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
         self.children: list[Box] = []
         self.text: list[str] = []
         self.linked = 0
 
 
-def _box(tag: str, attrs: str, article: bool) -> Box:
+def _says_around(named: str) -> bool:
+    """Whether a class or id names what is no article.
+
+    Of compound names the last word tells: `post-comments`, `header-content`;
+    what comes behind `with` or `has` is only beside it: `text-with-sidebar`.
+    """
+    for name in named.split():
+        words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+        words = words[: next((i for i, w in enumerate(words) if w in _BESIDE), len(words))]
+        if words and (words[-1] in _AROUND or (words[-1] not in _INSIDE and _AROUND.intersection(words))):
+            return True
+    return False
+
+
+def _box(tag: str, attrs: str, parent: Box) -> Box:
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTR.finditer(attrs)}
-    words = [w for w in re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}") if w]
+    named = f"{found.get('class', '')} {found.get('id', '')}"
     role = found.get("role", "")
-    names = sorted({re.sub(r"\w*\d\w*", "N", w) for w in words})
-    around = tag in _NEVER or role in _ROLES or (tag == "header" and not article)
-    if tag not in ("html", "body", "main") and not _INSIDE.intersection(words):
-        around = around or bool(_AROUND.intersection(words))
+    names = sorted({re.sub(r"\w*\d\w*", "N", w) for w in re.split(r"[^a-z0-9]+", named) if w})
+    around = tag in _NEVER or role in _ROLES or (tag == "header" and not parent.in_article)
+    if tag not in ("html", "body", "main"):
+        around = around or _says_around(named)
     if role == "main" or found.get("itemprop") == "articlebody":
         tag = "main"
-    return Box(".".join([tag, *names]), tag, around)
+    return Box(".".join([tag, *names]), tag, around, parent)
 
 
-def parse(page: str) -> tuple[Box, list[tuple[tuple[Box, ...], str]]]:
-    """The outermost container and all text blocks in page order, each with the containers around it.
+def parse(page: str) -> tuple[Box, list[tuple[Box, str]]]:
+    """The outermost container and all text blocks in page order, each with the container it is in.
 
     Unclosed and stray tags are put up with: an end tag closes everything up to
     its start tag, or nothing if there is none. What belongs to the body ends
     the head; the start of an article or section ends elements around the
-    article that have no end tag of their own.
+    article that have no end tag of their own. A tag without `>` ends at the
+    next one. Pages of any depth are read in one pass.
     """
     tokens = list(_TOKEN.finditer(page))
     starts: dict[str, list[int]] = {}
-    unclosed: set[int] = set()  # tokens that start an element of _NEVER and have no end tag
+    unclosed: set[int] = set()  # tokens that start an element of _NEVER or _BLOCKS and have no end tag
     for i, m in enumerate(tokens):
         tag = (m["tag"] or "").lower()
-        if tag in _NEVER and m[0][1] != "/":
+        if (tag in _NEVER or tag in _BLOCKS) and m[0][1] != "/":
             starts.setdefault(tag, []).append(i)
             unclosed.add(i)
         elif starts.get(tag):
             unclosed.discard(starts[tag].pop())
     root = Box("", "", False)
-    path, opened, numbers, link = (root,), [""], [-1], 0
-    found: list[tuple[tuple[Box, ...], str]] = []
+    boxes, tags, link = [root], [""], 0
+    places: dict[str, list[int]] = {"": [0]}  # where elements of a tag are open
+    loose: list[int] = []  # where those without an end tag are
+    found: list[tuple[Box, str]] = []
     piece: list[str] = []
 
     def block():
         nonlocal piece
         text = " ".join("".join(piece).split())
         if text:
-            found.append((path, text))
-            path[-1].text.append(text)
+            found.append((boxes[-1], text))
+            boxes[-1].text.append(text)
         piece = []
 
+    def close(at: int):
+        while len(boxes) > at:
+            boxes.pop()
+            places[tags.pop()].pop()
+        while loose and loose[-1] >= at:
+            loose.pop()
+
     for number, m in enumerate(tokens):
         token, tag = m[0], m["tag"]
         if tag is None:
-            if m["raw"] or (token[0] == "<" and len(token) > 1):
+            if m["raw"] or m["torn"] or (token[0] == "<" and len(token) > 1):
                 continue
             said = html.unescape(token)
-            if opened[-1] == "head" and said.strip():
-                path, opened, numbers = path[:-1], opened[:-1], numbers[:-1]
+            if tags[-1] == "head" and said.strip():
+                close(len(boxes) - 1)
             piece.append(said)
             if link:
-                path[-1].linked += len(said.strip())
+                boxes[-1].linked += len(said.strip())
             continue
         tag = tag.lower()
         end = token[1] == "/"
-        if opened[-1] == "head" and not end and tag not in _HEAD_ONLY:
-            path, opened, numbers = path[:-1], opened[:-1], numbers[:-1]
+        if tags[-1] == "head" and not end and tag not in _HEAD_ONLY:
+            close(len(boxes) - 1)
         if tag == "a":
             link = 0 if end else 1
         if tag in _INLINE:
             continue
         block()
-        if tag not in _CONTAINERS:
-            continue
+        while not end and tags[-1] in _IMPLIED and (_IMPLIED[tags[-1]] is None or tag in _IMPLIED[tags[-1]]):
+            close(len(boxes) - 1)
         if not end:
-            if m["attrs"].endswith("/"):
+            if m["attrs"].endswith("/") or not (tag in _CONTAINERS or tag in _BLOCKS):
                 continue
-            if tag in _ARTICLES:
-                at = next((k for k, n in enumerate(numbers) if n in unclosed), len(numbers))
-                if at < len(numbers):
-                    path, opened, numbers, link = path[:at], opened[:at], numbers[:at], 0
-            box = _box(tag, m["attrs"], any(b.tag in ("article", "main") for b in path))
-            path[-1].children.append(box)
-            path += (box,)
-            opened.append(tag)
-            numbers.append(number)
-        elif tag in opened:
-            at = len(opened) - 1 - opened[::-1].index(tag)
-            path, opened, numbers = path[:at], opened[:at], numbers[:at]
+            if tag in _BLOCKS:
+                box = _box(tag, m["attrs"], boxes[-1]) if m["attrs"] else None
+                if box is None or not box.around or (number in unclosed and tag not in _IMPLIED):
+                    continue
+            else:
+                if tag in _ARTICLES and loose:
+                    close(loose[0])
+                    link = 0
+                box = _box(tag, m["attrs"], boxes[-1])
+            boxes[-1].children.append(box)
+            places.setdefault(tag, []).append(len(boxes))
+            if tag in _NEVER and number in unclosed:
+                loose.append(len(boxes))
+            boxes.append(box)
+            tags.append(tag)
+        elif places.get(tag):
+            close(places[tag][-1])
             link = 0
     block()
     return root, found
@@ -170,11 +209,21 @@ class Wrapper:
     children: list[Wrapper] = field(default_factory=list)
 
     def pack(self) -> list:
-        return [self.sig, self.around, self.optional, self.repeated, self.pages, self.chars, self.linked, self.same, [c.pack() for c in self.children]]
+        """The containers in page order, each with the number of those directly inside."""
+        rows, open_ = [], [self]
+        while open_:
+            one = open_.pop()
+            rows.append([one.sig, one.around, one.optional, one.repeated, one.pages, one.chars, one.linked, one.same, len(one.children)])
+            open_.extend(reversed(one.children))
+        return rows
 
     @staticmethod
-    def unpack(x: list) -> Wrapper:
-        return Wrapper(*x[:8], [Wrapper.unpack(c) for c in x[8]])
+    def unpack(rows: list) -> Wrapper:
+        done: list[Wrapper] = []
+        for *values, inner in reversed(rows):
+            children = [done.pop() for _ in range(inner)]
+            done.append(Wrapper(*values, children))
+        return done[0]
 
     def expression(self) -> str:
         """The wrapper to read: `#` is a text slot, a quoted hash constant text."""
@@ -188,18 +237,39 @@ class Wrapper:
 _MOST_CHILDREN = 256
 
 
+def _run(step: Iterator):
+    """Run a generator that yields generators it needs the value of: recursion without depth."""
+    open_, value = [step], None
+    while open_:
+        try:
+            step = open_[-1].send(value)
+            open_.append(step)
+            value = None
+        except StopIteration as done:
+            open_.pop()
+            value = done.value
+    return value
+
+
 def of_page(box: Box) -> Wrapper:
     """A page as an expression: neighbours of one signature are one repeated group."""
+    return _run(_of_page(box))
+
+
+def _of_page(box: Box) -> Iterator:
     text = " ".join(box.text)
     same = blake2b(text.encode("utf-8", "replace"), digest_size=6).hexdigest()
-    return Wrapper(box.sig, box.around, False, False, 1, len(text), box.linked, same, _folded([of_page(c) for c in box.children]))
+    children = []
+    for child in box.children:
+        children.append((yield _of_page(child)))
+    return Wrapper(box.sig, box.around, False, False, 1, len(text), box.linked, same, (yield _folded(children)))
 
 
-def _folded(children: list[Wrapper]) -> list[Wrapper]:
+def _folded(children: list[Wrapper]) -> Iterator:
     out: list[Wrapper] = []
     for child in children:
         if out and out[-1].sig == child.sig:
-            out[-1] = join(out[-1], child)
+            out[-1] = yield _join(out[-1], child)
             out[-1].repeated = True
         else:
             out.append(child)
@@ -207,7 +277,7 @@ def _folded(children: list[Wrapper]) -> list[Wrapper]:
         by_sig: dict[str, Wrapper] = {}
         for child in out:
             known = by_sig.get(child.sig)
-            by_sig[child.sig] = join(known, child) if known else child
+            by_sig[child.sig] = (yield _join(known, child)) if known else child
             by_sig[child.sig].repeated |= known is not None
         out = [by_sig[sig] for sig in sorted(by_sig)]
     return out
@@ -215,6 +285,10 @@ def _folded(children: list[Wrapper]) -> list[Wrapper]:
 
 def join(a: Wrapper, b: Wrapper) -> Wrapper:
     """The expression that covers both. Mismatching texts become a slot, containers only one has an optional group."""
+    return _run(_join(a, b))
+
+
+def _join(a: Wrapper, b: Wrapper) -> Iterator:
     children: list[Wrapper] = []
     for x, y in _aligned(a.children, b.children):
         if x is None or y is None:
@@ -222,10 +296,10 @@ def join(a: Wrapper, b: Wrapper) -> Wrapper:
             only.optional = True
             children.append(only)
         else:
-            children.append(join(x, y))
+            children.append((yield _join(x, y)))
     return Wrapper(
         a.sig, a.around or b.around, a.optional or b.optional, a.repeated or b.repeated, a.pages + b.pages, a.chars + b.chars,
-        a.linked + b.linked, a.same if a.same == b.same else None, _folded(children),
+        a.linked + b.linked, a.same if a.same == b.same else None, (yield _folded(children)),
     )
 
 
@@ -261,63 +335,85 @@ _LINKS = 0.8  # of a container's text that makes it a menu
 _CONSTANT = 3  # pages that make the same text part of the template
 
 
-def rule(wrapper: Wrapper) -> tuple[str, list[str]]:
-    """The path of the container that is the article, and of the containers in it that are not.
+Rule = tuple[list[tuple[int, str]], int, list[int]]  # known paths as (place of the outer one, signature), the article's, those left out
+
+
+def rule(wrapper: Wrapper) -> Rule:
+    """Which container is the article, and which containers in it are not, by their paths.
 
     The article is an article or main element with most text, else the
     innermost container with most of the text that is not around it. Inside,
-    containers of links, and containers whose text never changes while the
-    article's does, belong to the template.
+    containers whose text never changes on most pages of the host while the
+    article's does belong to the template, and containers of links do if no
+    element is named as the article.
     """
-    stats: dict[tuple[str, ...], list] = {}
-
-    def walk(node: Wrapper, path: tuple[str, ...]):
-        if node.around:
-            return
-        own = stats.setdefault(path, [0, 0, 0, ""])
+    known: dict[tuple[int, str], int] = {(-1, wrapper.sig): 0}
+    paths, stats, depth = [(-1, wrapper.sig)], [[0, 0, 0, ""]], [0]
+    open_ = [(wrapper, 0)]
+    while open_:
+        node, at = open_.pop()
+        own = stats[at]
         own[3] = node.same if not own[0] or own[3] == node.same else None
         own[0], own[1], own[2] = own[0] + node.pages, own[1] + node.chars, own[2] + node.linked
-        for child in node.children:
-            walk(child, (*path, child.sig))
-
-    walk(wrapper, ())
-    whole: dict[tuple[str, ...], int] = dict.fromkeys(stats, 0)
-    for path, (_, chars, linked, _) in stats.items():
-        for k in range(len(path) + 1):
-            whole[path[:k]] += max(0, chars - linked)
-    named = [p for p in stats if p and p[-1].split(".")[0] in ("article", "main") and whole[p]]
+        for child in reversed(node.children):
+            if child.around:
+                continue
+            place = known.setdefault((at, child.sig), len(paths))
+            if place == len(paths):
+                paths.append((at, child.sig))
+                stats.append([0, 0, 0, ""])
+                depth.append(depth[at] + 1)
+            open_.append((child, place))
+    every = range(len(paths))
+    whole = [max(0, chars - linked) for _, chars, linked, _ in stats]
+    for i in reversed(every):  # outer paths come before inner ones
+        if i:
+            whole[paths[i][0]] += whole[i]
+
+    def within(root: int) -> list[bool]:
+        inside = [False] * len(paths)
+        for i in every:
+            inside[i] = i == root or (i > 0 and inside[paths[i][0]])
+        return inside
+
+    named = [i for i in every if i and paths[i][1].split(".")[0] in ("article", "main") and whole[i]]
     if named:
-        root = max(named, key=lambda p: (whole[p], -len(p), p))
-        inner = [p for p in named if p[: len(root)] == root and whole[p] >= _SHARE * whole[root]]
-        root = max(inner, key=lambda p: (len(p), p))
+        root = max(named, key=lambda i: (whole[i], -depth[i], -i))
+        inside = within(root)
+        root = max((i for i in named if inside[i] and whole[i] >= _SHARE * whole[root]), key=lambda i: (depth[i], -i))
     else:
-        root = max((p for p in whole if whole[p] >= _SHARE * whole[()]), key=lambda p: (len(p), whole[p], p))
-    varies = any(p[: len(root)] == root and s[3] is None for p, s in stats.items())
+        root = max((i for i in every if whole[i] >= _SHARE * whole[0]), key=lambda i: (depth[i], whole[i], -i))
+    inside = within(root)
+    varies = any(inside[i] and stats[i][3] is None for i in every)
+    most = max(_CONSTANT, wrapper.pages / 2)
     drop = [
-        p for p, (pages, chars, linked, same) in stats.items()
-        if p[: len(root)] == root and p != root and chars
-        and (linked >= _LINKS * chars or (same is not None and pages >= _CONSTANT and varies))
+        i for i, (pages, chars, linked, same) in enumerate(stats)
+        if inside[i] and i != root and chars and ((not named and linked >= _LINKS * chars) or (same is not None and pages >= most and varies))
     ]
-    return "/".join(root), sorted("/".join(p) for p in drop)
+    return paths, root, drop
 
 
-def main_text(page: str, known: tuple[str, list[str]] | None) -> str:
+def main_text(page: str, known: Rule | None) -> str:
     """The article's blocks, joined. A page that has no text where its host's rule looks is taken by itself."""
     root, blocks = parse(page)
 
-    def taken(at: str, drop: list[str]) -> str:
+    def taken(of: Rule) -> str:
+        paths, at, drop = of
+        place = {tuple(path): i for i, path in enumerate(paths)}
         left_out = set(drop)
-        out = []
-        for path, text in blocks:
-            if any(b.around for b in path):
-                continue
-            name = "/".join(b.sig for b in path[1:])
-            if (name == at or name.startswith(f"{at}/") or not at) and not any(name == d or name.startswith(f"{d}/") for d in left_out):
-                out.append(text)
-        return " ".join(out)
-
-    text = taken(*known) if known else ""
-    return text or taken(rule(of_page(root))[0], [])
+        state = {root: (0, at == 0, False)}  # per container its path's place, whether it is in the article, whether it is left out
+        open_ = [root]
+        while open_:
+            box = open_.pop()
+            here, inside, out = state[box]
+            for child in box.children:
+                there = place.get((here, child.sig), -1) if here >= 0 else -1
+                state[child] = there, inside or there == at, out or there in left_out
+                open_.append(child)
+        return " ".join(text for box, text in blocks if not box.hidden and state[box][1] and not state[box][2])
+
+    text = taken(known) if known else ""
+    return text or taken(rule(of_page(root)))
 
 
 # --- on Spark ---------------------------------------------------------------------------------

@@ -1,4 +1,5 @@
 import random
+import time
 
 from feedmart.llm.html_text import Wrapper, extract, join, main_text, of_page, parse, rule, wrappers
 
@@ -102,3 +103,53 @@ def test_elements_without_end_tags():
         assert text(f"<body><div>{start}<article><p>one</p></article></div></body>") == "one", start
     assert text("<body><nav><section>menu</section></nav><article>one</article></body>") == "one"
     assert text("<body><article><p>one <svg class='i' /> two</p></article></body>") == "one two"
+
+
+def alone(page):
+    return main_text(page, rule(of_page(parse(page)[0])))
+
+
+def test_blocks_that_say_they_are_no_article():
+    assert alone("<article><p>one</p><ol class=comments><li>reader says hi</li></ol><p>two</p></article>") == "one two"
+    assert alone("<article><p>one</p><div class='post-comments'>hi</div><div class='article-footer'>by me</div></article>") == "one"
+    assert alone("<main><ul role=navigation><li>a<li>b</ul><p>one</p><p class=advert>Buy now</p><p>two</p></main>") == "one two"
+    assert alone("<main><p class=notice>We use cookies<p>one<ul class=toc><li class=share>Share<li>first</ul></main>") == "one first"
+    assert alone("<article><p>one</p><section><h2>References</h2><a href=x>first source</a> <a href=y>second</a></section></article>") == (
+        "one References first source second"
+    )
+    assert alone("<article><ul class=comments><li>never closed<p>one</p></article>") == "never closed one"
+
+
+def test_a_section_of_copies_is_no_template():
+    rng = random.Random(8)
+    page = lambda inner: f"<body><article>{inner}</article></body>"
+    own = page("<p>why</p><section id=why-spark><p>it scales</p></section>")
+    whole = of_page(parse(own)[0])
+    for html in [own, own] + [page(f"<p>{words(rng, 12)}</p>") for _ in range(50)]:
+        whole = join(whole, of_page(parse(html)[0]))
+    assert main_text(own, rule(whole)) == "why it scales"
+    fixed = page("<p>one</p><section id=terms>Same on all pages</section>")
+    whole = of_page(parse(fixed)[0])
+    for _ in range(10):
+        whole = join(whole, of_page(parse(page(f"<p>{words(rng, 12)}</p><section id=terms>Same on all pages</section>"))[0]))
+    assert main_text(fixed, rule(whole)) == "one"
+
+
+def test_malformed_and_deep_pages_are_read_in_linear_time():
+    started = time.monotonic()
+    for piece in ("<a ", "<svg "):
+        main_text("<article>one</article>" + piece * (5_000_000 // len(piece)), None)
+    for piece in ("<!", "<a '", "<a \">\" ", "<p x=\"", "</", "<script", "<title>", "<"):
+        main_text("<article>one</article>" + piece * (400_000 // len(piece)), None)
+    deep = 100_000
+    for open_, close in (("<div>", "</div>"), ("<div id=x><p>t", "")):
+        page = open_ * deep + "deep" + close * deep
+        assert "deep" in main_text(page, None)
+        own = of_page(parse(page)[0])
+        assert "deep" in main_text(page, rule(Wrapper.unpack(join(own, of_page(parse(page)[0])).pack())))
+    assert time.monotonic() - started < 240
+
+
+def test_tags_without_an_end_keep_the_text_around_them():
+    assert alone("<article>one <b two <i>three</i></article>") == "one three"
+    assert alone("<article><p title=\"never closed>one</p><p>two</p></article>") == "one two"
