@@ -36,26 +36,61 @@ def name(*parts: str) -> str:
 
 # --- plain text -------------------------------------------------------------------------------
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.DOTALL | re.IGNORECASE)
-# Innermost first. Without an end tag only the tag is left out, not the page behind it.
-_UNSEEN = re.compile(r"<(noscript|template)\b(?:(?!<\1\b).)*?</\1\s*>", re.DOTALL | re.IGNORECASE)
+# No pattern looks further than the next `<` for the end of a tag, so that pages without `>` are read in one linear scan too.
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[!?][^<>]*(?:>|(?=<)|\Z)", re.DOTALL | re.IGNORECASE)
+# Without an end tag only the tag is left out, not the page behind it.
+_UNSEEN = re.compile(r"<(/?)(noscript|template)\b[^<>]*>?", re.IGNORECASE)
 # The head ends at its end tag or at the first element that belongs to the body; of its text only the title is no text of the page.
 _HEAD_END = re.compile(r"</head\b|<(?!(?:html|head|title|meta|link|base|noscript|template)\b)[a-z]", re.IGNORECASE)
-_HEAD_TITLE = re.compile(r"<title\b[^>]*>(?:.*?</title\s*>|[^<]*)", re.DOTALL | re.IGNORECASE)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.DOTALL | re.IGNORECASE)
-_INLINE = re.compile(r"</?(?:a|abbr|b|big|cite|code|em|font|i|kbd|mark|q|s|small|span|strong|sub|sup|time|u|var|wbr)\b[^>]*>", re.IGNORECASE)
-_TAG = re.compile(r"</?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>")
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_TITLE = re.compile(r"<title\b[^<>]*>", re.IGNORECASE)
+_TITLE_END = re.compile(r"</title\s*>", re.IGNORECASE)
+_INLINE = re.compile(
+    r"</?(?:a|abbr|b|big|cite|code|em|font|i|kbd|mark|q|s|small|span|strong|sub|sup|time|u|var|wbr)\b[^<>]*(?:>|(?=<)|\Z)", re.IGNORECASE
+)
+_TAG = re.compile(r"</?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+(?:>|(?=<)|\Z)|</?[a-zA-Z][^<>]*>?")
+_LINK = re.compile(r"<a\b[^<>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]+))", re.IGNORECASE)
+
+
+def _title(page: str) -> tuple[int, int, int, int] | None:
+    """Where the first title is: its start tag, its text and its end. Without an end tag its text ends at the next tag."""
+    start = _TITLE.search(page)
+    if start is None:
+        return None
+    end = _TITLE_END.search(page, start.end())
+    if end:
+        return start.start(), start.end(), end.start(), end.end()
+    following = page.find("<", start.end())
+    following = len(page) if following < 0 else following
+    return start.start(), start.end(), following, following
+
+
+def _without_unseen(page: str) -> str:
+    """The page without elements that are not shown: from the outermost start tag that has an end tag to that."""
+    open_: dict[str, list[int]] = {"noscript": [], "template": []}
+    spans: list[tuple[int, int]] = []
+    for m in _UNSEEN.finditer(page):
+        starts = open_[m[2].lower()]
+        if not m[1]:
+            starts.append(m.start())
+        elif starts:
+            start = starts.pop()
+            while spans and spans[-1][0] >= start:
+                spans.pop()
+            spans.append((start, m.end()))
+    parts, at = [], 0
+    for start, end in spans:
+        if end > at:
+            parts.append(page[at : max(at, start)])
+            at = end
+    return "\0".join([*parts, page[at:]])
 
 
 def plain_text(page: str) -> str:
     """All text of a page, a line per block."""
-    seen, more = _HIDDEN.sub("\0", page), 1
-    while more:
-        seen, more = _UNSEEN.subn("\0", seen)
-    title, end = _HEAD_TITLE.search(seen), _HEAD_END.search(seen)
-    if title and (end is None or title.start() < end.start()):
-        seen = f"{seen[: title.start()]}\0{seen[title.end() :]}"
+    seen = _without_unseen(_HIDDEN.sub("\0", page))
+    title, end = _title(seen), _HEAD_END.search(seen)
+    if title and (end is None or title[0] < end.start()):
+        seen = f"{seen[: title[0]]}\0{seen[title[3] :]}"
     bare = _TAG.sub("\0", _INLINE.sub("", seen))
     lines = (" ".join(html.unescape(line).split()) for line in bare.split("\0"))
     return "\n".join(line for line in lines if line)
@@ -91,11 +126,11 @@ def derive_one(record_id: str, uri: str | None, date: str | None, headers: dict[
     except LookupError:
         page = payload.decode("utf-8", "replace")
     conversion = name("conversion", record_id, payload_digest)
-    title = _TITLE.search(page) if textual else None
+    title = _title(page) if textual else None
     fields = [("source-status", status), ("source-payload-digest", payload_digest), ("source-payload-length", str(len(payload)))]
     fields += [(f"source-http-{k.lower()}", v) for k, v in http]
     if textual:
-        fields += [("conversion", conversion), ("title", " ".join(html.unescape(title[1]).split()) if title else "")]
+        fields += [("conversion", conversion), ("title", " ".join(html.unescape(page[title[1] : title[2]]).split()) if title else "")]
         fields += [("outlink", " ".join(html.unescape(m[1] or m[2] or m[3] or "").split())) for m in _LINK.finditer(page)]
     meta = "".join(f"{k}: {v}\r\n" for k, v in fields).encode()
     out = [_record(record_id, name("metadata", record_id, payload_digest), "metadata", uri, date, "application/warc-fields", meta, links | source)]

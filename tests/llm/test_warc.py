@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import time
 
 import pytest
 
@@ -74,3 +75,20 @@ def test_text_behind_elements_without_end_tags():
     assert warc.plain_text("<head><title>T<body>One") == "One"
     assert warc.plain_text("<title>T</title>a<noscript>n</noscript>b<template>x<template>y</template>z</template>c") == "a\nb\nc"
     assert warc.plain_text("<p>a</p><svg><title>drawing</title></svg>") == "a\ndrawing"
+
+
+def test_malformed_pages_are_read_in_linear_time():
+    started = time.monotonic()
+    for piece in ("<a ", "<svg ", "<!", "<a '", "<title>", "<noscript>", "<noscript ", "</title ", "<a href", "<"):
+        page = "<body>one " + piece * (1_000_000 // len(piece))
+        assert warc.plain_text(page).startswith("one")
+        warc.derive_one("<urn:x>", None, None, {}, page.encode())
+    nested = "<noscript>" * 50_000 + "hidden" + "</noscript>" * 50_000 + "<p>one"
+    assert warc.plain_text(nested) == "one"
+    assert time.monotonic() - started < 120
+
+
+def test_elements_that_are_not_shown():
+    assert warc.plain_text("a<noscript>b<noscript>c</noscript>d</noscript>e<template>f</template>g") == "a\ne\ng"
+    assert warc.plain_text("a<noscript>b") == "a\nb" and warc.plain_text("a</noscript>b<template>c</template>") == "a\nb"
+    assert warc.plain_text("<title>T</title>one <b two <i>three</i>") == "one three"
