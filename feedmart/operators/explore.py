@@ -108,3 +108,33 @@ def top_authors(df: DataFrame, n: int = TOP_AUTHORS) -> DataFrame:
     """The `n` authors with the highest total score."""
     totals = df.groupBy("author").agg(F.sum("score").alias("score"))
     return totals.orderBy(F.desc("score"), F.asc("author")).limit(n)
+
+
+# --- any threshold from one small table -------------------------------------------------------
+
+
+def cells(df: DataFrame, *keys: str) -> DataFrame:
+    """What the questions below need, per score and author (and `keys`, such as the day): rows, and the smallest id of the top row.
+
+    Cells of parts of the data can be added up: the same functions work on
+    their union. `filtered` and `score_range` work on cells as on rows.
+    """
+    return df.groupBy(*keys, "score", "author").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+
+
+def summary_of_cells(cells: DataFrame) -> DataFrame:
+    """`summary` from cells."""
+    row = F.struct((-F.col("score").cast("bigint")).alias("neg"), "id", "author", "score")
+    top = F.min(F.when(F.col("score").isNotNull(), row))
+    per_author = cells.groupBy("author").agg(F.sum("n").alias("n"), top.alias("top"))
+    most = F.min(F.when(F.col("author").isNotNull(), F.struct((-F.col("n")).alias("neg"), "author", "n")))
+    return per_author.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.min("top").alias("top"), most.alias("most")).select(
+        "row_count", F.col("top.score").alias("top_score"), F.col("top.author").alias("top_author"),
+        F.col("most.author").alias("active_author"), F.col("most.n").alias("active_count"),
+    )
+
+
+def top_authors_of_cells(cells: DataFrame, n: int = TOP_AUTHORS) -> DataFrame:
+    """`top_authors` from cells."""
+    totals = cells.groupBy("author").agg(F.sum(F.col("score") * F.col("n")).alias("score"))
+    return totals.orderBy(F.desc("score"), F.asc("author")).limit(n)

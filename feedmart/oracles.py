@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedmart.queries import DAY, KEPT_SCORE, MIN_REACTIONS, MIN_SCORE, OTHER_DAY, PAGE, STORY_AUTHORS
+from feedmart.queries import DAY, KEPT_SCORE, MIN_REACTIONS, MIN_SCORE, OTHER_DAY, PAGE, PAGE_ROWS, STORY_AUTHORS, THRESHOLDS
 from feedmart.schemas import FEED_CAP
 from feedmart.sources.tables import RUNS_APART
 
@@ -126,6 +126,19 @@ def _null_check(model: str, column: str) -> str:
     )
 
 
+def _threshold(at: int) -> str:
+    rows = f"(SELECT * FROM top_stories WHERE score >= {at})"
+    return f"""
+        SELECT CAST({at} AS INTEGER) AS threshold, (SELECT count(*) FROM {rows}) AS row_count,
+               (SELECT max(score) FROM {rows}) AS top_score, (SELECT author FROM {rows} ORDER BY score DESC, id LIMIT 1) AS top_author,
+               (SELECT author FROM {rows} GROUP BY author ORDER BY count(*) DESC, author LIMIT 1) AS active_author,
+               (SELECT max(n) FROM (SELECT count(*) AS n FROM {rows} GROUP BY author)) AS active_count,
+               (SELECT min(score) FROM {rows}) AS min_score,
+               (SELECT CASE WHEN min(score) = max(score) THEN max(score) + 1 ELSE max(score) END FROM {rows}) AS max_score,
+               (SELECT CAST(sum(s) AS BIGINT) FROM
+                 (SELECT sum(score) AS s FROM {rows} GROUP BY author ORDER BY s DESC, author LIMIT 10)) AS top_authors_score"""
+
+
 def _counts(*names: str) -> str:
     return " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in names)
 
@@ -175,6 +188,11 @@ ORACLES: dict[str, str] = {
         FROM raw_stories GROUP BY ingested_date
         UNION ALL
         SELECT 'articles', ingested_date, count(*), CAST(sum(id) AS BIGINT), count(title) FROM landed_articles GROUP BY ingested_date"""),
+    "landing_large_arrays": _raw("""
+        SELECT 'stories' AS feed, ingested_date, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS ids, count(title) AS titles
+        FROM raw_stories GROUP BY ingested_date
+        UNION ALL
+        SELECT 'articles', ingested_date, count(*), CAST(sum(id) AS BIGINT), count(title) FROM landed_articles GROUP BY ingested_date"""),
     "landing_roundtrip": _raw(f"SELECT {_STORY_FIELDS}, ingested_date AS landed_date FROM raw_stories"),
     "landing_latest_day": _raw("""
         SELECT 'stories' AS feed, max(ingested_date) AS latest_day FROM raw_stories
@@ -253,6 +271,10 @@ ORACLES: dict[str, str] = {
     "explore_authors_page": _model(f"""
         SELECT row_number() OVER (ORDER BY author) AS place, author FROM (SELECT DISTINCT author FROM top_stories)
         WHERE author IS NOT NULL ORDER BY place LIMIT {PAGE}"""),
+    "explore_pages": _model(f"""
+        SELECT CAST((place - 1) // {PAGE_ROWS} + 1 AS BIGINT) AS page, place, id, score
+        FROM (SELECT row_number() OVER (ORDER BY score DESC, id) AS place, id, score FROM top_stories)"""),
+    "explore_thresholds": _model(" UNION ALL ".join(_threshold(at) for at in THRESHOLDS)),
     "loaded_day_count": _raw(f"SELECT count(*) AS row_count FROM raw_stories WHERE ingested_date = DATE '{DAY}'"),
     "daily_run": _model(
         _counts("raw_stories", "raw_articles", "stg_stories", "stg_articles", "top_stories", "author_stats", "article_author_stats")

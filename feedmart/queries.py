@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from feedmart import adapters
 from feedmart.functions import parse
-from feedmart.operators import explore, quality
+from feedmart.operators import explore, pages, quality
 from feedmart.plans import daily, marts, staging
 from feedmart.schemas import FEEDS, MODELS, PARSED
 from feedmart.session import pin, work_dir
@@ -31,6 +31,8 @@ MIN_REACTIONS = 910
 STORY_AUTHORS = ("user_1", "user_2", "user_3", "user_5", "user_8", "unknown")
 LISTING_LENGTH = 1000  # ids that a landed listing names
 PAGE = 25  # rows of a first page
+PAGE_ROWS, RANGE_ROWS = 400, 150  # rows of each page when all are walked, and of a sorted range
+THRESHOLDS = (0, MIN_SCORE, 300)
 
 QUERIES: dict[str, Query] = {}
 
@@ -145,6 +147,21 @@ def landing_array_files(spark, sf_dir):
     return reduce(DataFrame.unionByName, out)
 
 
+@_query
+def landing_large_arrays(spark, sf_dir):
+    """Both feeds as one indented array per day, cut between records when read."""
+    landing = work_dir(spark, "arrays")
+    out = []
+    for feed, records in _json(spark, sf_dir).items():
+        land.write_arrays(records.select("ingested_date", "value"), f"{landing}/{feed}", per_file=1_000_000, indent=True)
+        parsed = parse.PARSERS[feed](land.read_large_arrays(spark, f"{landing}/{feed}"), keep=["ingested_date"])
+        good, _ = parse.split_bad(parsed)
+        out.append(good.groupBy("ingested_date").agg(
+            F.count("*").alias("row_count"), F.sum("id").alias("ids"), F.count("title").alias("titles")
+        ).select(F.lit(feed).alias("feed"), "ingested_date", "row_count", "ids", "titles"))
+    return reduce(DataFrame.unionByName, out)
+
+
 @_query
 def landing_roundtrip(spark, sf_dir):
     landing = work_dir(spark, "landing")
@@ -526,3 +543,34 @@ def explore_filtered_page(spark, sf_dir):
 @_query
 def explore_authors_page(spark, sf_dir):
     return _page(explore.authors(_stories(spark, sf_dir)), "author")
+
+
+@_query
+def explore_pages(spark, sf_dir):
+    """All pages of the stories by score, each asked for by the last keys of the one before."""
+    path = work_dir(spark, "pages")
+    pages.write_pages(_stories(spark, sf_dir), path, pages.BY_SCORE, RANGE_ROWS)
+    out, after = [], None
+    while True:
+        rows = pages.page(spark, path, pages.BY_SCORE, PAGE_ROWS, after).select("score", "id").collect()  # at most PAGE_ROWS rows
+        if not rows:
+            break
+        number, after = len(out) // PAGE_ROWS + 1, tuple(rows[-1])
+        out += [(number, len(out) + i, row.id, row.score) for i, row in enumerate(rows, 1)]
+    return spark.createDataFrame(out, "page bigint, place bigint, id bigint, score int")
+
+
+@_query
+def explore_thresholds(spark, sf_dir):
+    """Three thresholds answered from one stored table of cells per day, score and author."""
+    path = work_dir(spark, "cells")
+    top = marts.top_stories(_stg_stories(spark, sf_dir))
+    explore.cells(top, "ingested_date").write.partitionBy("ingested_date").parquet(path)
+    cells = spark.read.parquet(path)
+    out = []
+    for threshold in THRESHOLDS:
+        some = explore.filtered(cells, threshold)
+        best = explore.top_authors_of_cells(some).agg(F.sum("score").alias("top_authors_score"))
+        rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [explore.summary_of_cells(some), explore.score_range(some), best])
+        out.append(rows.agg(F.lit(threshold).alias("threshold"), *[F.max(name).alias(name) for name in rows.columns]))
+    return reduce(DataFrame.unionByName, out)

@@ -42,7 +42,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(F.trim("value") != "")
 
 
-def read_arrays(spark: SparkSession, path: str) -> DataFrame:
+def read_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Unparsed files that hold one JSON array each, as a variant `value` per element and the file's day.
 
     A file is one task. An element that is no object stays a row of its own and
@@ -54,7 +54,36 @@ def read_arrays(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_arrays(records: DataFrame, path: str, per_file: int = 1000) -> None:
+# Between two objects of an array that is written with an indent of two. Text in JSON has no line breaks, and what lies
+# deeper is indented further, so this stands nowhere else.
+_BETWEEN = "\n  },\n  {"
+
+
+def read_large_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """`read_arrays` for arrays of objects with an indent of two, however large: such a file is cut between its objects and read by many tasks.
+
+    Every piece must be an object by itself, and each file must have one
+    beginning and one end. Files that are written in another way, or are broken,
+    are left to `read_arrays`.
+    """
+    text = F.col("value")
+    first, last = F.startswith(text, F.lit("[\n  {")), text.rlike(r"\n  \}\n\]\s*\z")
+    inner = F.regexp_replace(F.regexp_replace(text, r"\A\[\n  \{", ""), r"\n  \}\n\]\s*\z", "")
+    pieces = spark.read.option("lineSep", _BETWEEN).text(path).select(
+        F.col("_metadata.file_path").alias("file"), first.alias("first"), last.alias("last"),
+        F.from_json(F.concat(F.lit("[{"), inner, F.lit("}]")), "array<variant>").alias("values"),
+    )
+    one = F.coalesce(F.size("values") == 1, F.lit(False))  # two objects side by side are no piece
+    whole = pieces.groupBy("file").agg(
+        (F.count_if(~one) == 0).alias("whole"), F.count_if("first").alias("firsts"), F.count_if("last").alias("lasts")
+    ).withColumn("whole", F.col("whole") & (F.col("firsts") == 1) & (F.col("lasts") == 1))
+    others = [row.file for row in whole.where(~F.col("whole")).select("file").collect()]  # file names only
+    found = pieces.where(~F.col("file").isin(others)) if others else pieces
+    rows = found.select(F.col("values")[0].alias("value"), day_in_path(F.col("file")).alias("ingested_date"))
+    return rows.unionByName(read_arrays(spark, others)) if others else rows
+
+
+def write_arrays(records: DataFrame, path: str, per_file: int = 1000, indent: bool = False) -> None:
     """Unparsed records (ingested_date, value) as files of one JSON array each, of at most about `per_file` records.
 
     The files of a day are in a folder `<path>/<YYYY-MM-DD>.json`; records are
@@ -63,14 +92,23 @@ def write_arrays(records: DataFrame, path: str, per_file: int = 1000) -> None:
     sizes = records.groupBy("ingested_date").agg(F.count("*").alias("n"))
     pieces = F.greatest(F.ceil(F.col("n") / per_file), F.lit(1))
     part = F.pmod(F.xxhash64("value"), pieces)
+    if indent:
+        records = records.withColumn("value", _indented(F.col("value")))
     arrays = records.join(sizes, "ingested_date").groupBy("ingested_date", part.alias("piece")).agg(F.collect_list("value").alias("values"))
     lines = arrays.select(
         F.concat(F.col("ingested_date").cast("string"), F.lit(".json")).alias("day"), "piece",
-        F.concat(F.lit("["), F.array_join("values", ","), F.lit("]")).alias("value"),
+        F.concat(F.lit("[\n" if indent else "["), F.array_join("values", ",\n" if indent else ","), F.lit("\n]" if indent else "]")).alias("value"),
     )
     lines.write.partitionBy("day", "piece").text(path)
 
 
+def _indented(record: Column) -> Column:
+    """A flat JSON object with one line per key, two deep."""
+    pairs = F.from_json(record, "map<string,variant>")
+    lines = F.transform(F.map_entries(pairs), lambda e: F.concat(F.lit("    "), F.to_json(e["key"].cast("variant")), F.lit(": "), F.to_json(e["value"])))
+    return F.concat(F.lit("  {\n"), F.array_join(lines, ",\n"), F.lit("\n  }"))
+
+
 def read_parsed_arrays(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """Files named `<prefix><YYYY-MM-DD>.json` that hold one JSON array of parsed records each."""
     files = spark.read.schema(PARSED[feed]).option("multiLine", True).option("mode", "FAILFAST").json(path)
