@@ -87,7 +87,7 @@ class _Builder:
             built = model(rows)
             if gather and len(changed) > 1:  # else each of many days is scattered over as many files as there are tasks
                 built = built.hint("rebalance", tables.DAY)
-            version, stored = versions.write(built, table, tables.DAY)
+            version, stored = tables.write_version(built, self.warehouse, name)
             put = {part: versions.Part(version, part in stored, tokens[part]) for part in changed}
         if put or gone:
             versions.switch(self.spark, table, put, gone)

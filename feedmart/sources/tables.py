@@ -127,10 +127,20 @@ def layout(name: str) -> T.StructType:
     return {**MODELS, **PARTIALS}[name]
 
 
+# The column by which exploration asks for a model's rows, which are therefore sorted by it within each file, falling.
+SCORES = {"stg_stories": "score", "top_stories": "score", "stg_articles": "positive_reactions_count"}
+
+
+def write_version(df: DataFrame, warehouse: str, name: str) -> tuple[str, set[str]]:
+    """Write a version of a model, or of some of its days, such that thresholds and authors skip row groups."""
+    order = [F.desc(SCORES[name])] if name in SCORES else []
+    return versions.write(df, f"{warehouse}/{name}", DAY if DAY in df.columns else None, order, ["author"] if order else [])
+
+
 def write_model(df: DataFrame, warehouse: str, name: str, source: str = "") -> None:
     """Rebuild a model's table. Models that have an ingestion day are in parts by it."""
     path = f"{warehouse}/{name}"
-    version, parts = versions.write(df, path, DAY if DAY in df.columns else None)
+    version, parts = write_version(df, warehouse, name)
     versions.switch(df.sparkSession, path, {part: Part(version, True, source) for part in parts}, whole=True)
 
 

@@ -121,6 +121,30 @@ def test_landing_scan_is_pruned_to_day_and_good_records(spark, records, tmp_path
     assert frame.count() == 1
 
 
+def _scanned(frame):
+    """How many rows the scan of a frame gave, after row groups were skipped."""
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_scores_and_authors_skip_row_groups_inside_a_day(spark, stories, tmp_path):
+    rows = stories(*[(i, "t", i * 7919 % 20_000, f"user {i * 31 % 20_000} of some length", 1, i, "2024-03-01") for i in range(20_000)]).repartition(1)
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("parquet.block.size", "65536")
+    try:
+        tables.write_model(staging.stg_stories(rows), str(tmp_path), "stg_stories")
+    finally:
+        conf.unset("parquet.block.size")
+    table = tables.read_model(spark, str(tmp_path), "stg_stories")
+    assert table.count() == 20_000
+    high = explore.filtered(explore.stories(table), 19_900)
+    assert high.count() == 100 and _scanned(high) < 5_000
+    one = explore.filtered(explore.stories(table), authors=["user 31 of some length"])
+    assert [r.id for r in one.collect()] == [1] and _scanned(one) < 10_000
+    assert _scanned(explore.filtered(explore.stories(table), authors=["user 31 of some length", "user x"])) < 10_000
+
+
 def test_checks_read_each_model_once(spark, staged):
     stories, articles = staged
     frames = {"stg_stories": stories, "stg_articles": articles, "author_stats": marts.author_stats(stories)}
