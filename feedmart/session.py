@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,8 +48,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables that one query writes and reads again.
 
     It lies in the folder that the cluster names in `spark.checkpoint.dir`, or
-    in the warehouse where that is unset; every executor reaches either. Who
-    runs the queries empties it when their results have been read.
+    in the warehouse where that is unset. A warehouse on the driver's own disk
+    is taken in local mode only: on a cluster the executors would not see it.
+    Who runs the queries empties the folder when their results have been read.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        local = re.match(r"local(\[|$)", spark.sparkContext.master)
+        if not local and re.match(r"/|file:|(?![a-zA-Z0-9+.-]+:)", shared):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors reach; {shared} is on the driver's machine")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
