@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -16,11 +15,8 @@ from feedmart.llm.common import pick, settle, sha256
 from feedmart.llm.near_duplicates import _mix as mixed
 from feedmart.llm.near_duplicates import word_hashes
 
-RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-)
 _LEVELS = 1 << 16
-_DIGITS = 8  # hexadecimal digits of one sample
+_DIGITS = 4  # hexadecimal digits of one sample
 _BLOCK = 1 << 9  # terms at a time: its arrays stay in the processor's cache
 
 
@@ -28,9 +24,9 @@ _BLOCK = 1 << 9  # terms at a time: its arrays stay in the processor's cache
 class Settings:
     """Terms are shingles of `shingle` words, weighted by how often they occur; a fingerprint has `samples` samples.
 
-    The rate at which two fingerprints agree is an unbiased estimate of the sum
-    of smaller weights over the sum of larger ones; its standard error is at most
-    `0.5 / sqrt(samples)`.
+    The rate at which two fingerprints agree estimates the sum of smaller weights
+    over the sum of larger ones without bias, but for one in 65,536 samples that
+    agree by chance; its standard error is at most `0.5 / sqrt(samples)`.
     """
 
     shingle: int = 2
@@ -91,8 +87,8 @@ def _mix_in_place(x: np.ndarray, spare: np.ndarray) -> None:
             np.multiply(x, np.uint64(factor), out=x)
 
 
-def sampled(shingles: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarray:
-    """One 32-bit value per sample, which names the term drawn and the level of its weight; empty without terms.
+def drawn_from(shingles: np.ndarray, weights: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Per sample the least value of any term, and a hash of the term that has it and of the level of its weight.
 
     For each term and sample, gamma values r and c and a uniform b are drawn by
     the term's hash alone. The weight w is rounded down to a level
@@ -100,8 +96,6 @@ def sampled(shingles: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarra
     c / (level exp(r)) is drawn. Both texts draw the same term at the same level
     with a probability of the sum of smaller over the sum of larger weights.
     """
-    if not len(shingles):
-        return np.zeros(0, np.uint32)
     odd, gamma, log_gamma, bits, spare, r, gap, cost = _draws(s)
     least, name, every = np.full(s.samples, np.inf, np.float32), np.zeros(s.samples, np.uint64), np.arange(s.samples)
     for at in range(0, len(shingles), _BLOCK):
@@ -129,12 +123,38 @@ def sampled(shingles: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarra
         found = mixed(some[best] ^ (t.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
         name = np.where(value < least, found, name)
         least = np.minimum(least, value)
-    return (name >> np.uint64(32)).astype(np.uint32)
+    return least, name
+
+
+def fingerprint(*parts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """One 16-bit value per sample from what was drawn from the parts of a text's terms; empty if there are no terms."""
+    least, name = parts[0]
+    for other, other_name in parts[1:]:
+        least, name = np.minimum(least, other), np.where(other < least, other_name, name)
+    return (name >> np.uint64(48)).astype(np.uint16) if np.isfinite(least).all() else np.zeros(0, np.uint16)
+
+
+def sampled(shingles: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarray:
+    return fingerprint(drawn_from(shingles, weights, s))
+
+
+def both_sampled(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprints of two texts by their terms; what they have in common with the same weight is drawn from once."""
+    _, at_a, at_b = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    same = a[1][at_a] == b[1][at_b]
+    rest_a, rest_b = np.ones(len(a[0]), bool), np.ones(len(b[0]), bool)
+    rest_a[at_a[same]] = rest_b[at_b[same]] = False
+    common = drawn_from(a[0][~rest_a], a[1][~rest_a], s)
+    return tuple(fingerprint(common, drawn_from(x[0][rest], x[1][rest], s)) for x, rest in ((a, rest_a), (b, rest_b)))
 
 
 def written(samples: np.ndarray) -> str:
-    """A fingerprint as text, eight hexadecimal digits per sample; empty for a text without words."""
-    return samples.astype(">u4").tobytes().hex()
+    """A fingerprint as text, four hexadecimal digits per sample; empty for a text without words."""
+    return samples.astype(">u2").tobytes().hex()
+
+
+def read(text: str) -> np.ndarray:
+    return np.frombuffer(bytes.fromhex(text), ">u2").astype(np.uint16)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -174,10 +194,17 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
-def _compared(doc_id: int | None, text: str, own: np.ndarray, following: str, next_print: np.ndarray, s: Settings) -> tuple:
-    other = edited(text, following)
-    changed = own if other == text else sampled(*terms(other, s), s)
-    return doc_id, len(text), sha256(other), written(own), written(changed), likeness(own, changed), likeness(own, next_print)
+class _Open:
+    """A row whose next row has come by but not that one's fingerprint."""
+
+    def __init__(self, doc_id: int | None, text: str, following: str, s: Settings):
+        other = edited(text, following)
+        self.own, self.changed = both_sampled(terms(text, s), terms(other, s), s) if other != text else [sampled(*terms(text, s), s)] * 2
+        self.row = (doc_id, len(text), sha256(other))
+
+    def closed(self, next_print: np.ndarray) -> tuple:
+        prints = [samples.astype(">u2").tobytes() for samples in (self.own, self.changed)]
+        return *self.row, *prints, likeness(self.own, self.changed), likeness(self.own, next_print)
 
 
 def beside_edited(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -193,57 +220,63 @@ def beside_edited(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     first one of the next task: only these, one pair per task, are joined
     afterwards.
     """
-    wait = "task int, waits_for int, next_text string, own_text string"
+    row = "doc_id long, n_chars long, edited_sha256 string, own binary, changed binary, near_edited double, near_next double"
+    wait = "task int, waits_for int, text string"
+    names = [part.split()[0] for part in f"{row}, {wait}".split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.string()]
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names[: len(columns)])
 
     def run(batches):
         task = TaskContext.get().partitionId()
-        first = before = None
-
-        def out(rows: list, *ends: tuple) -> pa.RecordBatch:
-            """Finished rows, and rows of a task's end with the numbers and texts that join them."""
-            every = [(*row, None, None, None, None) for row in rows] + list(ends)
-            kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.string(), pa.string()]
-            columns = list(zip(*every)) or [()] * len(kinds)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
+        first = before = open_ = None
         for batch in batches:
             rows = []
             for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = value.as_py() or ""
-                own = before[2] if before and before[1] == text else sampled(*terms(text, s), s)
                 if before:
-                    rows.append(_compared(*before, text, own, s))
-                else:
-                    first = (text, written(own))
-                before = (doc_id, text, own)
+                    now = _Open(*before, text, s)
+                    if open_:
+                        rows.append((*open_.closed(now.own), None, None, None))
+                    else:
+                        first = before[1], now.own
+                    open_ = now
+                before = (doc_id, text)
             if rows:
                 yield out(rows)
         if before:
-            blank = (None,) * 6
-            head = (None, None, None, first[1], None, None, None, task, None, first[0], None)
-            tail = (before[0], *blank, None, task, None, before[1])
-            yield out([], head, tail)
+            own = sampled(*terms(before[1], s), s)
+            first = first or (before[1], own)
+            rows = [(*open_.closed(own), None, None, None)] if open_ else []
+            blank = (None,) * 3
+            rows.append((None, None, None, first[1].astype(">u2").tobytes(), *blank, task, None, first[0]))
+            rows.append((before[0], None, None, None, *blank, None, task, before[1]))
+            yield out(rows)
 
-    names = [part.split()[0] for part in f"{RESULT}, {wait}".split(", ")]
     rows = pick(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64("text").alias("print"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("print").asc_nulls_last()]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text").select("doc_id", "text")
-    done = settle(ordered.mapInArrow(run, f"{RESULT}, {wait}"), "fingerprints")
-    heads = done.where("task is not null").select("task", "next_text", F.col("fingerprint").alias("next_print"))
+    done = settle(ordered.mapInArrow(run, f"{row}, {wait}"), "fingerprints")
+    heads = done.where("task is not null").select("task", F.col("text").alias("next_text"), F.col("own").alias("next_print"))
     tasks = sorted(row.task for row in heads.select("task").collect())  # one per task that has rows
     after = dict(zip(tasks, [*tasks[1:], *tasks[:1]]))
     follows = docs.sparkSession.createDataFrame(list(after.items()), "waits_for int, task int")
-    tails = done.where("waits_for is not null").select("doc_id", "own_text", "waits_for").join(F.broadcast(follows), "waits_for").join(heads, "task")
+    tails = done.where("waits_for is not null").select("doc_id", "text", "waits_for").join(F.broadcast(follows), "waits_for").join(heads, "task")
 
     def last(batches):
         for batch in batches:
-            rows = []
-            for doc_id, text, following, print_ in zip(*[c.to_pylist() for c in batch.columns]):
-                next_print = np.frombuffer(bytes.fromhex(print_), ">u4").astype(np.uint32)
-                rows.append(_compared(doc_id, text, sampled(*terms(text, s), s), following, next_print, s))
-            kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
-            columns = list(zip(*rows)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names[: len(kinds)])
-
-    ends = tails.select("doc_id", "own_text", "next_text", "next_print").mapInArrow(last, RESULT)
-    return done.where("task is null and waits_for is null").select(*names[:7]).unionByName(ends)
+            rows = [
+                _Open(doc_id, text, following, s).closed(np.frombuffer(print_, ">u2"))
+                for doc_id, text, following, print_ in zip(*[c.to_pylist() for c in batch.columns])
+            ]
+            if rows:
+                yield out(rows)
+
+    ends = tails.select("doc_id", "text", "next_text", "next_print").mapInArrow(last, row)
+    whole = done.where("task is null and waits_for is null").select(*names[:7]).unionByName(ends)
+    return whole.select(
+        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("own")).alias("fingerprint"), F.lower(F.hex("changed")).alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )

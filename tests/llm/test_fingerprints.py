@@ -132,5 +132,13 @@ def test_prints_and_likeness_of_columns(spark):
     assert [prints[i].n_terms for i in (1, 2, 3, 4)] == [5, 5, 0, 0]
     pairs = spark.createDataFrame([(prints[a].fingerprint, prints[b].fingerprint) for a, b in ((1, 2), (1, 1), (1, 3), (3, 4))], "a string, b string")
     found = [r[0] for r in pairs.select(likeness_of(F.col("a"), F.col("b"))).collect()]
-    read = lambda i: np.frombuffer(bytes.fromhex(prints[i].fingerprint), ">u4")
-    assert found == [likeness(read(1), read(2)), 1.0, 0.0, 1.0]
+    samples = [fingerprints.read(prints[i].fingerprint) for i in (1, 2)]
+    assert found == [likeness(*samples), 1.0, 0.0, 1.0]
+
+
+def test_two_texts_drawn_together(spark):
+    s = Settings()
+    texts = [t for _, t in corpus(12)]
+    for a, b in zip(texts, texts[1:]):
+        wanted = [sampled(*terms(t, s), s).tolist() for t in (a, b)]
+        assert [p.tolist() for p in fingerprints.both_sampled(terms(a, s), terms(b, s), s)] == wanted
