@@ -178,15 +178,26 @@ def _twice(ends: list) -> tuple[np.ndarray, np.ndarray]:
 
 def _spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per word the pairs of nodes around each of its letters, which is skipped, and around each gap."""
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        spots = np.array([len(before) for _, _, before, _ in rows])
+        number, n = (np.repeat([row[i] for row in rows], spots) for i in (0, 1))
+        skipped = np.concatenate([np.arange(size) < size // 2 for size in spots])
+        columns = [number, n, np.concatenate([row[2] for row in rows]), np.concatenate([row[3] for row in rows]), skipped]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "n", "p", "q", "skipped"])
+
+    rows, size = [], 0
     for batch in batches:
         for number, n, path, back in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
             p, q = (np.concatenate(([0], nodes.values.to_numpy())) for nodes in (path, back))
-            size = len(p) - 1
-            before, behind = np.concatenate((p[:size], p)), np.concatenate((q[size - 1 :: -1], q[::-1]))
-            same = [pa.array(np.full(2 * size + 1, x), pa.int64()) for x in (number, n)]
-            yield pa.RecordBatch.from_arrays(
-                [*same, pa.array(before), pa.array(behind), pa.array(np.arange(2 * size + 1) < size)], ["id", "n", "p", "q", "skipped"]
-            )
+            letters = len(p) - 1
+            rows.append((number, n, np.concatenate((p[:letters], p)), np.concatenate((q[letters - 1 :: -1], q[::-1]))))
+            size += 2 * letters + 1
+            if size > 1 << 16:
+                yield out(rows)
+                rows, size = [], 0
+    if rows:
+        yield out(rows)
 
 
 def near_words(words: DataFrame) -> DataFrame:
