@@ -103,5 +103,5 @@ def test_stages_take_empty_tables_and_clashing_columns(spark, tmp_path):
 def test_registered():
     from feedmart.llm.queries import QUERIES
 
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES} - {"pipeline"} and "pipeline" in QUERIES
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES} - {"pipeline"} and "pipeline" in QUERIES
     assert [m.__name__ for m in (language_id, near_duplicates, decontaminate, secrets, mixing)]
