@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -40,11 +41,15 @@ class Efficiency:
 _UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 _DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 _SRI = re.compile(r"sha(?:256|384|512)-[A-Za-z0-9+/]+={0,2}")
-_BEFORE_IDENTIFIER = re.compile(r"(?:@[\w.-]*|sha\d+[:-]|urn:[a-z]+:[\w:.-]*)$")
+_SHA = re.compile(r"sha\d+:")
+_URN = re.compile(r"urn:[a-z]+:")
+_NAMELESS = re.compile(r"[^\w.:-]")  # ends what may be a host, a digest's name or a URN
 _SCHEME = re.compile(r"://|\bwww\.", re.IGNORECASE)
 _ADDRESS_END = re.compile(r"""[\s"'`<>,;|\\(){}\[\]]""")
+_AUTHORITY_END = re.compile(r"[/?#]")
+_QUERY = re.compile(r"[?#]")
+_PATH_PART = re.compile(r"[^/]+")
 _HOOK = re.compile(r"hook", re.IGNORECASE)  # addresses whose path is the secret
-_REACH = 2048  # characters of an address that are looked at before and behind a run
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -56,42 +61,92 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def in_address(text: str, start: int, end: int) -> bool:
-    """Whether the run is host or path of an address, which ends at quotes, commas, brackets and white space.
+@dataclass(frozen=True)
+class Address:
+    """Places in a text: where an address begins behind its scheme, ends, has its path, its last `@` before that, its query and the end of `hook`."""
+
+    begin: int
+    stop: int
+    path: int
+    user: int
+    query: int
+    hook: int
+
+
+def addresses(text: str) -> list[Address]:
+    """All addresses in order. One ends at quotes, commas, brackets or white space, or holds the next one.
 
-    User info, query and fragment are not, nor are paths of webhooks, which are secrets themselves.
+    An address within another ends where that does, so what was found for the
+    outer one is taken over if it lies behind; no text is gone through twice.
     """
-    at = max(0, start - _REACH)
-    for m in _ADDRESS_END.finditer(text, at, start):
-        at = m.end()
-    scheme = None
-    for scheme in _SCHEME.finditer(text, at, end):  # the last: an address may be part of another
-        pass
-    if scheme is None:
-        return False
-    begin = scheme.end()
-    stop = _ADDRESS_END.search(text, end, end + _REACH)
-    address = text[begin : stop.start() if stop else end + _REACH]
-    place = max(start, begin) - begin
-    authority = re.match(r"[^/?#]*", address)[0]
-    if place < authority.rfind("@"):
-        return False
-    if re.search(r"[?#]", address[:place]):
-        return False
-    return not (_HOOK.search(address[: end - begin]) and end - begin > len(authority))
-
-
-def known(text: str, start: int, end: int) -> bool:
-    """Whether the run is a digest, a UUID, a number or a line of marks, or host or path of an address."""
-    run = text[start:end]
-    if any(p.fullmatch(run) for p in (_UUID, _DIGEST, _SRI)) or not any(c.isalpha() for c in run):
-        return True
-    return bool(_BEFORE_IDENTIFIER.search(text, max(0, start - 256), start)) or in_address(text, start, end)
+    found: list[Address] = []
+    for m in _SCHEME.finditer(text):
+        begin, outer = m.end(), found[-1] if found and found[-1].stop >= m.end() else None
+        first = lambda p, end: m.start() if (m := p.search(text, begin, end)) else end
+        stop = outer.stop if outer else first(_ADDRESS_END, len(text))
+        path = outer.path if outer and outer.path >= begin else first(_AUTHORITY_END, stop)
+        if outer and outer.path == path:
+            user = outer.user if outer.user >= begin else -1
+        else:
+            user = text.rfind("@", begin, path)
+        query = outer.query if outer and outer.query >= begin else first(_QUERY, stop)
+        hook = outer.hook if outer and outer.hook - 4 >= begin else first(_HOOK, stop) + 4
+        found.append(Address(begin, stop, path, user, query, hook))
+    return found
+
+
+class Surroundings:
+    """What runs of a text stand in. Runs are asked for in order; the text is gone through once, whatever its length."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.addresses = addresses(text)
+        self.urns = [m.span() for m in _URN.finditer(text)]
+        self.seen = self.stretch = 0
+
+    def in_address(self, start: int, end: int) -> Address | None:
+        """The address that has the run in its host or path. User info, query, fragment and paths of webhooks do not count: they may be secrets."""
+        i = bisect_right(self.addresses, end, key=lambda a: a.begin) - 1
+        if i < 0 or self.addresses[i].stop < start:
+            return None
+        a = self.addresses[i]
+        place = max(start, a.begin)
+        secret = place < a.user or a.query < place or (a.hook <= end and end > a.path)
+        return None if secret else a
+
+    def named(self, start: int, end: int) -> bool:
+        """Whether the run stands behind the name of a digest or in a URN, or is part of a host of several names behind `@`."""
+        for m in _NAMELESS.finditer(self.text, self.seen, start):
+            self.stretch = m.end()
+        self.seen = start
+        if _SHA.fullmatch(self.text, self.text.rfind("sha", max(self.stretch, start - 8), start), start):
+            return True
+        i = bisect_right(self.urns, start, key=lambda u: u[1]) - 1
+        if i >= 0 and self.urns[i][0] >= self.stretch:
+            return True
+        if self.stretch == 0 or self.text[self.stretch - 1] != "@":
+            return False
+        return "." in self.text[self.stretch : start] or bool(re.match(r"\.[A-Za-z]", self.text[end : end + 2]))
+
+
+def known(run: str) -> bool:
+    """Whether the run is a digest, a UUID, a number or a line of marks."""
+    return any(p.fullmatch(run) for p in (_UUID, _DIGEST, _SRI)) or not any(c.isalpha() for c in run)
 
 
 def random_spans(text: str, taken: list[tuple[int, int, str]], runs: re.Pattern, encode, limit: float) -> list[tuple[int, int, str]]:
-    """Runs outside the spans `taken` that are no known identifier and need many tokens for their length."""
+    """Runs outside the spans `taken` that are no known identifier and need many tokens for their length.
+
+    The host of an address and the last part of its path are identifiers; each
+    part before that is a run of its own (`https://api.example/bot<key>/send`).
+    """
     found, i, reach = [], 0, 0
+    around: Surroundings | None = None
+
+    def costly(run: str) -> bool:
+        # Words in capitals are as well known as others.
+        return len(run) < limit * len(encode(run.lower() if run.isupper() else run)) and not known(run)
+
     for m in runs.finditer(text):
         start, end = m.span()
         while i < len(taken) and taken[i][0] < end:
@@ -99,10 +154,18 @@ def random_spans(text: str, taken: list[tuple[int, int, str]], runs: re.Pattern,
             i += 1
         if reach > start:
             continue
-        run = m[0].lower() if m[0].isupper() else m[0]  # words in capitals are as well known as others
-        tokens = sum(len(encode(run[k : k + 1000])) for k in range(0, len(run), 1000))
-        if end - start < limit * tokens and not known(text, start, end):
-            found.append((start, end, "random"))
+        whole = costly(m[0])
+        if not whole and "/" not in m[0]:
+            continue
+        around = around or Surroundings(text)
+        address = around.in_address(start, end)
+        if address is None:
+            if whole and not around.named(start, end):
+                found.append((start, end, "random"))
+            continue
+        for part in _PATH_PART.finditer(text, max(start, address.path), end):
+            if text[part.end() : part.end() + 1] == "/" and runs.fullmatch(part[0]) and costly(part[0]):
+                found.append((*part.span(), "random"))
     return found
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from feedmart.llm import secrets
 
@@ -68,3 +69,29 @@ def test_random_strings_of_letters_and_behind_addresses(spark):
     got = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(list(enumerate(found + kept)), SCHEMA)).collect()}
     assert [i for i, r in sorted(got.items()) if r.n_random] == list(range(len(found)))
     assert got[2].spans == f"random:15:{15 + len(key)}"
+
+
+def test_keys_behind_an_at_sign_and_inside_paths(spark):
+    key = "qZxKvJwRbTnHcYfLmGdPsXeWkQuVzA"
+    found = [
+        f"login user@{key} now", f"https://api.a.example/bot{key}/send", f"https://api.a.example/v1/{key}/send?x=1",
+        "https://a.example/" + "p" * 5000 + f"/{key}/x", f"see https://a.example/x and {key}",
+    ]
+    kept = [
+        f"mail user@{key}.example.org", f"mail user@mail.{key}", f"urn:isbn:{key}", f"urn:a:b.{key}", f"sha256:{key}",
+        "https://a.example/" + "p." * 5000 + key, "https://a.example/some-long-title-of-an-article/comments",
+        "https://a.example/550e8400-e29b-41d4-a716-446655440000/x", "https://a.example/9233A8ECF7C5B09FE5949719B6B82BC439E9329B/x",
+    ]
+    got = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(list(enumerate(found + kept)), SCHEMA)).collect()}
+    assert [i for i, r in sorted(got.items()) if r.n_random] == list(range(len(found)))
+    start = found[1].index("bot")
+    assert got[1].spans == f"random:{start}:{start + 3 + len(key)}"
+
+
+def test_long_addresses_and_runs_are_scanned_in_linear_time(spark):
+    key = "qZxKvJwRbTnHcYfLmGdPsXeWkQuVzA"
+    pieces = ["://", "www.", f"{key}:", f"{key}.", f"/{key}", f"@{key}", f"://{key}@", "urn:a:" + key + ".", "hook?" + key]
+    rows = [(i, (piece * 400_000)[:400_000] + " ") for i, piece in enumerate(pieces)] + [(99, key * 10_000)]
+    started = time.monotonic()
+    got = {r.doc_id: r.n_random for r in secrets.find_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert time.monotonic() - started < 60 and got[99] == 1 and got[2] > 10_000 and got[7] == 0
