@@ -7,9 +7,12 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,10 +112,67 @@ def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return lines[0], headers, payload
 
 
+_CHUNK = re.compile(rb"([0-9A-Fa-f]{1,16})[ \t]*(?:;[^\r\n]*)?\r?\n")
+
+
+def unchunked(payload: bytes) -> bytes:
+    """The payload without the sizes of its chunks; as it is if it does not start with one. A torn last chunk is kept."""
+    parts, at = [], 0
+    while m := _CHUNK.match(payload, at):
+        size = int(m[1], 16)
+        parts.append(payload[m.end() : m.end() + size])
+        at = m.end() + size
+        if not size or at >= len(payload):
+            return b"".join(parts)
+        end = 2 if payload[at : at + 2] == b"\r\n" else 1 if payload[at : at + 1] == b"\n" else 0
+        if not end:
+            return payload
+        at += end
+    return b"".join(parts) if parts and at >= len(payload) else payload
+
+
+def inflated(payload: bytes, coding: str) -> bytes:
+    """The payload without one content coding (gzip, deflate, zstd), as far as it can be read; as it is if it cannot or the coding is another."""
+    if coding in ("gzip", "x-gzip", "deflate"):
+        for bits in (zlib.MAX_WBITS | 32, -zlib.MAX_WBITS):  # with a gzip or zlib header, without any
+            out, rest = [], payload
+            try:
+                while rest:
+                    one = zlib.decompressobj(bits)
+                    for at in range(0, len(rest), 1 << 16):  # in pieces, so that what stands before a broken place is kept
+                        out.append(one.decompress(rest[at : at + (1 << 16)]))
+                        if one.eof:
+                            break
+                    rest = one.unused_data + rest[at + (1 << 16) :] if one.eof else b""
+            except zlib.error:
+                pass
+            if any(out):
+                return b"".join(out)
+    elif coding == "zstd":
+        out = []
+        try:
+            reader = zstandard.ZstdDecompressor().stream_reader(payload, read_across_frames=True)
+            while part := reader.read(1 << 16):
+                out.append(part)
+        except zstandard.ZstdError:
+            pass
+        if out:
+            return b"".join(out)
+    return payload
+
+
+def _codings(value: str | None) -> list[str]:
+    return [c.strip().lower() for c in (value or "").split(",") if c.strip()]
+
+
 def derive_one(record_id: str, uri: str | None, date: str | None, headers: dict[str, str], block: bytes) -> list[tuple]:
     """The metadata and, for textual payloads, the conversion record of a response."""
     status, http, payload = split_http(block or b"")
-    known = {k.lower(): v for k, v in http}
+    known: dict[str, str] = {}
+    for k, v in http:  # a repeated header is a list
+        known[k.lower()] = f"{known[k.lower()]}, {v}" if k.lower() in ("transfer-encoding", "content-encoding") and k.lower() in known else v
+    if "chunked" in _codings(known.get("transfer-encoding")):
+        payload = unchunked(payload)
     kind = known.get("content-type", "text/html")
     source = {f"X-Source-{k}": v for k, v in sorted((headers or {}).items()) if v is not None}
     payload_digest = (headers or {}).get("WARC-Payload-Digest") or digest(payload)
@@ -121,10 +181,13 @@ def derive_one(record_id: str, uri: str | None, date: str | None, headers: dict[
     links |= {"WARC-Refers-To-Date": date} if date else {}
     textual = kind.lower().startswith("text/") or "html" in kind.lower() or "xml" in kind.lower()
     charset = re.search(r"charset=\"?([\w.:-]+)", kind, re.IGNORECASE)
+    body = payload
+    for coding in reversed(_codings(known.get("content-encoding"))) if textual else ():
+        body = inflated(body, coding)
     try:
-        page = payload.decode(charset[1] if charset else "utf-8", "replace")
+        page = body.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
-        page = payload.decode("utf-8", "replace")
+        page = body.decode("utf-8", "replace")
     conversion = name("conversion", record_id, payload_digest)
     title = _title(page) if textual else None
     fields = [("source-status", status), ("source-payload-digest", payload_digest), ("source-payload-length", str(len(payload)))]
@@ -208,13 +271,15 @@ def responses(pages: DataFrame, date: str) -> DataFrame:
 def write(records: DataFrame, path: str, per_file: int = 20_000, **options: str) -> None:
     """Records (RECORD or DERIVED) as WARC files of at most `per_file` records; pass compression="gzip" for gzip.
 
-    The text writer's separator is the one between WARC records.
+    The text writer's separator is the one between WARC records. A header of several lines is
+    written once per line, as `read` returns headers that repeat. A gzip file is one stream.
     """
     fixed = [("WARC-Type", "type"), ("WARC-Record-ID", "record_id"), ("WARC-Target-URI", "target_uri"), ("WARC-Date", "date")]
     line = lambda key, value: F.when(value.isNotNull(), F.concat(F.lit(f"{key}: "), value, F.lit("\r\n"))).otherwise("")
     head = F.concat(F.lit("WARC/1.1\r\n"), *[line(k, F.col(c)) for k, c in fixed])
     rest = F.array_join(F.transform(F.array_sort(F.map_entries(F.coalesce("headers", F.create_map().cast("map<string,string>")))),
-                                    lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("")), F.lit("\r\n"))), "")
+                                    lambda e: F.concat(e["key"], F.lit(": "), F.replace(F.coalesce(e["value"], F.lit("")), F.lit("\n"),
+                                                       F.concat(F.lit("\r\n"), e["key"], F.lit(": "))), F.lit("\r\n"))), "")
     block = F.coalesce(F.col("block"), F.lit(b""))
     length = F.concat(F.lit("Content-Length: "), F.length(block).cast("string"), F.lit("\r\n\r\n"))
     whole = F.concat(F.concat(head, rest, length).cast("binary"), block).cast("string")
@@ -222,13 +287,20 @@ def write(records: DataFrame, path: str, per_file: int = 20_000, **options: str)
     out.options(**options).text(path)
 
 
+BROKEN = "file string, at long, reason string, length long"
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The records of WARC files (see RECORD), plain or gzip. A file is one task and has to fit into its memory."""
+    """The whole records of WARC files (see RECORD), plain or gzip; what is broken is left to `read_broken`.
+
+    A file is one task and has to fit into its memory. Values of a header that
+    repeats are the lines of one value.
+    """
 
     def run(batches):
         for batch in batches:
             for content in batch.column(0).to_pylist():
-                for rows in _some(parse(content), 1000):
+                for rows in _some((r for r in parse(content) if isinstance(r, tuple)), 1000):
                     kinds = [*[pa.string()] * 4, pa.map_(pa.string(), pa.string()), pa.binary()]
                     names = [c.split()[0] for c in RECORD.split(", ")]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -237,6 +309,20 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, RECORD)
 
 
+def read_broken(spark: SparkSession, path: str) -> DataFrame:
+    """(file, at, reason, length): the pieces of WARC files that are no whole records, by their place in the unpacked file."""
+
+    def run(batches):
+        for batch in batches:
+            for file, content in zip(*[c.to_pylist() for c in batch.columns]):
+                for rows in _some(([file, *r.place] for r in parse(content) if isinstance(r, Broken)), 1000):
+                    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [c.split()[0] for c in BROKEN.split(", ")])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(run, BROKEN)
+
+
 def _some(rows: Iterator, n: int) -> Iterator[list]:
     part = []
     for row in rows:
@@ -248,19 +334,53 @@ def _some(rows: Iterator, n: int) -> Iterator[list]:
         yield part
 
 
-def parse(content: bytes) -> Iterator[tuple]:
-    """Records of one file, by their Content-Length."""
+@dataclass(frozen=True)
+class Broken:
+    """A piece of a file that is no whole record: where it starts, what is wrong, how long it is."""
+
+    place: tuple[int, str, int]
+
+
+def parse(content: bytes) -> Iterator[tuple | Broken]:
+    """Records of one file, by their Content-Length, and the pieces between them that are none.
+
+    Behind a broken record reading goes on at the next line that starts like one.
+    """
     if content[:2] == b"\x1f\x8b":
-        import gzip
-
-        content = gzip.decompress(content)
-    at = 0
-    while (at := content.find(b"WARC/", at)) >= 0:
-        end = content.index(_END, at)
-        pairs = [line.split(":", 1) for line in content[at:end].decode("utf-8", "replace").split("\r\n")[1:] if ":" in line]
-        headers = {k.strip(): v.strip() for k, v in pairs}
-        start = end + len(_END)
-        at = start + int(headers.get("Content-Length", 0))
+        content = inflated(content, "gzip")
+    at, size = 0, len(content)
+    while at < size:
+        blank = _BLANK.match(content, at).end()
+        if blank == size:
+            return
+        at, reason, headers, start, length = blank, None, {}, blank, 0
+        end = content.find(_END, at)
+        if not content.startswith(b"WARC/", at):
+            reason = "no record"
+        elif end < 0:
+            reason = "torn header"
+        else:
+            for line in content[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
+                key, parted, value = line.partition(":")
+                if parted:
+                    key, value = key.strip(), value.strip()
+                    headers[key] = f"{headers[key]}\n{value}" if key in headers else value
+            start, said = end + len(_END), headers.pop("Content-Length", "")
+            if not re.fullmatch(r"[0-9]{1,18}", said):
+                reason = "no length"
+            else:
+                length = int(said)
+                reason = "torn block" if start + length > size else None
+        if reason:
+            following = _START.search(content, at + 1)
+            after = following.start() if following else size
+            yield Broken((at, reason, after - at))
+            at = after
+            continue
+        at = start + length
         fixed = [headers.pop(k, None) for k in ("WARC-Record-ID", "WARC-Type", "WARC-Target-URI", "WARC-Date")]
-        headers.pop("Content-Length", None)
         yield (*fixed, list(headers.items()), content[start:at])
+
+
+_BLANK = re.compile(rb"[\r\n]*")
+_START = re.compile(rb"(?<=\n)WARC/[0-9]")

@@ -1,8 +1,12 @@
 import base64
+import gzip
 import hashlib
+import os
 import time
+import zlib
 
 import pytest
+import zstandard
 
 from feedmart.llm import warc
 
@@ -92,3 +96,54 @@ def test_elements_that_are_not_shown():
     assert warc.plain_text("a<noscript>b<noscript>c</noscript>d</noscript>e<template>f</template>g") == "a\ne\ng"
     assert warc.plain_text("a<noscript>b") == "a\nb" and warc.plain_text("a</noscript>b<template>c</template>") == "a\nb"
     assert warc.plain_text("<title>T</title>one <b two <i>three</i>") == "one three"
+
+
+def coded(body, *headers, chunk=None):
+    if chunk:
+        body = b"".join(b"%x;a=b\r\n%s\r\n" % (len(body[i : i + chunk]), body[i : i + chunk]) for i in range(0, len(body), chunk)) + b"0\r\n\r\n"
+    lines = b"".join(h.encode() + b"\r\n" for h in headers)
+    return b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + lines + b"\r\n" + body
+
+
+def test_transfer_and_content_codings_are_undone():
+    page = ("<title>T</title><p>one é</p>" + "<p>two</p>" * 3000).encode()
+    text = ["one é", *["two"] * 3000]
+    bare = zlib.compressobj(wbits=-15)
+    bare = bare.compress(page) + bare.flush()
+    packed = {
+        "gzip": gzip.compress(page), "x-gzip": gzip.compress(page[:99]) + gzip.compress(page[99:]), "deflate": zlib.compress(page),
+        "Deflate": bare, "zstd": zstandard.compress(page), "deflate, gzip": gzip.compress(zlib.compress(page)), "identity": page, "gzip, none": page,
+    }
+    conversion = lambda block: warc.derive_one("<urn:x>", None, None, {}, block)[1][-1].decode().split("\n")
+    for coding, body in packed.items():
+        assert conversion(coded(body, f"Content-Encoding: {coding}")) == text, coding
+        assert conversion(coded(body, f"Content-Encoding: {coding}", "Transfer-Encoding: chunked", chunk=1000)) == text, coding
+    assert conversion(coded(page, "Transfer-Encoding: chunked")) == text  # the crawler has undone it, but kept the header
+    meta = warc.derive_one("<urn:x>", None, None, {}, coded(packed["gzip"], "Transfer-Encoding: chunked", chunk=7))[0][-1].decode()
+    assert f"source-payload-digest: {sha1(packed['gzip'])}\r\n" in meta
+    torn = conversion(coded(packed["gzip"][:-20], "Content-Encoding: gzip"))
+    assert torn[0] == "one é" and set(torn[1:-1]) == {"two"} and len(torn) > 100
+    assert conversion(coded(b"\x1f\x8b", "Content-Encoding: gzip")) and conversion(coded(b"", "Content-Encoding: gzip", "Transfer-Encoding: chunked")) == [""]
+    assert conversion(coded(b"5\r\none t\r\n9\r\nwo", "Transfer-Encoding: chunked")) == ["one two"]
+
+
+def test_broken_records_are_set_aside_and_repeated_headers_kept(spark, tmp_path):
+    record = lambda i, body=b"x", length=None: (
+        b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <%d>\r\nWARC-Concurrent-To: <a>\r\nWARC-Concurrent-To: <b>\r\nContent-Length: %s\r\n\r\n%s\r\n\r\n"
+        % (i, length if length is not None else b"%d" % len(body), body)
+    )
+    whole = record(1) + record(2, length=b"many") + b"noise\r\n" + record(3, b"WARC/1.1\r\n\r\n") + record(4, b"abc", b"999999") + record(5, b"")
+    torn = record(6) + record(7)[:30]
+    (tmp_path / "a.warc").write_bytes(whole)
+    (tmp_path / "b.warc").write_bytes(torn)
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(record(8)) + gzip.compress(record(9, os.urandom(5000)))[:-4000])
+    (tmp_path / "d.warc").write_bytes(b"")
+    good = warc.read(spark, str(tmp_path))
+    rows = {r.record_id: r for r in good.collect()}
+    assert set(rows) == {"<1>", "<3>", "<5>", "<6>", "<8>"} and bytes(rows["<3>"].block) == b"WARC/1.1\r\n\r\n"
+    assert all(r.headers == {"WARC-Concurrent-To": "<a>\n<b>"} for r in rows.values())
+    broken = sorted((r.file[-6:], r.reason) for r in warc.read_broken(spark, str(tmp_path)).collect())
+    assert broken == [("a.warc", "no length"), ("a.warc", "torn block"), ("arc.gz", "torn block"), ("b.warc", "torn header")]
+    warc.write(good, str(tmp_path / "out"))
+    again = {r.record_id: r for r in warc.read(spark, str(tmp_path / "out")).collect()}
+    assert again == rows and warc.read_broken(spark, str(tmp_path / "out")).count() == 0
