@@ -5,7 +5,8 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections import OrderedDict
+from bisect import bisect_left
+from collections import Counter, OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
@@ -58,7 +59,11 @@ _ARTICLES = frozenset("article main section".split())
 
 
 class Box:
-    """A container of a page: its signature, whether it or one outside it stands around the article, inner containers, own text blocks."""
+    """A container or text block of a page: its signature, whether it or one outside it stands around the article, what is inside in page order.
+
+    The signature of a text block starts with `#` and names the element that
+    it stands in; `text` is what it says and `linked` how much of it is links.
+    """
 
     __slots__ = ("sig", "tag", "around", "hidden", "in_article", "parent", "children", "text", "linked")
 
@@ -67,7 +72,7 @@ class Box:
         self.hidden = around or (parent is not None and parent.hidden)
         self.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
         self.children: list[Box] = []
-        self.text: list[str] = []
+        self.text = ""
         self.linked = 0
 
 
@@ -99,7 +104,7 @@ def _box(tag: str, attrs: str, parent: Box) -> Box:
 
 
 def parse(page: str) -> tuple[Box, list[tuple[Box, str]]]:
-    """The outermost container and all text blocks in page order, each with the container it is in.
+    """The outermost container and all text blocks in page order, each with its text.
 
     Unclosed and stray tags are put up with: an end tag closes everything up to
     its start tag, or nothing if there is none. What belongs to the body ends
@@ -123,14 +128,17 @@ def parse(page: str) -> tuple[Box, list[tuple[Box, str]]]:
     loose: list[int] = []  # where those without an end tag are
     found: list[tuple[Box, str]] = []
     piece: list[str] = []
+    linked, element = 0, ""  # of the piece: characters in links, and the block element it stands in
 
     def block():
-        nonlocal piece
+        nonlocal piece, linked
         text = " ".join("".join(piece).split())
         if text:
-            found.append((boxes[-1], text))
-            boxes[-1].text.append(text)
-        piece = []
+            leaf = Box(f"#{element}", "#", False, boxes[-1])
+            leaf.text, leaf.linked = text, linked
+            boxes[-1].children.append(leaf)
+            found.append((leaf, text))
+        piece, linked = [], 0
 
     def close(at: int):
         while len(boxes) > at:
@@ -149,7 +157,7 @@ def parse(page: str) -> tuple[Box, list[tuple[Box, str]]]:
                 close(len(boxes) - 1)
             piece.append(said)
             if link:
-                boxes[-1].linked += len(said.strip())
+                linked += len(said.strip())
             continue
         tag = tag.lower()
         end = token[1] == "/"
@@ -160,6 +168,8 @@ def parse(page: str) -> tuple[Box, list[tuple[Box, str]]]:
         if tag in _INLINE:
             continue
         block()
+        if tag in _BLOCKS:
+            element = "" if end else tag
         while not end and tags[-1] in _IMPLIED and (_IMPLIED[tags[-1]] is None or tag in _IMPLIED[tags[-1]]):
             close(len(boxes) - 1)
         if not end:
@@ -192,10 +202,13 @@ def parse(page: str) -> tuple[Box, list[tuple[Box, str]]]:
 
 @dataclass
 class Wrapper:
-    """A container in a host's expression: optional or not, repeated or not, its inner containers, what its text slot held.
+    """A container or text block in a host's expression: optional or not, repeated or not, what is inside in page order.
 
-    `pages` counts occurrences, `chars` and `linked` their text, `same` is a hash of
-    the text if it was the same in all of them.
+    `pages` counts the pages that have it (at least; a repeated one counts once
+    a page), `chars` and `linked` the text of a block. `same` is a hash of a
+    block's text that is constant, that is, in more than half of its container's
+    pages; any other block is a slot and has none. `template`: found to be no
+    part of the article.
     """
 
     sig: str
@@ -205,15 +218,22 @@ class Wrapper:
     pages: int = 1
     chars: int = 0
     linked: int = 0
-    same: str | None = ""
+    same: str | None = None
+    template: bool = False
     children: list[Wrapper] = field(default_factory=list)
 
+    @property
+    def block(self) -> bool:
+        return self.sig.startswith("#")
+
     def pack(self) -> list:
-        """The containers in page order, each with the number of those directly inside."""
+        """All nodes in page order, each with the number of those directly inside."""
         rows, open_ = [], [self]
         while open_:
             one = open_.pop()
-            rows.append([one.sig, one.around, one.optional, one.repeated, one.pages, one.chars, one.linked, one.same, len(one.children)])
+            rows.append([
+                one.sig, one.around, one.optional, one.repeated, one.pages, one.chars, one.linked, one.same, one.template, len(one.children)
+            ])
             open_.extend(reversed(one.children))
         return rows
 
@@ -227,16 +247,17 @@ class Wrapper:
 
     def expression(self) -> str:
         """The wrapper to read: `#` is a text slot, a quoted hash constant text."""
-        slot = [] if not self.chars else ["#" if self.same is None else f"'{self.same}'"]
-        inner = " ".join([*slot, *(c.expression() for c in self.children)])
-        whole = f"<{self.sig}>{inner}</>"
+        return _run(self._expression())
+
+    def _expression(self) -> Iterator:
+        inner = []
+        for child in self.children:
+            inner.append((yield child._expression()))
+        whole = f"<{self.sig}>{' '.join(inner)}</>" if not self.block else "#" if self.same is None else f"'{self.same}'"
         mark = ("+" if self.repeated else "") + ("?" if self.optional else "")
         return f"({whole}){mark}" if mark else whole
 
 
-_MOST_CHILDREN = 256
-
-
 def _run(step: Iterator):
     """Run a generator that yields generators it needs the value of: recursion without depth."""
     open_, value = [step], None
@@ -252,78 +273,157 @@ def _run(step: Iterator):
 
 
 def of_page(box: Box) -> Wrapper:
-    """A page as an expression: neighbours of one signature are one repeated group."""
+    """A page as an expression: neighbouring containers of one signature are one repeated group, text is constant."""
     return _run(_of_page(box))
 
 
+def _said(text: str) -> str:
+    return blake2b(text.encode("utf-8", "replace"), digest_size=6).hexdigest()
+
+
 def _of_page(box: Box) -> Iterator:
-    text = " ".join(box.text)
-    same = blake2b(text.encode("utf-8", "replace"), digest_size=6).hexdigest()
     children = []
-    for child in box.children:
-        children.append((yield _of_page(child)))
-    return Wrapper(box.sig, box.around, False, False, 1, len(text), box.linked, same, (yield _folded(children)))
+    for child in () if box.around else box.children:
+        if child.tag == "#":
+            children.append(Wrapper(child.sig, chars=len(child.text), linked=child.linked, same=_said(child.text)))
+        else:
+            children.append((yield _of_page(child)))
+    return Wrapper(box.sig, box.around, children=(yield _folded(children)))
 
 
 def _folded(children: list[Wrapper]) -> Iterator:
+    """Neighbours as repeated groups: containers of one signature, slots, the same constant text."""
     out: list[Wrapper] = []
     for child in children:
-        if out and out[-1].sig == child.sig:
-            out[-1] = yield _join(out[-1], child)
+        if out and out[-1].sig == child.sig and out[-1].same == child.same:
+            out[-1] = yield _join(out[-1], child, max)
             out[-1].repeated = True
         else:
             out.append(child)
-    if len(out) > _MOST_CHILDREN:  # no order to speak of: one repeated group per signature
-        by_sig: dict[str, Wrapper] = {}
-        for child in out:
-            known = by_sig.get(child.sig)
-            by_sig[child.sig] = (yield _join(known, child)) if known else child
-            by_sig[child.sig].repeated |= known is not None
-        out = [by_sig[sig] for sig in sorted(by_sig)]
     return out
 
 
 def join(a: Wrapper, b: Wrapper) -> Wrapper:
-    """The expression that covers both. Mismatching texts become a slot, containers only one has an optional group."""
-    return _run(_join(a, b))
+    """The expression that covers both. Mismatching texts become a slot, what only one has an optional group."""
+    return _run(_join(a, b, int.__add__))
 
 
-def _join(a: Wrapper, b: Wrapper) -> Iterator:
+def _join(a: Wrapper, b: Wrapper, counted) -> Iterator:
+    """`counted` gives the pages of both: their sum, or for two parts of one expression the larger number."""
+    pages = counted(a.pages, b.pages)
     children: list[Wrapper] = []
-    for x, y in _aligned(a.children, b.children):
+    for x, y in _aligned(a.children, b.children, a.pages, b.pages):
+        one = x or y
         if x is None or y is None:
-            only = x or y
-            only.optional = True
-            children.append(only)
+            one.optional = True
         else:
-            children.append((yield _join(x, y)))
+            one = yield _join(x, y, counted)
+        if one.block and pages > 1 and not _firm(one, pages):
+            one.same = None
+        children.append(one)
     return Wrapper(
-        a.sig, a.around or b.around, a.optional or b.optional, a.repeated or b.repeated, a.pages + b.pages, a.chars + b.chars,
-        a.linked + b.linked, a.same if a.same == b.same else None, (yield _folded(children)),
+        a.sig, a.around or b.around, a.optional or b.optional, a.repeated or b.repeated, pages, a.chars + b.chars,
+        a.linked + b.linked, a.same if a.same == b.same else None, False, (yield _folded(children)),
     )
 
 
-def _aligned(a: list[Wrapper], b: list[Wrapper]) -> Iterator[tuple[Wrapper | None, Wrapper | None]]:
-    """Pairs of a longest common subsequence by signature, and what lies between."""
-    x, y = [c.sig for c in a], [c.sig for c in b]
+def _firm(block: Wrapper, pages: int) -> bool:
+    return block.same is not None and pages > 1 and 2 * block.pages > pages
+
+
+def _aligned(a: list[Wrapper], b: list[Wrapper], a_pages: int, b_pages: int) -> Iterator[tuple[Wrapper | None, Wrapper | None]]:
+    """Pairs in the order of both, and what has no partner.
+
+    Equal beginnings and ends are paired, then what occurs once on either side,
+    by a longest increasing sequence, then the gaps between in the same way. What
+    is left is paired by signature in order, constant text only with itself.
+    Takes no more than n log n steps a round, for any number of children.
+    """
+    exact = lambda c: (c.sig, c.same)
+    x, y = [exact(c) for c in a], [exact(c) for c in b]
     if x == y:
         yield from zip(a, b)
         return
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        for j in range(len(y) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
+    firm = {exact(c) for side, pages in ((a, a_pages), (b, b_pages)) for c in side if _firm(c, pages)}
+    open_ = [(0, len(a), 0, len(b))]
+    while open_:
+        i, i_end, j, j_end = open_.pop()
+        while i < i_end and j < j_end and x[i] == y[j]:
+            yield a[i], b[j]
+            i, j = i + 1, j + 1
+        tail = 0
+        while i < i_end - tail and j < j_end - tail and x[i_end - tail - 1] == y[j_end - tail - 1]:
+            tail += 1
+        if tail:
+            open_.append((i_end - tail, i_end, j_end - tail, j_end))
+            i_end, j_end = i_end - tail, j_end - tail
+        if i == i_end or j == j_end:
+            yield from ((c, None) for c in a[i:i_end])
+            yield from ((None, c) for c in b[j:j_end])
+            continue
+        anchors = _anchors(x, i, i_end, y, j, j_end)
+        if anchors:
+            cuts = [*anchors, (i_end, j_end)]
+            open_.extend((p, p_next, q, q_next) for (p, q), (p_next, q_next) in reversed(list(zip(cuts, cuts[1:]))))
+            open_.append((i, anchors[0][0], j, anchors[0][1]))
+        else:
+            yield from _by_signature(a[i:i_end], b[j:j_end], firm)
+
+
+def _anchors(x: list, i: int, i_end: int, y: list, j: int, j_end: int) -> list[tuple[int, int]]:
+    """Places of what occurs once on either side, as many as have one order on both."""
+    times_x, times_y = Counter(x[i:i_end]), Counter(y[j:j_end])
+    at = {key: q for q, key in enumerate(y[j:j_end], j) if times_y[key] == 1}
+    pairs = [(p, at[key]) for p, key in enumerate(x[i:i_end], i) if times_x[key] == 1 and key in at]
+    ends: list[int] = []  # the least end of an increasing sequence of each length
+    last: list[int] = []  # the pair that has it
+    before: list[int] = []
+    for n, (_, q) in enumerate(pairs):
+        length = bisect_left(ends, q)
+        before.append(last[length - 1] if length else -1)
+        if length == len(ends):
+            ends.append(q)
+            last.append(n)
+        else:
+            ends[length], last[length] = q, n
+    chain, n = [], last[-1] if last else -1
+    while n >= 0:
+        chain.append(pairs[n])
+        n = before[n]
+    return chain[::-1]
+
+
+def _by_signature(a: list[Wrapper], b: list[Wrapper], firm: set) -> Iterator[tuple[Wrapper | None, Wrapper | None]]:
+    """Pairs of one signature in order; at a mismatch the side goes on whose next match is nearer."""
+    kind = lambda c: (c.sig, c.same) if (c.sig, c.same) in firm else c.sig
+    x, y = [kind(c) for c in a], [kind(c) for c in b]
+    places: tuple[dict, dict] = ({}, {})
+    for side, keys in zip(places, (x, y)):
+        for n, key in enumerate(keys):
+            side.setdefault(key, []).append(n)
+
+    def away(side: dict, key, start: int) -> float:
+        found = side.get(key, ())
+        n = bisect_left(found, start)
+        return found[n] - start if n < len(found) else float("inf")
+
     i = j = 0
-    while i < len(x) and j < len(y):
+    while i < len(a) and j < len(b):
         if x[i] == y[j]:
             yield a[i], b[j]
             i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
+            continue
+        in_a, in_b = away(places[0], y[j], i), away(places[1], x[i], j)
+        if in_a <= in_b and in_a < float("inf"):
             yield a[i], None
             i += 1
-        else:
+        elif in_b < float("inf"):
             yield None, b[j]
             j += 1
+        else:
+            yield a[i], None
+            yield None, b[j]
+            i, j = i + 1, j + 1
     yield from ((c, None) for c in a[i:])
     yield from ((None, c) for c in b[j:])
 
@@ -332,40 +432,58 @@ def _aligned(a: list[Wrapper], b: list[Wrapper]) -> Iterator[tuple[Wrapper | Non
 
 _SHARE = 0.7  # of the text that a container must hold to be the article
 _LINKS = 0.8  # of a container's text that makes it a menu
-_CONSTANT = 3  # pages that make the same text part of the template
+_PAGES, _PAGES_SHARE = 5, 0.8  # pages of a host, and share of them, that have a text which is part of the template
+_VARIED = 2  # times as much as all such text a page's other text must be on average: pages that are mostly copies have no template
 
+# Known paths as (place of the outer one, signature), the article's, those left out, and the expression if text of it is left out.
+Rule = tuple[list[tuple[int, str]], int, list[int], Wrapper | None]
 
-Rule = tuple[list[tuple[int, str]], int, list[int]]  # known paths as (place of the outer one, signature), the article's, those left out
 
+def _constant(blocks: list[Wrapper], pages: int) -> list[Wrapper]:
+    """The blocks that say the same on nearly all pages of a host, if they are little beside what the other blocks say."""
+    fixed = [c for c in blocks if c.same is not None and c.pages >= max(_PAGES, _PAGES_SHARE * pages)]
+    said = sum(c.chars / c.pages for c in fixed)
+    varied = sum(c.chars for c in blocks if c.same is None) / pages
+    return fixed if _VARIED * said <= varied else []
 
-def rule(wrapper: Wrapper) -> Rule:
-    """Which container is the article, and which containers in it are not, by their paths.
 
-    The article is an article or main element with most text, else the
-    innermost container with most of the text that is not around it. Inside,
-    containers whose text never changes on most pages of the host while the
-    article's does belong to the template, and containers of links do if no
-    element is named as the article.
+def rule(wrapper: Wrapper) -> Rule:
+    """Which container is the article, and what in it is not.
+
+    The article is an article or main element with most text, else the innermost
+    container with most of the text that is not around it; text that the
+    alignment found to be the same on nearly all pages of the host does not
+    count. In the article such text is the host's template and left out, unless
+    it is much beside the text that varies (see `_constant`). Containers of links
+    are left out if no element is named as the article.
     """
     known: dict[tuple[int, str], int] = {(-1, wrapper.sig): 0}
-    paths, stats, depth = [(-1, wrapper.sig)], [[0, 0, 0, ""]], [0]
+    paths, stats, depth = [(-1, wrapper.sig)], [[0, 0, 0]], [0]  # text, text in links, text that may be an article's
+    blocks: list[list[Wrapper]] = [[]]
     open_ = [(wrapper, 0)]
     while open_:
         node, at = open_.pop()
-        own = stats[at]
-        own[3] = node.same if not own[0] or own[3] == node.same else None
-        own[0], own[1], own[2] = own[0] + node.pages, own[1] + node.chars, own[2] + node.linked
         for child in reversed(node.children):
             if child.around:
                 continue
+            if child.block:
+                blocks[at].append(child)
+                continue
             place = known.setdefault((at, child.sig), len(paths))
             if place == len(paths):
                 paths.append((at, child.sig))
-                stats.append([0, 0, 0, ""])
+                stats.append([0, 0, 0])
+                blocks.append([])
                 depth.append(depth[at] + 1)
             open_.append((child, place))
     every = range(len(paths))
-    whole = [max(0, chars - linked) for _, chars, linked, _ in stats]
+    fixed = {id(c) for c in _constant([c for own in blocks for c in own], wrapper.pages)}
+    for i in every:
+        for c in blocks[i]:
+            own = stats[i]
+            own[0], own[1] = own[0] + c.chars, own[1] + c.linked
+            own[2] += 0 if id(c) in fixed else c.chars - c.linked
+    whole = [max(0, said) for _, _, said in stats]
     for i in reversed(every):  # outer paths come before inner ones
         if i:
             whole[paths[i][0]] += whole[i]
@@ -384,13 +502,37 @@ def rule(wrapper: Wrapper) -> Rule:
     else:
         root = max((i for i in every if whole[i] >= _SHARE * whole[0]), key=lambda i: (depth[i], whole[i], -i))
     inside = within(root)
-    varies = any(inside[i] and stats[i][3] is None for i in every)
-    most = max(_CONSTANT, wrapper.pages / 2)
-    drop = [
-        i for i, (pages, chars, linked, same) in enumerate(stats)
-        if inside[i] and i != root and chars and ((not named and linked >= _LINKS * chars) or (same is not None and pages >= most and varies))
-    ]
-    return paths, root, drop
+    drop = [i for i, (chars, linked, _) in enumerate(stats) if inside[i] and i != root and chars and not named and linked >= _LINKS * chars]
+    template = _constant([c for i in every if inside[i] for c in blocks[i]], wrapper.pages)
+    for c in template:
+        c.template = True
+    return paths, root, drop, wrapper if template else None
+
+
+def template_blocks(root: Box, wrapper: Wrapper) -> set[Box]:
+    """The text blocks of a page that the alignment with its host's expression puts on template text."""
+    found: set[Box] = set()
+    open_ = [(root, wrapper)]
+    while open_:
+        box, node = open_.pop()
+        own: list[Wrapper] = []
+        members: dict[int, list[Box]] = {}
+        for child in box.children:
+            if child.around:
+                continue
+            same = _said(child.text) if child.tag == "#" else None
+            if not own or own[-1].sig != child.sig or own[-1].same != same:
+                own.append(Wrapper(child.sig, same=same))
+            members.setdefault(id(own[-1]), []).append(child)
+        inner = [c for c in node.children if not c.around]
+        for x, y in _aligned(own, inner, 1, node.pages):
+            if x is None or y is None:
+                continue
+            if not x.block:
+                open_.extend((member, y) for member in members[id(x)])
+            elif y.template and x.same == y.same:
+                found.update(members[id(x)])
+    return found
 
 
 def main_text(page: str, known: Rule | None) -> str:
@@ -398,7 +540,7 @@ def main_text(page: str, known: Rule | None) -> str:
     root, blocks = parse(page)
 
     def taken(of: Rule) -> str:
-        paths, at, drop = of
+        paths, at, drop, wrapper = of
         place = {tuple(path): i for i, path in enumerate(paths)}
         left_out = set(drop)
         state = {root: (0, at == 0, False)}  # per container its path's place, whether it is in the article, whether it is left out
@@ -407,10 +549,12 @@ def main_text(page: str, known: Rule | None) -> str:
             box = open_.pop()
             here, inside, out = state[box]
             for child in box.children:
-                there = place.get((here, child.sig), -1) if here >= 0 else -1
-                state[child] = there, inside or there == at, out or there in left_out
-                open_.append(child)
-        return " ".join(text for box, text in blocks if not box.hidden and state[box][1] and not state[box][2])
+                if child.tag != "#":
+                    there = place.get((here, child.sig), -1) if here >= 0 else -1
+                    state[child] = there, inside or there == at, out or there in left_out
+                    open_.append(child)
+        template = template_blocks(root, wrapper) if wrapper else ()
+        return " ".join(text for box, text in blocks if not box.hidden and state[box.parent][1] and not state[box.parent][2] and box not in template)
 
     text = taken(known) if known else ""
     return text or taken(rule(of_page(root)))
@@ -465,12 +609,22 @@ def _packed(held: dict[str, Wrapper]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(texts, pa.string())], ["host", "wrapper"])
 
 
+def _rule_text(of: Rule) -> str:
+    *places, wrapper = of
+    return json.dumps([*places, wrapper and wrapper.pack()], separators=(",", ":"))
+
+
+def _rule(text: str) -> Rule:
+    *places, wrapper = json.loads(text)
+    return (*places, wrapper and Wrapper.unpack(wrapper))
+
+
 def rules(host_wrappers: DataFrame) -> DataFrame:
     """(host, rule): where the article is on a host's pages, as JSON."""
 
     def run(batches):
         for batch in batches:
-            found = [json.dumps(rule(Wrapper.unpack(json.loads(w)))) for w in batch.column(1).to_pylist()]
+            found = [_rule_text(rule(Wrapper.unpack(json.loads(w)))) for w in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["host", "rule"])
 
     return host_wrappers.mapInArrow(run, "host string, rule string")
@@ -493,7 +647,7 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = []
             for page, packed in zip(batch.column(2), batch.column(3).to_pylist()):
                 if packed is not None and packed not in known:
-                    known[packed] = tuple(json.loads(packed))
+                    known[packed] = _rule(packed)
                     if len(known) > _HELD:
                         known.popitem(last=False)
                 texts.append(main_text(page.as_py() or "", known.get(packed)))

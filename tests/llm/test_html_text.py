@@ -1,6 +1,7 @@
 import random
 import time
 
+from feedmart.llm import html_text
 from feedmart.llm.html_text import Wrapper, extract, join, main_text, of_page, parse, rule, wrappers
 
 SCHEMA = "page_id long, url string, html string"
@@ -153,3 +154,59 @@ def test_malformed_and_deep_pages_are_read_in_linear_time():
 def test_tags_without_an_end_keep_the_text_around_them():
     assert alone("<article>one <b two <i>three</i></article>") == "one three"
     assert alone("<article><p title=\"never closed>one</p><p>two</p></article>") == "one two"
+
+
+def notices(rng, i):
+    """A host without telling names: what is the same on its pages stands in blocks of the article's own element."""
+    paragraphs = [words(rng, rng.randint(12, 30)) for _ in range(rng.randint(2, 5))]
+    body = "".join(f"<p>{p}</p>" for p in paragraphs)
+    half = "<p>Now in print</p>" if i % 2 else ""
+    page = f"<body><div class=ka><p>Welcome to the walk</p><p>All about stone</p></div><div class=kb><p>Read by thousands</p>{half}{body}<blockquote>Write to us</blockquote></div></body>"
+    return page, " ".join(["Now in print"] * (i % 2) + paragraphs)
+
+
+def test_constant_blocks_are_told_by_the_alignment(spark, monkeypatch):
+    rng = random.Random(11)
+    made = [notices(rng, i) for i in range(40)]
+    frame = spark.createDataFrame([(i, "https://n.example/", page) for i, (page, _) in enumerate(made)], SCHEMA)
+    assert {r.page_id: r.text for r in extract(frame.repartition(5)).collect()} == {i: want for i, (_, want) in enumerate(made)}
+
+    def folded():
+        whole = of_page(parse(made[0][0])[0])
+        for page, _ in made[1:]:
+            whole = join(whole, of_page(parse(page)[0]))
+        return rule(whole)
+
+    assert [main_text(page, folded()) for page, _ in made] == [want for _, want in made]
+    monkeypatch.setattr(html_text, "_aligned", lambda a, b, *_: [*((c, None) for c in a), *((None, c) for c in b)])
+    assert all(main_text(page, folded()) != want for page, want in made)
+
+
+def test_mostly_copies_keep_their_article():
+    rng = random.Random(12)
+    paragraphs = [words(rng, 15) for _ in range(6)]
+    copies = ["<body><article>" + "".join(f"<p>{p if k != i % 6 else words(rng, 15)}</p>" for k, p in enumerate(paragraphs)) + "</article></body>" for i in range(30)]
+    others = [f"<body><article><p>{words(rng, 30)}</p></article></body>" for _ in range(5)]
+    whole = None
+    for page in [*copies, *others, *copies]:
+        own = of_page(parse(page)[0])
+        whole = own if whole is None else join(whole, own)
+    for page in [*copies, *others]:
+        assert main_text(page, rule(whole)) == " ".join(text for _, text in parse(page)[1])
+
+
+def test_alignment_keeps_order_and_pairs_every_child_once():
+    rng = random.Random(13)
+    for _ in range(500):
+        make = lambda: [Wrapper(rng.choice("#a #b c d".split())) for _ in range(rng.randint(0, 9))]
+        a, b = make(), make()
+        for c in a + b:
+            c.pages, c.same = rng.randint(1, 4), rng.choice(["1", "2", "3", None]) if c.block else None
+        pairs = list(html_text._aligned(a, b, 4, 4))
+        assert [id(x) for x, _ in pairs if x] == [id(x) for x in a] and [id(y) for _, y in pairs if y] == [id(y) for y in b]
+        for x, y in pairs:
+            assert x is None or y is None or x.sig == y.sig
+    a, b = ([Wrapper(f"div.{rng.random()}") if i % 3 else Wrapper("#p", same=str(i)) for i in range(60_000)] for _ in range(2))
+    started = time.monotonic()
+    assert sum(x is not None and y is not None for x, y in html_text._aligned(a, b, 2, 2)) == 20_000
+    assert time.monotonic() - started < 20
