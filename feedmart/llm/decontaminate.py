@@ -88,14 +88,20 @@ def words(text: Column, joined: bool = False, openers: list[str] | None = None)
 
 
 # How a window was found: as template words, as template words with joined units, as part of an item that has
-# few plain words, word for word.
-TEMPLATE, JOINED, WHOLE, EXACT = range(4)
+# few plain words, word for word, word for word with the marks between.
+TEMPLATE, JOINED, WHOLE, EXACT, MARKED = range(5)
+_WORD_FOR_WORD = (EXACT, MARKED)
 
 
-def _prepared(df: DataFrame, keep: list[str], kind: int = TEMPLATE, openers: list[str] = OPENERS) -> DataFrame:
-    """Per row the hashes of its template words and its slot values, null where a word is no slot and as a whole where none is."""
-    split = words(F.col("text"), kind != TEMPLATE, openers)
-    return _hashed(df.select(*keep, split.alias("_words")), keep, kind)
+def signs(text: Column) -> Column:
+    """The words of a text in lower case, numbers as they are written, and every mark as a word of its own."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.,][\p{N}]+)*|[^\p{L}\p{N}\p{M}\p{C}\p{Z}\s]"), F.lit(0))
+
+
+def _prepared(df: DataFrame, keep: list[str], kinds: set[int], openers: list[str] = OPENERS) -> DataFrame:
+    """Per row the hashes of its template words, of its words if a kind asks for them, and its slot values, see `_hashed`."""
+    split = signs(F.col("text")) if MARKED in kinds else words(F.col("text"), TEMPLATE not in kinds, openers)
+    return _hashed(df.select(*keep, split.alias("_words")), keep, kinds)
 
 
 def _openers(items: DataFrame) -> list[str]:
@@ -107,47 +113,58 @@ def _openers(items: DataFrame) -> list[str]:
     return sorted({*OPENERS, *(r.word for r in both.where("a > 0 and b > 0").collect())})
 
 
-def _hashed(split: DataFrame, keep: list[str], kind: int) -> DataFrame:
+def _hashed(split: DataFrame, keep: list[str], kinds: set[int]) -> DataFrame:
+    """Hashes of template words (`_template`) and of words (`_full`), null if no kind asks for them; slot values, null where a word is no slot and as a whole where none is."""
     slotted = split.select(*keep, "_words", F.exists("_words", lambda w: w.startswith(MARK)).alias("_slotted"))
     template = F.transform("_words", lambda w: F.xxhash64(F.when(w.startswith(MARK), F.substring(w, 1, 2)).otherwise(w)))
     full = F.transform("_words", lambda w: F.xxhash64(w))
+    none = F.lit(None).cast("array<bigint>")
     return slotted.select(
         *keep,
-        full.alias("_template") if kind == EXACT else F.when(F.col("_slotted"), template).otherwise(full).alias("_template"),
+        (F.when(F.col("_slotted"), template).otherwise(full) if kinds - {*_WORD_FOR_WORD} else none).alias("_template"),
+        (full if kinds & {*_WORD_FOR_WORD} else none).alias("_full"),
         F.when(F.col("_slotted"), F.transform("_words", lambda w: F.when(w.startswith(MARK), w))).alias("_values"),
     )
 
 
-def _windows(rows: DataFrame, n: int, at: str) -> DataFrame:
-    """A row per window of `n` words: where it starts and its hash. The arrays are only looked into, not copied.
+def _windows(rows: DataFrame, sizes: list[tuple[bool, int]], at: str) -> DataFrame:
+    """A row per window of each of `sizes` (word for word or not, words): where it starts, its size and its hash.
 
-    An outer explode, since for an inner one Spark would test the array in a
+    The arrays are only looked into, not copied, and gone through once for all
+    sizes. An outer explode, since for an inner one Spark would test the array in a
     filter below, and there take the texts apart a second time.
     """
-    size = F.size("_template")
-    starts = rows.withColumn(at, F.explode_outer(F.when(size >= n, F.sequence(F.lit(0), size - n)))).where(F.col(at).isNotNull())
-    return starts.withColumn("hash", F.xxhash64(*[F.get("_template", F.col(at) + k) for k in range(n)]))
-
-
-def _values(n: int, at: str) -> Column:
+    hashes = lambda exact: "_full" if exact else "_template"
+    count = F.size(F.coalesce("_template", "_full"))
+    last = count - min(n for _, n in sizes)
+    starts = rows.withColumn(at, F.explode_outer(F.when(last >= 0, F.sequence(F.lit(0), last)))).where(F.col(at).isNotNull())
+    hashed = {size: F.xxhash64(*[F.get(hashes(size[0]), F.col(at) + k) for k in range(size[1])]) for size in sizes}
+    if len(sizes) == 1:
+        (exact, n), one = next(iter(hashed.items()))
+        return starts.select("*", F.lit(exact).alias("exact"), F.lit(n).alias("length"), one.alias("hash"))
+    each = F.array(*[
+        F.when(F.col(at) + n <= count, F.struct(F.lit(exact).alias("exact"), F.lit(n).alias("length"), one.alias("hash")))
+        for (exact, n), one in hashed.items()
+    ])
+    return starts.withColumn("_window", F.explode(each)).where(F.col("_window").isNotNull()).select("*", "_window.*").drop("_window")
+
+
+def _values(at: str) -> Column:
     """The slot values of a window, null where a word is no slot."""
-    return F.array(*[F.get("_values", F.col(at) + k) for k in range(n)])
+    inner = F.slice("_values", F.col(at) + 1, F.col("length"))
+    return F.coalesce(inner, F.array_repeat(F.lit(None).cast("string"), F.col("length")))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
     return pick(benchmark, "item_id", "text").where("text is not null and item_id is not null").distinct()
 
 
-def _cut(items: DataFrame, s: Settings, shortest: int) -> DataFrame:
+def _cut(items: DataFrame, s: Settings, shortest: int, exact: bool = False) -> DataFrame:
     """(item_id, length, hash, at, values) of all windows; an item shorter than `window` is one window of its length."""
-    size = F.size("_template")
-    short = [r[0] for r in items.select(size).where((size >= shortest) & (size < s.window)).distinct().collect()]  # few lengths
-    rows = None
-    for n in [*sorted(short), s.window]:
-        own = items.where(size >= n if n == s.window else size == n)
-        found = _windows(own, n, "at").select("item_id", F.lit(n).alias("length"), "hash", "at", _values(n, "at").alias("values"))
-        rows = found if rows is None else rows.unionByName(found)
-    return rows
+    size = F.size(F.coalesce("_template", "_full"))
+    windows = _windows(items.where(size >= shortest).withColumn("_size", size), [(exact, n) for n in range(shortest, s.window + 1)], "at")
+    own = windows.where(F.col("length") == F.least("_size", F.lit(s.window)))
+    return own.select("item_id", "length", "hash", "at", _values("at").alias("values"))
 
 
 def _counted(rows: DataFrame, kind: int) -> DataFrame:
@@ -162,7 +179,7 @@ def _plain() -> Column:
 
 def benchmark_index(benchmark: DataFrame, s: Settings) -> DataFrame:
     """(item_id, length, hash, at, values, n_windows, kind): the windows of all items; texts of equal words are indexed for each."""
-    items = settle(_prepared(_items(benchmark), ["item_id"]), "template-items")
+    items = settle(_prepared(_items(benchmark), ["item_id"], {TEMPLATE}), "template-items")
     return _counted(_cut(items, s, s.literals).where(_plain() >= s.literals), TEMPLATE)
 
 
@@ -176,49 +193,55 @@ def joined_index(benchmark: DataFrame, s: Settings) -> tuple[DataFrame, list[str
     openers = _openers(settle(items.select(words(F.col("text"), True).alias("_words")), "joined-words"))
     split = settle(items.select("item_id", words(F.col("text"), True, openers).alias("_words")), "joined-items")
     size = F.size("_words")
-    rows = settle(_cut(_hashed(split, ["item_id"], JOINED), s, s.literals), "joined-windows")
+    rows = settle(_cut(_hashed(split, ["item_id"], {JOINED}), s, s.literals), "joined-windows")
     plenty = rows.where(_plain() >= s.literals)
     # A named unit is a word of the text, so a text of `literals` words may have fewer template words.
     said = size + F.size(F.filter("_words", lambda w: w.rlike(f"^{NUMBER}.*{UNIT}.")))
     few = settle(split.where(said >= s.literals).join(plenty.select("item_id").distinct(), "item_id", "left_anti"), "joined-few")
-    whole = _cut(_hashed(few.where(size >= s.literals), ["item_id"], WHOLE), s, s.literals).where(_plain() >= 1)
-    exact = _cut(_hashed(few, ["item_id"], EXACT), s, 1)
+    whole = _cut(_hashed(few.where(size >= s.literals), ["item_id"], {WHOLE}), s, s.literals).where(_plain() >= 1)
+    exact = _cut(_hashed(few, ["item_id"], {EXACT}), s, 1, exact=True)
     return _counted(plenty, JOINED).unionByName(_counted(whole, WHOLE)).unionByName(_counted(exact, EXACT)), openers
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(), joined: bool = False) -> DataFrame:
+def marked_index(benchmark: DataFrame, s: Settings) -> DataFrame:
+    """The same for items of fewer than `literals` words that have as many with their marks (`12 + 15 = ?`), word for word."""
+    items = _items(benchmark).select("item_id", signs(F.col("text")).alias("_words"))
+    said = F.size(F.filter("_words", lambda w: w.rlike(r"[\p{L}\p{N}]")))
+    split = items.where((said > 0) & (said < s.literals) & (F.size("_words") >= s.literals))
+    return _counted(_cut(_hashed(split, ["item_id"], {MARKED}), s, s.literals, exact=True), MARKED)
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(), reading: int = TEMPLATE) -> DataFrame:
     """(doc_id, print, item_id, kind, shift, at, doc_values, item_values, n_windows): every window of a document that is also one of an item.
 
-    All windows of all texts are tried. The benchmark's index is counted first:
+    All windows of all texts are tried, in one pass over the texts whatever the
+    items' lengths. The benchmark's index is counted first:
     up to `broadcast_rows` windows it is broadcast and documents are not
     shuffled, beyond that windows are joined by shuffle. `print` is a hash of the
     text and tells documents with one id apart.
     """
-    index, openers = joined_index(benchmark, s) if joined else (benchmark_index(benchmark, s), OPENERS)
-    index = settle(index, "joined-index" if joined else "template-index")
-    exact = F.col("kind") == EXACT
-    sizes = {(r.exact, r.length): r.n for r in index.groupBy(exact.alias("exact"), "length").agg(F.count("*").alias("n")).collect()}  # at most 2 x `window` rows
+    made, openers = {
+        TEMPLATE: lambda: (benchmark_index(benchmark, s), OPENERS), JOINED: lambda: joined_index(benchmark, s), MARKED: lambda: (marked_index(benchmark, s), OPENERS),
+    }[reading]()
+    index = settle(made.withColumn("exact", F.col("kind").isin(*_WORD_FOR_WORD)), f"index-{reading}")
+    # At most 2 x `window` rows.
+    sizes = {(r.exact, r.length): r.n for r in index.groupBy("exact", "length").agg(F.count("*").alias("n")).collect()}
     small = sum(sizes.values()) <= s.broadcast_rows
+    kinds = {reading, *([EXACT] if reading == JOINED and any(exact for exact, _ in sizes) else [])}
     rows = pick(docs, "doc_id", "text").where("text is not null").withColumn("print", F.xxhash64("text"))
-    found = []
-    for word_for_word, n in sorted(sizes) or [(False, s.window)]:
-        texts = _prepared(rows, ["doc_id", "print"], EXACT if word_for_word else JOINED if joined else TEMPLATE, openers)
-        side = index.where((F.col("length") == n) & (exact if word_for_word else ~exact)).select(
-            "hash", "item_id", "kind", "at", F.col("values").alias("item_values"), "n_windows"
-        )
-        doc_values = _values(n, "doc_at").alias("doc_values")
-        windows = _windows(texts, n, "doc_at")
-        if small:
-            met = windows.join(F.broadcast(side), "hash").withColumn("doc_values", doc_values)
-        else:
-            met = windows.select("doc_id", "print", "doc_at", "hash", doc_values).join(side, "hash")
-        found.append(met.select(
-            "doc_id", "print", "item_id", "kind", (F.col("doc_at") - F.col("at")).alias("shift"), "at", "doc_values", "item_values", "n_windows"
-        ))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    if not sizes:  # nothing to look for, so the texts are not read
+        rows = rows.where("false")
+    windows = _windows(_prepared(rows, ["doc_id", "print"], kinds, openers), sorted(sizes) or [(reading == MARKED, s.window)], "doc_at")
+    key = ["hash", "length", "exact"] if len(sizes) > 1 else ["hash"]
+    side = index.select(*key, "item_id", "kind", "at", F.col("values").alias("item_values"), "n_windows")
+    doc_values = _values("doc_at").alias("doc_values")
+    if small:
+        met = windows.join(F.broadcast(side), key).withColumn("doc_values", doc_values)
+    else:
+        met = windows.select("doc_id", "print", "doc_at", *key, doc_values).join(side, key)
+    return met.select(
+        "doc_id", "print", "item_id", "kind", (F.col("doc_at") - F.col("at")).alias("shift"), "at", "doc_values", "item_values", "n_windows"
+    )
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -234,7 +257,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()
     Null texts hold nothing. Rows that repeat an id with another text, and rows
     with a null id, are judged each by its own text; repeated rows give one row.
     Items that repeat are found each under its id. Items of fewer than
-    `literals` words are not looked for: they say too little. An empty table on
+    `literals` words are looked for word for word if they have as many with
+    their marks (`12 + 15 = ?`), else not: they say too little. An empty table on
     either side gives no rows.
 
     Texts are read a second time with a number and its unit as one word, any
@@ -253,7 +277,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()
 def _held(docs: DataFrame, benchmark: DataFrame, s: Settings) -> DataFrame:
     owner = ["doc_id", "print", "item_id", "kind"]
     keys = [*owner, "shift"]
-    found = matches(docs, benchmark, s).unionByName(matches(docs, benchmark, s, joined=True))
+    found = matches(docs, benchmark, s)
+    for reading in (JOINED, MARKED):
+        found = found.unionByName(matches(docs, benchmark, s, reading))
     slots = F.filter(F.arrays_zip("item_values", "doc_values"), lambda v: v["item_values"].isNotNull())
     # A blank unit stands for any: it is no value, nor is the unit that a document gives to a number without one.
     joined_blank = lambda v: v["item_values"].startswith(NUMBER) & v["item_values"].endswith(UNIT)

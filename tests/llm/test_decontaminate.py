@@ -117,6 +117,35 @@ def test_no_python_and_one_pass_over_the_documents(spark):
     assert plan.count("regexp_replace(lower(") == 1
 
 
+def reads(spark, items, reading, tmp_path):
+    """How often the executed plan of a reading reads the documents."""
+    docs, _ = rows()
+    path = str(tmp_path / f"docs-{reading}")
+    spark.createDataFrame(docs, DOCS).write.parquet(path)
+    found = dec.matches(spark.read.parquet(path), spark.createDataFrame(items, ITEMS), reading=reading)
+    return sum("FileScan" in line and path in line for line in found._jdf.queryExecution().executedPlan().toString().splitlines())
+
+
+def test_one_read_per_reading_for_items_of_any_length(spark, tmp_path):
+    plain = "the old mill stands near that quiet river bank"
+    items = [(n, " ".join(plain.split()[:n])) for n in range(4, 10)] + [(20, "What is 12 + 15 + 7?"), (21, "1, 2, 3, 4, 5"), (22, "12 + 15 = ?"), (23, "3 * 4 = 12 ?")]
+    assert [reads(spark, items, r, tmp_path) for r in (dec.TEMPLATE, dec.JOINED, dec.MARKED)] == [1, 1, 1]
+    frame = spark.createDataFrame([(n, f"so: {text} it was") for n, text in items], DOCS)
+    got = {(r.doc_id, r.item_id) for r in contaminated(frame, spark.createDataFrame(items, ITEMS)).collect()}
+    assert {(n, n) for n, _ in items} <= got and not {(a, b) for a, b in got if a < 10 <= b or b < 10 <= a}
+
+
+def test_items_of_few_words_are_found_with_their_marks(spark):
+    items = [(1, "12 + 15 = ?"), (2, "What is 12?"), (3, "x = 3.5"), (4, "yes, no"), (5, "a b c"), (6, "??!!")]
+    docs = [(1, "so 12+15 = ? is asked"), (2, "12 + 15 is 27"), (3, "he said: what is 12 ? now"), (4, "what is 12 of it"), (5, "12 + 16 = ?"), (6, "if x=3.5, x = 3"), (7, "yes, no, a b c ??!!"), (8, None)]
+    for s in (Settings(), Settings(literals=3), Settings(broadcast_rows=0)):
+        got = {(r.doc_id, r.item_id): r for r in contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), s).collect()}
+        if s.literals == 4:
+            assert set(got) == {(1, 1), (3, 2)} and got[1, 1].coverage == 1 and got[1, 1].slots == 0
+        else:
+            assert {(1, 1), (6, 3), (7, 4)} <= set(got) and (5, 1) not in got
+
+
 def test_items_of_many_numbers(spark):
     items = [(1, "What is 12 + 15 + 7?"), (2, "What is 12 plus 15?"), (3, "1, 2, 3, 4"), (4, "What is 12 km"), (5, "What is 12?"), (6, "Compute 1 + 2 + 3 + 4 + 5 + 6 + 7 + 8 + 9 + 10 now")]
     docs = [
