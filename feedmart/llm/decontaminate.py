@@ -5,7 +5,6 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -40,8 +39,8 @@ class Settings:
     slots; shorter items are one window of their own length if they have
     `literals` words. An item is held if `coverage` of its windows are found, or
     `windows` of them (six windows of eight are thirteen words in a row). The
-    index of the benchmark is broadcast up to `broadcast_rows` windows. Items without
-    such a window are looked for as a whole, see `contaminated`.
+    index of the benchmark is broadcast up to `broadcast_rows` windows, and the words
+    that open sentences up to as many. Items without such a window are looked for as a whole, see `contaminated`.
     """
 
     window: int = 8
@@ -74,17 +73,12 @@ def _marked(text: Column, joined: bool = False) -> Column:
 _APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\xBF\xD7\xF7 -⁯　-〿]+"
 
 
-def words(text: Column, joined: bool = False, openers: list[str] | None = None) -> Column:
+def words(text: Column, joined: bool = False) -> Column:
     """The words of a text in lower case; slots carry their mark and value.
 
-    Of `joined` words that may open a sentence, `openers` become plain words and
-    others names; without a list they keep a mark of their own.
+    `joined` words that may open a sentence have a mark of their own, see `_decided`.
     """
-    marked = _marked(text, joined)
-    if joined and openers is not None:
-        plain = "|".join(re.escape(w) for w in sorted(openers, key=lambda w: (-len(w), w)))
-        marked = F.regexp_replace(F.regexp_replace(marked, rf"{START}({plain})(?![\p{{L}}\p{{N}}])", "$1"), START, NAME)
-    return F.array_remove(F.split(marked, _APART), "")
+    return F.array_remove(F.split(_marked(text, joined), _APART), "")
 
 
 # How a window was found: as template words, as template words with joined units, as part of an item that has
@@ -98,19 +92,53 @@ def signs(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.,][\p{N}]+)*|[^\p{L}\p{N}\p{M}\p{C}\p{Z}\s]"), F.lit(0))
 
 
-def _prepared(df: DataFrame, keep: list[str], kinds: set[int], openers: list[str] = OPENERS) -> DataFrame:
+def _prepared(df: DataFrame, keep: list[str], kinds: set[int], openers: DataFrame | None = None, limit: int = 0) -> DataFrame:
     """Per row the hashes of its template words, of its words if a kind asks for them, and its slot values, see `_hashed`."""
-    split = signs(F.col("text")) if MARKED in kinds else words(F.col("text"), TEMPLATE not in kinds, openers)
-    return _hashed(df.select(*keep, split.alias("_words")), keep, kinds)
+    split = signs(F.col("text")) if MARKED in kinds else words(F.col("text"), TEMPLATE not in kinds)
+    rows = df.select(*keep, split.alias("_words"))
+    return _hashed(rows if openers is None else _decided(rows, keep, openers, limit), keep, kinds)
 
 
-def _openers(items: DataFrame) -> list[str]:
-    """The known openers, and the words that the items have both at such places and in lower case: at most a part of a dictionary."""
+def _openers(items: DataFrame) -> DataFrame:
+    """(word): the known openers, and the words that the items have both at such places and in lower case."""
     each = items.select(F.explode("_words").alias("w"))
     start = F.col("w").startswith(START)
     word = F.when(start, F.substring("w", 3, 1 << 30)).otherwise(F.col("w")).alias("word")
     both = each.where(start | ~F.col("w").startswith(MARK)).groupBy(word).agg(F.count_if(start).alias("a"), F.count_if(~start).alias("b"))
-    return sorted({*OPENERS, *(r.word for r in both.where("a > 0 and b > 0").collect())})
+    known = items.sparkSession.range(1).select(F.explode(F.split(F.lit(" ".join(OPENERS)), " ")).alias("word"))
+    return both.where("a > 0 and b > 0").select("word").unionByName(known).distinct()
+
+
+def _cell(word: Column, cells: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(cells)).cast("int")
+
+
+def _decided(rows: DataFrame, keep: list[str], openers: DataFrame, limit: int) -> DataFrame:
+    """`rows` with every word that may open a sentence as a plain word if it is one of `openers`, else as a name.
+
+    The openers are counted first. Up to `limit` they are one value that every
+    task looks words up in: an array of about as many cells as words, a word's
+    cell by its hash. Beyond that the rows' own openers are found by a join.
+    """
+    may_open = lambda w: w.startswith(START)
+    bare = lambda w: F.substring(w, len(START) + 1, 1 << 30)
+    n = openers.count()
+    if n <= limit:
+        cells = 1 << n.bit_length()
+        each = openers.select(_cell(F.col("word"), cells).alias("at"), "word").groupBy("at").agg(F.collect_list("word").alias("words"))
+        every = openers.sparkSession.range(cells).select(F.col("id").cast("int").alias("at")).join(each, "at", "left")
+        table = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda c: c["words"]).alias("cells")).scalar()
+        known = rows.withColumn("_cells", table)
+        is_known = lambda w: F.coalesce(F.array_contains(F.get("_cells", _cell(w, cells)), w), F.lit(False))
+    else:
+        # By the hash of a text's words, so that the rows need no key and repeated texts are looked up once.
+        rows = rows.withColumn("_text", F.xxhash64("_words"))
+        asked = rows.select("_text", F.explode(F.filter("_words", may_open)).alias("w")).select("_text", bare(F.col("w")).alias("word")).distinct()
+        own = asked.join(openers, "word").groupBy("_text").agg(F.collect_set("word").alias("_known"))
+        known = rows.join(own, "_text", "left")
+        is_known = lambda w: F.coalesce(F.array_contains("_known", w), F.lit(False))
+    plain = lambda w: F.when(~may_open(w), w).when(is_known(bare(w)), bare(w)).otherwise(F.concat(F.lit(NAME), bare(w)))
+    return known.select(*keep, F.transform("_words", plain).alias("_words"))
 
 
 def _hashed(split: DataFrame, keep: list[str], kinds: set[int]) -> DataFrame:
@@ -183,15 +211,16 @@ def benchmark_index(benchmark: DataFrame, s: Settings) -> DataFrame:
     return _counted(_cut(items, s, s.literals).where(_plain() >= s.literals), TEMPLATE)
 
 
-def joined_index(benchmark: DataFrame, s: Settings) -> tuple[DataFrame, list[str]]:
+def joined_index(benchmark: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """The same with joined units, and for items that have no window with `literals` plain words two more kinds; and the openers.
 
     These are all windows word for word, and those with a plain word as
     templates, if the item has `literals` template words.
     """
     items = _items(benchmark)
-    openers = _openers(settle(items.select(words(F.col("text"), True).alias("_words")), "joined-words"))
-    split = settle(items.select("item_id", words(F.col("text"), True, openers).alias("_words")), "joined-items")
+    marked = settle(items.select("item_id", words(F.col("text"), True).alias("_words")), "joined-words")
+    openers = settle(_openers(marked), "openers")
+    split = settle(_decided(marked, ["item_id"], openers, s.broadcast_rows), "joined-items")
     size = F.size("_words")
     rows = settle(_cut(_hashed(split, ["item_id"], {JOINED}), s, s.literals), "joined-windows")
     plenty = rows.where(_plain() >= s.literals)
@@ -221,7 +250,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(), rea
     text and tells documents with one id apart.
     """
     made, openers = {
-        TEMPLATE: lambda: (benchmark_index(benchmark, s), OPENERS), JOINED: lambda: joined_index(benchmark, s), MARKED: lambda: (marked_index(benchmark, s), OPENERS),
+        TEMPLATE: lambda: (benchmark_index(benchmark, s), None), JOINED: lambda: joined_index(benchmark, s), MARKED: lambda: (marked_index(benchmark, s), None),
     }[reading]()
     index = settle(made.withColumn("exact", F.col("kind").isin(*_WORD_FOR_WORD)), f"index-{reading}")
     # At most 2 x `window` rows.
@@ -231,7 +260,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(), rea
     rows = pick(docs, "doc_id", "text").where("text is not null").withColumn("print", F.xxhash64("text"))
     if not sizes:  # nothing to look for, so the texts are not read
         rows = rows.where("false")
-    windows = _windows(_prepared(rows, ["doc_id", "print"], kinds, openers), sorted(sizes) or [(reading == MARKED, s.window)], "doc_at")
+    windows = _windows(_prepared(rows, ["doc_id", "print"], kinds, openers, s.broadcast_rows), sorted(sizes) or [(reading == MARKED, s.window)], "doc_at")
     key = ["hash", "length", "exact"] if len(sizes) > 1 else ["hash"]
     side = index.select(*key, "item_id", "kind", "at", F.col("values").alias("item_values"), "n_windows")
     doc_values = _values("doc_at").alias("doc_values")

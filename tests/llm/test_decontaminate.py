@@ -168,5 +168,36 @@ def test_names_that_open_sentences_line_breaks_and_added_units(spark):
         (1, "Well: Paul has 7 apples. Mary gives him 4. So."), (2, "between the hills and\nLeeds old  farmers sold 9 and 12 apples each and 9 pears"),
         (3, "between the hills and Leeds old farmers sold 9 km and 12 apples each and 9 pears"), (4, "Who does the bridge near the mill carry"),
     ]
-    got = {(r.doc_id, r.item_id): r for r in contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
-    assert set(got) == {(1, 1), (2, 2), (3, 2)} and got[1, 1].changed == 4
+    for s in (Settings(), Settings(broadcast_rows=0)):
+        got = {(r.doc_id, r.item_id): r for r in contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), s).collect()}
+        assert set(got) == {(1, 1), (2, 2), (3, 2)} and got[1, 1].changed == 4
+
+
+def plain_decided(ws, openers):
+    """Words that may open a sentence as plain words or names, one at a time."""
+    return [w if not w.startswith(dec.START) else w[2:] if w[2:] in openers else dec.NAME + w[2:] for w in ws]
+
+
+def test_openers_looked_up_and_joined_are_the_same(spark):
+    """Words of all kinds, rows that repeat, no words, null; each word is decided as one at a time would be."""
+    rng = random.Random(5)
+    vocabulary = ["The", "the", "Cat", "dog", "Ärger", "ärger", "Tom", "x", "9 km"]
+    texts = [". ".join(rng.choices(vocabulary, k=rng.randint(0, 30))) for _ in range(60)] + ["The. The. Tom"] * 200 + [None, ""]
+    marked = spark.createDataFrame(list(enumerate(texts)), DOCS).select("doc_id", words(dec.F.col("text"), True).alias("_words"))
+    for openers in ([], ["the"], ["the", "ärger", "dog", *(f"word{i}" for i in range(900))]):
+        frame = spark.createDataFrame([(w,) for w in openers], "word string")
+        want = {r.doc_id: r._words if r._words is None else plain_decided(r._words, openers) for r in marked.collect()}
+        for limit in (0, 10_000):
+            got = dec._decided(marked, ["doc_id"], frame, limit).collect()
+            assert len(got) == len(texts) and {r.doc_id: r._words for r in got} == want
+
+
+def test_many_openers_do_not_grow_the_plan(spark):
+    def plan(n):
+        said = [f"w{''.join(chr(97 + int(d)) for d in str(i))}" for i in range(n)]
+        items = [(i, " ".join(f". {w.capitalize()} and {w}" for w in said[i : i + 50])) for i in range(0, n, 50)] + [(-1, QUESTION)]
+        found = dec.matches(spark.createDataFrame(rows()[0], DOCS), spark.createDataFrame(items, ITEMS), reading=dec.JOINED)
+        return found._jdf.queryExecution().optimizedPlan().toString(), found.where("item_id = -1").count()
+
+    (few, found), (many, found_too) = plan(100), plan(100_000)
+    assert found == found_too > 0 and len(many) < 1.2 * len(few) and "waaa" not in many
