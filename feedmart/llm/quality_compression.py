@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -13,6 +14,10 @@ from pyspark.sql import DataFrame
 from feedmart.llm.common import WORD, pick
 
 _WORD = re.compile(WORD)
+# Texts are taken apart in pieces of whole words or lines, so that not all words of a long text are held at once.
+_UP_TO_SPACE = re.compile(rf"(?s:.{{1,65536}})(?:{WORD})?")
+_UP_TO_LINE_END = re.compile(r"(?s:.{1,65536})[^\n]*")
+_SPACE = " \t\n\v\f\r"  # all that parts words
 _SYMBOLS = "#*$%&|<>"
 
 SCHEMA = (
@@ -48,21 +53,44 @@ class Bands:
     level: int = 3
 
 
+def _repeated(ids: np.ndarray, distinct: int) -> int:
+    """How many places lie inside windows of three that occur twice."""
+    if len(ids) < 4:
+        return 0
+    if distinct < 1 << 21:  # three numbers fit into one
+        windows = (ids[:-2].astype(np.int64) * distinct + ids[1:-1]) * distinct + ids[2:]
+    else:
+        pairs = ids[:-2].astype(np.int64) * distinct + ids[1:-1]
+        windows = np.searchsorted(np.unique(pairs), pairs) * distinct + ids[2:]
+    order = np.argsort(windows, kind="stable")
+    same = windows[order[1:]] == windows[order[:-1]]
+    if not same.any():
+        return 0
+    starts = np.zeros(len(windows), bool)
+    starts[order[1:][same]] = starts[order[:-1][same]] = True
+    inside = np.zeros(len(ids), bool)
+    for k in range(3):
+        inside[k : k + len(starts)] |= starts
+    return int(inside.sum())
+
+
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
-    """Words, their code points, symbols, repeated lines, and words inside repeated windows of three words."""
-    words = _WORD.findall(text)
-    symbols = sum(text.count(c) for c in _SYMBOLS)
-    lines = [line for line in text.split("\n") if _WORD.search(line)]
-    windows = list(zip(words, words[1:], words[2:]))
-    repeat = 0
-    if len(set(windows)) < len(windows):
-        times = Counter(windows)
-        end = 0  # words before this place are counted
-        for i, window in enumerate(windows):
-            if times[window] > 1:
-                repeat += i + 3 - max(i, end)
-                end = i + 3
-    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), repeat
+    """Words, their code points, symbols, repeated lines, and words inside repeated windows of three words.
+
+    Each different word and line is held once; places are numbers in arrays.
+    """
+    seen: dict[str, int] = defaultdict()
+    seen.default_factory = seen.__len__
+    ids = [np.fromiter(map(seen.__getitem__, _WORD.findall(piece)), np.int32) for piece in _UP_TO_SPACE.findall(text)]
+    ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    word_chars = len(text) - sum(map(text.count, _SPACE))
+    symbols = sum(map(text.count, _SYMBOLS))
+    lines, different = 0, set()
+    for piece in _UP_TO_LINE_END.findall(text) if "\n" in text else ():
+        some = [line for line in piece.split("\n") if line.strip(_SPACE)]
+        lines += len(some)
+        different.update(some)
+    return len(ids), word_chars, symbols, lines - len(different), _repeated(ids, len(seen))
 
 
 def judge(raw: bytes, bands: Bands, zstd: zstandard.ZstdCompressor) -> tuple[bool, float, float, float, int, int]:
