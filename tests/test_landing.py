@@ -186,3 +186,10 @@ def test_array_files_written_and_read(spark, tmp_path):
     back = parse_stories(land.read_arrays(spark, str(tmp_path / "a")), keep=["ingested_date"])
     assert {(r.id, r.ingested_date.day) for r in back.collect()} == {(i, 1 + i % 2) for i in range(50)}
     assert len(list((tmp_path / "a").glob("day=2024-03-01.json/piece=*"))) > 1
+
+
+def test_records_of_one_task_are_spread(spark):
+    one = spark.range(20_000).coalesce(1).select(F.concat(*[F.sha2(F.concat("id", F.lit(i)).cast("string"), 256) for i in range(5)]).alias("value"))
+    spread = land.spread(one)
+    assert one.rdd.getNumPartitions() == 1 and spread.rdd.getNumPartitions() > 2
+    assert sorted(r.value for r in spread.collect()) == sorted(r.value for r in one.collect())
