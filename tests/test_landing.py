@@ -193,3 +193,16 @@ def test_records_of_one_task_are_spread(spark):
     spread = land.spread(one)
     assert one.rdd.getNumPartitions() == 1 and spread.rdd.getNumPartitions() > 2
     assert sorted(r.value for r in spread.collect()) == sorted(r.value for r in one.collect())
+
+
+def test_indented_arrays_are_printed_by_one_call_and_cut_when_read(spark, tmp_path):
+    texts = [json.dumps({"id": i, "title": 'a\n  },\n  {"', "score": None, "tag": [1, {"x": "ü"}]}, ensure_ascii=False) for i in range(20)]
+    rows = spark.createDataFrame([(date(2024, 3, 1), t) for t in [*texts, "{}", "null"]], "ingested_date date, value string")
+    assert "lambda" not in rows.select(land._indented(F.col("value")))._jdf.queryExecution().executedPlan().toString()
+    land.write_arrays(rows, str(tmp_path / "a"), per_file=1000, indent=True)
+    (file,) = (tmp_path / "a").glob("day=*/piece=*/part-*")
+    lines = file.read_text("utf-8").splitlines()
+    assert lines[0] == "[" and lines[-1] == "]" and lines.count("  },") == 20 and '    "score" : null,' in lines
+    assert sorted(map(json.dumps, json.loads(file.read_text("utf-8")))) == sorted(json.dumps(json.loads(t)) for t in [*texts, "{}"])
+    values = [json.loads(r.v) for r in land.read_large_arrays(spark, str(tmp_path / "a")).select(F.to_json("value").alias("v")).collect()]
+    assert sorted(map(json.dumps, values)) == sorted(json.dumps(json.loads(t), sort_keys=True) for t in [*texts, "{}"])
