@@ -5,6 +5,7 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from feedmart.operators.quality import QualityError
 from feedmart.plans import daily
@@ -219,3 +220,12 @@ def test_default_day_is_today_in_utc(spark, records, tmp_path):
     landed = daily.ingest_day(spark, records(_story(1)), str(tmp_path / "l"), str(tmp_path / "w"), "stories")
     assert landed.path.endswith(f"ingested_date={daily.utc_today()}")
     assert json.loads(land.read_landing(spark, str(tmp_path / "l"), "stories").toJSON().first())["id"] == 1
+
+
+def test_a_day_in_one_task_is_parsed_by_many(spark, tmp_path):
+    long = F.concat(*[F.sha2(F.concat("id", F.lit(i)).cast("string"), 256) for i in range(5)])
+    one = spark.range(20_000).coalesce(1).select(F.to_json(F.struct("id", long.alias("title"))).alias("value"))
+    landed = daily.ingest_day(spark, one, str(tmp_path / "landing"), str(tmp_path / "warehouse"), "stories", D1)
+    assert landed[:2] == (20_000, 0)
+    assert len(list((tmp_path / "landing" / "stories" / f"ingested_date={D1}" / "status=good").glob("part-*"))) > 2
+    assert land.read_landing(spark, str(tmp_path / "landing"), "stories", D1).select("id").distinct().count() == 20_000
